@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quire.llm import mixing
+from quire.llm import mixing, simhash
 from quire.llm.common import table
 
 
@@ -13,7 +14,17 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 QUERIES = {
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op10_mix_sources": op10_mix_sources,
 }
 

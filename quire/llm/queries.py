@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import mixing, simhash
+from quire.llm import mixing, packing, simhash
 from quire.llm.common import table
 
 
@@ -23,7 +23,15 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packed.select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
 QUERIES = {
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op10_mix_sources": op10_mix_sources,
 }

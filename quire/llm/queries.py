@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import mixing, packing, simhash
+from quire.llm import mixing, packing, repeats, simhash
 from quire.llm.common import table
 
 
@@ -30,7 +30,20 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate(F.zip_with("ends", "starts", lambda e, s: e - s), F.lit(0).cast("long"), lambda a, x: a + x)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        (F.octet_length("kept") + removed).cast("long").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op10_mix_sources": op10_mix_sources,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import mixing, packing, repeats, simhash
+from quire.llm import media_table, mixing, packing, repeats, simhash
 from quire.llm.common import table
 
 
@@ -42,7 +42,13 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = media_table.store(table(spark, sf_dir, "documents"))
+    return media_table.digests(stored).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
+    "op7_media_columns": op7_media_columns,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quire.llm.common import written
-from quire.llm.tokens import WordTokens
+from quire.llm.tokens import word_tokens
 
 SEQUENCE, MERGE, GROUP = 2048, 8, 8192
 END = b"\x00\x00\x00\x00"
@@ -42,7 +42,7 @@ def token_pieces(docs: DataFrame, length: int = SEQUENCE, path: str | None = Non
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
-        tokens = WordTokens(path)
+        tokens = word_tokens(path)
         for b in batches:
             row, piece, size, crc = [], [], [], []
             for i, text in enumerate(b.column(1).to_pylist()):

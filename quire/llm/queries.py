@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import media_table, mixing, packing, repeats, simhash
+from quire.llm import media_table, mixing, neighbours, packing, repeats, simhash
 from quire.llm.common import table
 
 
@@ -47,7 +47,12 @@ def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_table.digests(stored).withColumnRenamed("id", "doc_id")
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op7_media_columns": op7_media_columns,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import media_table, mixing, neighbours, packing, repeats, simhash
+from quire.llm import langid, media_table, mixing, neighbours, packing, repeats, simhash
 from quire.llm.common import table
 
 
@@ -51,7 +51,17 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    inside = langid.held_in(F.col("doc_id"))
+    found = langid.predict(docs, langid.learn(docs.where(inside)))
+    return found.select(
+        F.col("id").alias("doc_id"), (~langid.held_in(F.col("id"))).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op7_media_columns": op7_media_columns,
     "op5_suffix_dedup": op5_suffix_dedup,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import langid, media_table, mixing, neighbours, packing, repeats, simhash
+from quire.llm import langid, lines, media_table, mixing, neighbours, packing, repeats, simhash
 from quire.llm.common import table
 
 
@@ -60,7 +60,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "source", "lines_dropped", "text")
+
+
 QUERIES = {
+    "op8_line_dedup": op8_line_dedup,
     "op1_language_id": op1_language_id,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op7_media_columns": op7_media_columns,

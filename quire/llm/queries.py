@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import langid, lines, media_table, mixing, neighbours, packing, repeats, simhash
+from quire.llm import langid, lines, media_table, mixing, neighbours, packing, pseudo_likelihood, repeats, simhash
 from quire.llm.common import table
 
 
@@ -65,7 +65,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "source", "lines_dropped", "text")
 
 
+def op2_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood.score_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
+    "op2_pseudo_likelihood": op2_pseudo_likelihood,
     "op8_line_dedup": op8_line_dedup,
     "op1_language_id": op1_language_id,
     "op4_nearest_neighbours": op4_nearest_neighbours,

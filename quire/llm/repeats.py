@@ -35,11 +35,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import partitions, written
+from quire.llm.common import partitions, release, written
 
 WINDOW = 400
 #: Entries of a batch, bytes hashed at once, and keys up to which their table is broadcast.
-BATCH, SEGMENT, BROADCAST_KEYS = 3_000_000, 1 << 16, 2_000_000
+BATCH, SEGMENT, BROADCAST_KEYS = 2_000_000, 1 << 16, 2_000_000
+#: Rounds of the window names.
+BLOCKS = 4
 SETTLED = 0xFFFFFFFF
 ENTRY = "dest int, kind int, src long, n long, payload binary"
 
@@ -113,8 +115,8 @@ def _unplanes(data: bytes, n: int, kind: str) -> np.ndarray:
 class Batch:
     """Occurrences of names in some documents, as rows for the bucket sort."""
 
-    def __init__(self, buckets: int):
-        self.buckets, self.no = buckets, 0
+    def __init__(self, buckets: int, block: int = 0):
+        self.buckets, self.no = buckets, block << 48
         self.clear()
 
     def clear(self):
@@ -245,13 +247,21 @@ def _spans_by_document(before: int, after: int):
     return run
 
 
-def _recurring(entries: DataFrame, before: int, after: int, name: str) -> DataFrame:
-    """(u1, u2, spans): spans about the places of names that recur, by document."""
+def _recurring(entries: DataFrame, name: str) -> DataFrame:
+    """Places of the names that recur, in rows like the entries'."""
     n = partitions(entries.sparkSession)
     sorted_ = entries.repartition(n, "dest").sortWithinPartitions("dest").mapInArrow(_sort_buckets, ENTRY)
-    places = written(sorted_, f"{name}-places")
+    places = written(sorted_, name)
+    del sorted_
+    release(entries.sparkSession)
+    return places
+
+
+def _spans(places: DataFrame, before: int, after: int, name: str) -> DataFrame:
+    """(u1, u2, spans): spans about the places, by document."""
+    n = partitions(places.sparkSession)
     spans = places.repartition(n, "src").sortWithinPartitions("src", "kind").mapInArrow(_spans_by_document(before, after), "u1 long, u2 long, spans binary")
-    return written(spans.groupBy("u1", "u2").agg(F.collect_list("spans").alias("spans")), f"{name}-spans")
+    return written(spans.groupBy("u1", "u2").agg(F.collect_list("spans").alias("spans")), name)
 
 
 def _union(spans: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -283,9 +293,9 @@ def _sample_names(window: int, buckets: int):
     return run
 
 
-def _window_names(window: int, buckets: int):
+def _window_names(window: int, buckets: int, block: int):
     def run(batches):
-        names, batch = Names(window), Batch(buckets)
+        names, batch = Names(window), Batch(buckets, block)
         for b in batches:
             for u1, u2, text, spans in zip(*(c.to_pylist() for c in b.columns)):
                 data = np.frombuffer(text, np.uint8)
@@ -293,7 +303,9 @@ def _window_names(window: int, buckets: int):
                     hi = min(hi, len(data) - window + 1)
                     for at in range(lo, hi, BATCH // 2):
                         starts = np.arange(at, min(hi, at + BATCH // 2))
-                        batch.add((u1, u2), names(data, starts), starts)
+                        found = names(data, starts)
+                        mine = found % np.uint64(BLOCKS) == block
+                        batch.add((u1, u2), found[mine], starts[mine])
                         if batch.full():
                             yield from batch.rows()
         yield from batch.rows()
@@ -329,13 +341,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     buckets, period = 2 * partitions(spark), difference_cover(window)[0]
     long_ = keyed.where(F.octet_length("text") >= window)
     entries = long_.select("u1", "u2", "text").mapInArrow(_sample_names(window, buckets), ENTRY)
-    near = _recurring(entries, period - 1, 1, "repeats-sample")
+    near = _spans(_recurring(entries, "repeats-sample"), period - 1, 1, "repeats-near")
     few = F.broadcast if near.count() <= BROADCAST_KEYS else (lambda df: df)
     keys = few(near.select("u1", "u2"))
     rest = keyed.join(keys, ["u1", "u2"], "left_anti")
     some = written(keyed.join(keys, ["u1", "u2"], "left_semi").join(near, ["u1", "u2"]), "repeats-text")
-    entries = some.select("u1", "u2", "text", "spans").mapInArrow(_window_names(window, buckets), ENTRY)
-    spans = _recurring(entries, 0, window, "repeats")
+    places = None
+    for block in range(BLOCKS):
+        entries = some.select("u1", "u2", "text", "spans").mapInArrow(_window_names(window, buckets, block), ENTRY)
+        found = _recurring(entries, "repeats-windows")
+        places = found if places is None else places.unionByName(found)
+    spans = _spans(places, 0, window, "repeats-spans")
     cut = some.drop("spans").join(spans, ["u1", "u2"], "left").select("id", "text", "spans")
     id_type = keyed.schema["id"].dataType.simpleString()
     cut = cut.mapInArrow(_cut, f"id {id_type}, starts array<long>, ends array<long>, kept binary")

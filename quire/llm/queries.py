@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import langid, lines, media_table, mixing, neighbours, packing, pseudo_likelihood, repeats, simhash
+from quire.llm import langid, lines, media_table, mixing, neighbours, packing, pseudo_likelihood, repeats, simhash, toxicity
 from quire.llm.common import table
 
 
@@ -69,7 +69,20 @@ def op2_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo_likelihood.score_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
+    return toxicity.score(docs, model).select(
+        F.col("id").alias("doc_id"),
+        toxicity.held_out(F.col("id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        *toxicity.FEATURES,
+    )
+
+
 QUERIES = {
+    "op6_toxicity": op6_toxicity,
     "op2_pseudo_likelihood": op2_pseudo_likelihood,
     "op8_line_dedup": op8_line_dedup,
     "op1_language_id": op1_language_id,

@@ -141,6 +141,19 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     return picked.mapInArrow(run, f"id {picked.schema['id'].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
 
 
+def accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text is not rejected."""
+
+    def run(batches):
+        for batch in batches:
+            at = batch.schema.get_field_index(text_col)
+            for i in range(0, batch.num_rows, ROWS):
+                b = batch.slice(i, ROWS)
+                yield b.filter(pa.array([not r for r in judge(b.column(at).to_pylist(), model)[2]], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def judge(texts: list[str | None], model: Model | None) -> tuple[list, list, list]:
     known = [i for i, t in enumerate(texts) if model is not None and t and _LETTER.search(t)]
     langs, scores, rejected = [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)

@@ -41,7 +41,7 @@ DEPTHS = (3, 6, 12)
 BROADCAST_ROWS = 500_000
 
 _DIGIT = re.compile(rb"\d")
-_FIELDS = ["u1", "u2", "line", "leaf0", "leaf1", "leaf2", "sig", "tokens"]
+_FIELDS = ["u1", "u2", "line", "leaf0", "leaf1", "leaf2", "sig", "tokens", "id"]
 _TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
 
@@ -62,17 +62,18 @@ def _lines(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             b = batch.slice(at, 512)
-            rows = []
-            for u1, u2, text in zip(*(c.to_pylist() for c in b.columns)):
+            rows, of = [], []
+            for k, (u1, u2, text) in enumerate(zip(*(b.column(c).to_pylist() for c in range(3)))):
                 for i, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
                     if found := parse(line):
                         leaves, sig, tokens = found
                         rows.append((u1, u2, i, *leaves, sig, tokens))
+                        of.append(k)
             if rows:
                 cols = list(zip(*rows))
                 signed = [np.array(c, np.uint64).view(np.int64) for c in cols[3:7]]
                 arrays = [pa.array(c, t) for c, t in zip([*cols[:3], *signed, cols[7]], _TYPES)]
-                yield pa.RecordBatch.from_arrays(arrays, _FIELDS)
+                yield pa.RecordBatch.from_arrays([*arrays, b.column(3).take(pa.array(of))], _FIELDS)
 
 
 class Leaf:
@@ -101,7 +102,7 @@ class Leaf:
 
 
 def _templates(batches):
-    """Rows sorted by leaf to (leaf, sig, template)."""
+    """Rows sorted by leaf to (leaf, sig, template, leaf0)."""
     key, leaf = None, None
     for b in batches:
         out = []
@@ -109,37 +110,38 @@ def _templates(batches):
             if k != key:
                 key, leaf = k, Leaf(len(tokens) // 2)
             out.append(leaf.add(np.frombuffer(tokens, "<u2"), sig))
-        yield pa.RecordBatch.from_arrays([b.column("leaf"), b.column("sig"), pa.array(out, pa.int64())], ["leaf", "sig", "template"])
+        yield pa.RecordBatch.from_arrays([b.column("leaf"), b.column("sig"), pa.array(out, pa.int64()), b.column("leaf0")], ["leaf", "sig", "template", "leaf0"])
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """For a written table: broadcast if its rows are few, else joined by shuffling."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def recurring_lines(keyed: DataFrame) -> DataFrame:
     """(u1, u2, line): lines to drop, of (u1, u2, id, text) rows."""
     spark = keyed.sparkSession
-    lines = written(keyed.where(F.col("text").isNotNull()).select("u1", "u2", "text").mapInArrow(_lines, "u1 long, u2 long, line int, leaf0 long, leaf1 long, leaf2 long, sig long, tokens binary"), "lines")
-    # Entries: equal masked lines, with the number of their occurrences.  It bounds the number of documents of a leaf.
-    entries = lines.groupBy("leaf0", "leaf1", "leaf2", "sig").agg(F.count(F.lit(1)).alias("n"))
-    met = entries.groupBy("leaf0").agg(F.sum("n").alias("met"), F.count(F.lit(1)).alias("kinds0")).where(F.col("met") >= MIN_DOCS)
-    entries = entries.join(met, "leaf0").drop("met")
-    deep = entries.where(F.col("kinds0") > LEAF).groupBy("leaf0", "leaf1").agg(F.count(F.lit(1)).alias("kinds1"))
-    entries = entries.join(deep, ["leaf0", "leaf1"], "left")
-    leaf = F.when(F.col("kinds0") <= LEAF, F.col("leaf0")).when(F.col("kinds1") <= LEAF, F.col("leaf1")).otherwise(F.col("leaf2"))
-    entries = written(entries.select("sig", "leaf0", leaf.alias("leaf"), "n"), "line-entries")
-    tokens = lines.join(entries.select("sig", "leaf0"), ["sig", "leaf0"], "left_semi").groupBy("sig", "leaf0").agg(F.max("tokens").alias("tokens"))
-    parsed = entries.join(tokens, ["sig", "leaf0"]).select("leaf", "sig", "tokens", "n")
-    parsed = parsed.repartition(partitions(spark), "leaf").sortWithinPartitions("leaf", F.desc("n"), "sig")
-    templates = written(parsed.select("leaf", "sig", "tokens").mapInArrow(_templates, "leaf long, sig long, template long"), "line-templates")
-    # Exact numbers of documents: a document counts once for a template.
-    entry = entries.join(templates, ["leaf", "sig"]).select("leaf0", "sig", "leaf", "template")
-    held = written(lines.select("u1", "u2", "line", "leaf0", "sig").join(entry, ["leaf0", "sig"]).select("u1", "u2", "line", "leaf", "template"), "line-held")
-    ids = keyed.select("u1", "u2", "id")
-    docs = held.select("leaf", "template", "u1", "u2").distinct()
-    counted = docs.groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= MIN_DOCS).select("leaf", "template")
-    recurs = written(docs.join(counted, ["leaf", "template"]), "line-recurs")
+    schema = f"u1 long, u2 long, line int, leaf0 long, leaf1 long, leaf2 long, sig long, tokens binary, id {keyed.schema['id'].dataType.simpleString()}"
+    lines = written(keyed.where(F.col("text").isNotNull()).select("u1", "u2", "text", "id").mapInArrow(_lines, schema), "lines")
+    # The number of a leaf's lines bounds the number of its documents; few leaves are met so often.
+    met = lines.groupBy("leaf0").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= MIN_DOCS).select("leaf0")
+    lines = written(lines.join(_few(written(met, "line-leaves")), "leaf0"), "line-candidates")
+    # Entries: equal masked lines, with the number of their occurrences.
+    leaves = ["leaf0", "leaf1", "leaf2", "sig"]
+    entries = lines.groupBy(*leaves).agg(F.count(F.lit(1)).alias("n"), F.max("tokens").alias("tokens"))
+    kinds = lambda at, name: entries.groupBy(*at).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > LEAF)
+    entries = entries.join(kinds(["leaf0"], "kinds0"), "leaf0", "left").join(kinds(["leaf0", "leaf1"], "kinds1"), ["leaf0", "leaf1"], "left")
+    leaf = F.when(F.col("kinds0").isNull(), F.col("leaf0")).when(F.col("kinds1").isNull(), F.col("leaf1")).otherwise(F.col("leaf2"))
+    parsed = entries.withColumn("leaf", leaf).repartition(partitions(spark), "leaf").sortWithinPartitions("leaf", F.desc("n"), "sig")
+    templates = written(parsed.select("leaf", "sig", "tokens", "leaf0").mapInArrow(_templates, "leaf long, sig long, template long, leaf0 long"), "line-templates")
+    held = lines.select("u1", "u2", "id", "line", "leaf0", "sig").join(_few(templates), ["leaf0", "sig"])
+    held = written(held.select("u1", "u2", "id", "line", "leaf", "template"), "line-held")
+    # Exact numbers of documents, which count once for a template, and the first of them.
+    docs = held.select("leaf", "template", "u1", "u2", "id").distinct()
     order = F.struct(F.col("id").isNull(), F.col("id"), F.col("u1"), F.col("u2"))
-    first = recurs.join(ids.distinct(), ["u1", "u2"]).groupBy("leaf", "template").agg(F.min(order).alias("first"))
-    first = first.select("leaf", "template", F.col("first.u1").alias("f1"), F.col("first.u2").alias("f2"))
-    drop = held.join(first, ["leaf", "template"]).where("u1 <> f1 or u2 <> f2")
-    return drop.select("u1", "u2", "line")
+    recurs = docs.groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("docs"), F.min(order).alias("first")).where(F.col("docs") >= MIN_DOCS)
+    recurs = written(recurs.select("leaf", "template", F.col("first.u1").alias("f1"), F.col("first.u2").alias("f2")), "line-recurs")
+    return held.join(_few(recurs), ["leaf", "template"]).where("u1 <> f1 or u2 <> f2").select("u1", "u2", "line")
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -152,9 +154,7 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     keyed = docs.select(*(F.col(f"`{c}`") for c in cols), *keys)
     plain = keyed.select(F.col("__u1").alias("u1"), F.col("__u2").alias("u2"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     drop = recurring_lines(plain).groupBy(F.col("u1").alias("__u1"), F.col("u2").alias("__u2")).agg(F.sort_array(F.collect_set("line")).alias("__drop"))
-    drop = written(drop, "line-drops")
-    if drop.count() <= BROADCAST_ROWS:
-        drop = F.broadcast(drop)
+    drop = _few(written(drop, "line-drops"))
     kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col("__drop"), i)), "\n")
     text = F.when(F.col("__drop").isNull(), F.col(text_col)).otherwise(kept)
     out = keyed.join(drop, ["__u1", "__u2"], "left")

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.sources.scratch import written
+
 
 def nodes(claims: DataFrame, doc: str = "doc_id", order: str = "idx") -> DataFrame:
     """One row per claim number: the last block that has it; depends_on is never null."""
@@ -34,7 +36,7 @@ def closure(edge: DataFrame, doc: str = "doc_id", rounds: int = 100) -> DataFram
     for depth in range(2, rounds + 1):
         more = step.join(edge.select(doc, F.col("parent").alias("descendant"), "child"), [doc, "descendant"])
         more = more.select(doc, "ancestor", F.col("child").alias("descendant"), F.lit(depth).alias("depth")).distinct()
-        step = more.join(found, [doc, "ancestor", "descendant"], "left_anti").checkpoint()
+        step = written(more.join(found, [doc, "ancestor", "descendant"], "left_anti"), "closure")
         if step.isEmpty():
             break
         found = found.unionByName(step)

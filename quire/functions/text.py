@@ -53,6 +53,15 @@ def sentences(text: Column) -> Column:
     return F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("start"), e.alias("end")))
 
 
+def exploded(df, items: Column, name: str, *keep: str):
+    """A row per element, null elements left out.
+
+    The outer form is used on purpose: the plain one lets the optimizer add a filter on
+    the array, and so evaluate whatever computes it several times over.
+    """
+    return df.select(*keep, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())
+
+
 # ---- keys ----
 
 

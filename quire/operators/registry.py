@@ -101,7 +101,9 @@ def align(entities: DataFrame, existing: DataFrame) -> DataFrame:
 
     # One group on purpose: the fold is sequential, over distinct tuples only.
     read = tuples.unionByName(start, allowMissingColumns=True).groupBy(F.lit(0).alias("one")).applyInPandas(fold, "keys array<string>, own string, canonical string")
-    return df.withColumn("keys", F.array_distinct(keys)).join(read, [F.col("keys") == read["keys"], df["canonical_id"] == read["own"]]).select(*[df[c] for c in df.columns if c != "canonical_id"], F.col("canonical").alias("canonical_id"))
+    read = read.select(F.col("keys").alias("__k"), F.col("own").alias("__o"), "canonical")
+    both = df.withColumn("__keys", F.array_distinct(keys)).join(read, [F.col("__keys") == F.col("__k"), F.col("canonical_id") == F.col("__o")])
+    return both.withColumn("canonical_id", F.col("canonical")).select(*df.columns)
 
 
 def merge_canonical(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -96,14 +96,19 @@ def align(entities: DataFrame, existing: DataFrame) -> DataFrame:
             for k in r.keys:
                 new.setdefault(k, got)
             if r.kind:
-                out.append((list(r.keys), r.own, got))
-        return pd.DataFrame(out, columns=["keys", "own", "canonical"])
+                out.append((list(r.keys), r.own, r.seq, got))
+        for k, v in new.items():
+            known.setdefault(k, v)
+        # In later documents all aliases of a tuple are known, and what they stand for never changes.
+        rows = [(keys, own, seq, got, known[keys[0]] if keys else own) for keys, own, seq, got in out]
+        return pd.DataFrame(rows, columns=["keys", "own", "seq", "first", "later"])
 
     # One group on purpose: the fold is sequential, over distinct tuples only.
-    read = tuples.unionByName(start, allowMissingColumns=True).groupBy(F.lit(0).alias("one")).applyInPandas(fold, "keys array<string>, own string, canonical string")
-    read = read.select(F.col("keys").alias("__k"), F.col("own").alias("__o"), "canonical")
+    read = tuples.unionByName(start, allowMissingColumns=True).groupBy(F.lit(0).alias("one")).applyInPandas(fold, "keys array<string>, own string, seq long, first string, later string")
+    read = read.select(F.col("keys").alias("__k"), F.col("own").alias("__o"), F.col("seq").alias("__s"), "first", "later")
     both = df.withColumn("__keys", F.array_distinct(keys)).join(read, [F.col("__keys") == F.col("__k"), F.col("canonical_id") == F.col("__o")])
-    return both.withColumn("canonical_id", F.col("canonical")).select(*df.columns)
+    aligned = F.when(F.col("seq") == F.col("__s"), F.col("first")).otherwise(F.col("later"))
+    return both.withColumn("canonical_id", aligned).select(*df.columns)
 
 
 def merge_canonical(old: DataFrame, new: DataFrame) -> DataFrame:

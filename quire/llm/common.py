@@ -50,6 +50,13 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def sliced(batches, rows: int = 256):
+    """Arrow batches cut to fewer rows, so that a task holds the Python texts of few documents at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

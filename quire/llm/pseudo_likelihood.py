@@ -37,12 +37,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import written
+from quire.llm.common import sliced, written
 
-VOCAB, CLASSES, RARE = 32_768, 64, 32
+VOCAB, CLASSES, RARE = 32_768, 48, 16
 SIDE, HIDDEN, ROUNDS, MINIBATCH, RATE = 2, 32, 3, 4_096, 0.004
 #: Words counted, and words scored, at once by a task; words kept in a cache; averages sent to the driver.
-HELD, WINDOWS, CACHED, AVERAGES = 400_000, 16_384, 300_000, 32
+HELD, WINDOWS, CACHED, AVERAGES = 250_000, 2_048, 100_000, 32
 OUT = CLASSES + RARE
 PAD = OUT  # the class beyond either end of a text
 
@@ -65,7 +65,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
             counts.clear()
 
-        for b in batches:
+        for b in sliced(batches):
             for text in b.column(0).to_pylist():
                 counts.update(words(text))
                 if len(counts) > HELD:
@@ -131,25 +131,37 @@ class Network:
         self.w = [f(2 * SIDE, OUT + 1, HIDDEN), np.zeros(HIDDEN, np.float32), f(HIDDEN, OUT), np.zeros(OUT, np.float32)]
 
     def hidden(self, sides: np.ndarray) -> np.ndarray:
-        e, b = self.w[0], self.w[1]
-        return np.tanh(sum(e[k][sides[k]] for k in range(2 * SIDE)) + b)
+        e = self.w[0]
+        h = e[0][sides[0]]
+        for k in range(1, 2 * SIDE):
+            h += e[k][sides[k]]
+        h += self.w[1]
+        return np.tanh(h, out=h)
 
     def log_probs(self, sides: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log p(target | sides): ``sides`` has a row for each place of the window."""
         out = np.empty(len(target), np.float32)
         for i in range(0, len(target), WINDOWS):
             t = target[i : i + WINDOWS]
-            z = self.hidden(sides[:, i : i + WINDOWS]) @ self.w[2] + self.w[3]
-            z -= z.max(1, keepdims=True)
-            out[i : i + WINDOWS] = z[np.arange(len(t)), t] - np.log(np.exp(z).sum(1))
+            z = self._logits(self.hidden(sides[:, i : i + WINDOWS]))
+            own = z[np.arange(len(t)), t]
+            np.exp(z, out=z)
+            out[i : i + WINDOWS] = own - np.log(z @ np.ones(OUT, np.float32))
         return out
 
+    def _logits(self, h: np.ndarray) -> np.ndarray:
+        """Logits whose exponentials are finite: the largest is subtracted where the weights allow large ones."""
+        z = h @ self.w[2]
+        z += self.w[3]
+        if np.abs(self.w[2]).sum(0).max() + np.abs(self.w[3]).max() > 80:
+            z -= z.max(1, keepdims=True)
+        return z
+
     def gradients(self, sides: np.ndarray, target: np.ndarray) -> list[np.ndarray]:
         h = self.hidden(sides)
-        z = h @ self.w[2] + self.w[3]
-        z -= z.max(1, keepdims=True)
+        z = self._logits(h)
         np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
+        z /= (z @ np.ones(OUT, np.float32))[:, None]
         z[np.arange(len(target)), target] -= 1
         z /= len(target)
         d = (z @ self.w[2].T) * (1 - h * h)
@@ -188,7 +200,7 @@ def windows(indices: list[np.ndarray], classes: np.ndarray) -> tuple[np.ndarray,
 def _batched(batches, vocab: Vocabulary, most: int = 65_536):
     """Word indices of whole texts, in lists of about ``most`` words; a longer text is one list."""
     rows, held, size = [], [], 0
-    for b in batches:
+    for b in sliced(batches):
         text_col = b.num_columns - 1
         for i, text in enumerate(b.column(text_col).to_pylist()):
             w = words(text)

@@ -3,8 +3,8 @@
 Lines are parsed by a tree of fixed depth: first by their number of tokens, then by
 their leading tokens, where a token with a digit counts as a variable.  In a leaf, lines
 are grouped to templates: a line joins the template with the most equal tokens (at least
-``SIMILAR`` of them, variables count as equal), and where it differs the template becomes
-variable.  A template that occurs in ``MIN_DOCS`` documents or more recurs; its lines are
+``SIMILAR`` of all), and where it differs the template becomes variable, which then equals
+nothing, so that templates don't drift.  A template that occurs in ``MIN_DOCS`` documents or more recurs; its lines are
 dropped from all documents but the first (the smallest id), so that what is repeated
 stays in the corpus once, and a document that was copied is not lost.
 
@@ -88,7 +88,7 @@ class Leaf:
         """The fingerprint of the first line of the template that the line joins."""
         n = len(self.first)
         if n:
-            equal = ((self.tokens[:n] == tokens) | self.wild[:n]).sum(1)
+            equal = ((self.tokens[:n] == tokens) & ~self.wild[:n]).sum(1)
             best = int(equal.argmax())
             if equal[best] >= SIMILAR * len(tokens):
                 self.wild[best] |= self.tokens[best] != tokens
@@ -145,18 +145,22 @@ def recurring_lines(keyed: DataFrame) -> DataFrame:
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without the lines of recurring templates; adds lines_dropped."""
-    cols = docs.columns
-    keys = [
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("__u1"),
-        F.xxhash64(F.col(text_col), F.col(id_col), F.lit(1)).alias("__u2"),
-    ]
-    keyed = docs.select(*(F.col(f"`{c}`") for c in cols), *keys)
-    plain = keyed.select(F.col("__u1").alias("u1"), F.col("__u2").alias("u2"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    drop = recurring_lines(plain).groupBy(F.col("u1").alias("__u1"), F.col("u2").alias("__u2")).agg(F.sort_array(F.collect_set("line")).alias("__drop"))
+    """The documents without the lines of recurring templates; adds lines_dropped (in place of a column of that name)."""
+    cols = [c for c in docs.columns if c != "lines_dropped"]
+    free = "_"  # a beginning of names that no column has
+    while any(c.startswith(free) for c in cols):
+        free += "_"
+    u1, u2, gone = f"{free}u1", f"{free}u2", f"{free}drop"
+    keyed = docs.select(
+        *(F.col(f"`{c}`") for c in cols),
+        F.xxhash64(F.col(id_col), F.col(text_col)).alias(u1),
+        F.xxhash64(F.col(text_col), F.col(id_col), F.lit(1)).alias(u2),
+    )
+    plain = keyed.select(F.col(u1).alias("u1"), F.col(u2).alias("u2"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    drop = recurring_lines(plain).groupBy(F.col("u1").alias(u1), F.col("u2").alias(u2)).agg(F.sort_array(F.collect_set("line")).alias(gone))
     drop = _few(written(drop, "line-drops"))
-    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col("__drop"), i)), "\n")
-    text = F.when(F.col("__drop").isNull(), F.col(text_col)).otherwise(kept)
-    out = keyed.join(drop, ["__u1", "__u2"], "left")
-    dropped = F.coalesce(F.size("__drop"), F.lit(0)).cast("long")
+    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col(gone), i)), "\n")
+    text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(kept)
+    out = keyed.join(drop, [u1, u2], "left")
+    dropped = F.coalesce(F.size(gone), F.lit(0)).cast("long")
     return out.select(*(text.alias(c) if c == text_col else F.col(f"`{c}`") for c in cols), dropped.alias("lines_dropped"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quire.llm.common import written
+from quire.llm.common import sliced, written
 from quire.llm.tokens import word_tokens
 
 SEQUENCE, MERGE, GROUP = 2048, 8, 8192
@@ -43,10 +43,10 @@ def token_pieces(docs: DataFrame, length: int = SEQUENCE, path: str | None = Non
 
     def run(batches):
         tokens = word_tokens(path)
-        for b in batches:
+        for b in sliced(batches):
             row, piece, size, crc = [], [], [], []
-            for i, text in enumerate(b.column(1).to_pylist()):
-                ids = tokens.ids(text) + END
+            for i, ids in enumerate(tokens.batch(b.column(1).to_pylist())):
+                ids += END
                 for k, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at : at + 4 * length]
                     row.append(i)
@@ -58,6 +58,7 @@ def token_pieces(docs: DataFrame, length: int = SEQUENCE, path: str | None = Non
                 [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece.astype(np.int32)), pa.array(piece * length), pa.array(size, pa.int64()), pa.array(crc, pa.int64())],
                 ["id", "piece", "start", "length", "crc"],
             )
+        tokens.cache.clear()
 
     return picked.mapInArrow(run, f"id {picked.schema['id'].dataType.simpleString()}, piece int, start long, length long, crc long")
 

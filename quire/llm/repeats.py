@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import partitions, release, written
+from quire.llm.common import partitions, release, sliced, written
 
 WINDOW = 400
 #: Entries of a batch, bytes hashed at once, and keys up to which their table is broadcast.
@@ -276,7 +276,7 @@ def _sample_names(window: int, buckets: int):
         names, batch, base = Names(window - period + 1), Batch(buckets), np.array(offsets, np.int64)
         block = (np.arange(BATCH // 2 // len(base) + 1)[:, None] * period + base).ravel()
         wide = (BATCH // 2 // len(base) + 1) * period
-        for b in batches:
+        for b in sliced(batches):
             for u1, u2, text in zip(*(c.to_pylist() for c in b.columns)):
                 data = np.frombuffer(text, np.uint8)
                 if len(data) < window:
@@ -296,7 +296,7 @@ def _sample_names(window: int, buckets: int):
 def _window_names(window: int, buckets: int, block: int):
     def run(batches):
         names, batch = Names(window), Batch(buckets, block)
-        for b in batches:
+        for b in sliced(batches):
             for u1, u2, text, spans in zip(*(c.to_pylist() for c in b.columns)):
                 data = np.frombuffer(text, np.uint8)
                 for lo, hi in zip(*(x.tolist() for x in _union(spans))):
@@ -314,7 +314,7 @@ def _window_names(window: int, buckets: int, block: int):
 
 
 def _cut(batches):
-    for b in batches:
+    for b in sliced(batches):
         starts, ends, kept = [], [], []
         for text, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
             s, e = _union(spans) if spans else (np.empty(0, np.int64),) * 2

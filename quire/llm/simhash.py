@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import partitions, written
+from quire.llm.common import partitions, sliced, written
 from quire.llm.components import connected_components
 
 BITS, BLOCKS, SHINGLE, SEED = 64, 4, 3, 42
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             fps = np.fromiter(map(fingerprint, b.column(1).to_pylist()), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
 

@@ -17,8 +17,8 @@ from functools import lru_cache
 import numpy as np
 
 WORD_BPE = "word_bpe_49k.json"
-#: Chunks kept in a worker's cache; a full cache is emptied, which costs time only.
-CACHED = 700_000
+#: Chunks kept in a cache; a full cache is emptied, which costs time only.
+CACHED = 500_000
 #: A run of precomposed Latin letters, then ASCII punctuation (no apostrophe, which may join letters).
 PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -31,7 +31,7 @@ def tokenizer_path(name: str = WORD_BPE) -> str:
 
 @lru_cache(1)
 def word_tokens(path: str | None = None) -> "WordTokens":
-    """The tokenizer and cache of this process, which all its tasks share."""
+    """The tokenizer of this process; a task empties its cache when it ends."""
     return WordTokens(path)
 
 
@@ -67,14 +67,17 @@ class WordTokens:
             cache.update((c, np.array(e.ids, dtype="<u4").tobytes()) for c, e in zip(other, found))
         cache.update((c, cache[w] + cache[p]) for c, w, p in parts if p)
 
-    def ids(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        if not text:
-            return b""
-        data = text.encode("utf-8", "surrogatepass")
-        chunks = (data if b"<|" in data else data.lower()).split()
+    def batch(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit numbers; new chunks of all of them are encoded together."""
+        chunks = []
+        for text in texts:
+            data = (text or "").encode("utf-8", "surrogatepass")
+            chunks.append((data if b"<|" in data else data.lower()).split())
         if len(self.cache) > CACHED:
             self.cache.clear()
-        if missing := set(chunks).difference(self.cache):
+        if missing := set().union(*chunks).difference(self.cache):
             self._learn(missing)
-        return b"".join(map(self.cache.__getitem__, chunks))
+        return [b"".join(map(self.cache.__getitem__, c)) for c in chunks]
+
+    def ids(self, text: str | None) -> bytes:
+        return self.batch([text])[0]

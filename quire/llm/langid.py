@@ -26,8 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.common import small_batches
+
 #: Documents the classifier is fitted on, size of the vectors, centroids per language.
-FIT, DIM, CENTROIDS = 3_000, 4_096, 3
+FIT, DIM, CENTROIDS = 1_500, 4_096, 3
 #: Rejected below this share of the cosine that all but one in a hundred of a centroid's own documents reach.
 FAR = 0.3
 UNKNOWN = "und"
@@ -60,7 +62,12 @@ class Model:
     least: np.ndarray  # cosine under which a text is rejected, of each centroid
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
-        return unit(np.log1p(counts).astype(np.float32) * self.idf)
+        x = np.log1p(counts, dtype=np.float32)
+        x *= self.idf
+        norm = np.linalg.norm(x, axis=-1, keepdims=True)
+        norm[norm == 0] = 1
+        x /= norm
+        return x
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -83,15 +90,15 @@ def clusters(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 def fit(rows: list[tuple[str, bytes]]) -> Model | None:
     if not rows:
         return None
-    rows = sorted(rows)
+    rows.sort()
     langs = np.array([r[0] for r in rows])
     counts = np.stack([np.frombuffer(r[1], "<u2") for r in rows])
-    idf = np.log((1 + len(rows)) / (1 + (counts > 0).sum(0))).astype(np.float32) + 1
+    rows.clear()  # the raw counts are not needed twice
+    idf = np.log((1 + len(counts)) / (1 + np.count_nonzero(counts, axis=0))).astype(np.float32) + 1
     model = Model(idf, np.empty((0, DIM), np.float32), [], np.empty(0))
-    x = model.vectors(counts)
     centroids, names, least = [], [], []
     for lang in sorted(set(langs.tolist())):
-        own = x[langs == lang]
+        own = model.vectors(counts[langs == lang])
         c = clusters(own, CENTROIDS)
         cosine = own @ c.T
         near = cosine.argmax(1)
@@ -105,6 +112,7 @@ def fit(rows: list[tuple[str, bytes]]) -> Model | None:
 
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """Fits on at most ``FIT`` of the rows, with non-null language, spread over the languages."""
+    small_batches(labelled.sparkSession)
     rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(FIT // 10).collect()}
     if not sizes:
@@ -127,6 +135,7 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Adds lang_pred, score (cosine with the nearest centroid, 0 to 1) and rejected; drops nothing but other columns than the id's."""
+    small_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
@@ -144,6 +153,8 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 def accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, whose text is not rejected."""
 
+    small_batches(docs.sparkSession)
+
     def run(batches):
         for batch in batches:
             at = batch.schema.get_field_index(text_col)

@@ -29,12 +29,19 @@ def scratch_folder(spark: SparkSession) -> str:
     return _own_folder[0]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Rows of a file of a table whose size is known to be small.
+FILE_ROWS = 200_000
+
+
+def written(df: DataFrame, name: str, most_rows: int | None = None) -> DataFrame:
     """Writes df as Parquet into the scratch folder and reads it again.
 
     This cuts the lineage: later stages, and retries after a lost executor, read
-    the files instead of computing the plan again.
+    the files instead of computing the plan again.  With a bound on its rows a table is
+    written in as few files as it needs.
     """
+    if most_rows is not None:
+        df = df.coalesce(-(-max(1, most_rows) // FILE_ROWS))
     path = f"{scratch_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -50,6 +57,18 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: Rows of an Arrow batch between the JVM and Python.  Spark's default of 10,000 is meant for narrow rows;
+#: as many texts, some of them very long, would fill memory outside the heap.
+BATCH_ROWS, SPARK_DEFAULT = 512, 10_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches of this session, unless the session has a bound of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, str(SPARK_DEFAULT))) == SPARK_DEFAULT:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def sliced(batches, rows: int = 256):
     """Arrow batches cut to fewer rows, so that a task holds the Python texts of few documents at once."""
     for b in batches:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import partitions, written
+from quire.llm.common import partitions, small_batches, written
 
 MIN_TOKENS, MIN_DOCS, SIMILAR, LEAF = 3, 5, 0.8, 4_096
 #: Leading tokens of the tree's levels.
@@ -121,6 +121,7 @@ def _few(df: DataFrame) -> DataFrame:
 def recurring_lines(keyed: DataFrame) -> DataFrame:
     """(u1, u2, line): lines to drop, of (u1, u2, id, text) rows."""
     spark = keyed.sparkSession
+    small_batches(spark)
     schema = f"u1 long, u2 long, line int, leaf0 long, leaf1 long, leaf2 long, sig long, tokens binary, id {keyed.schema['id'].dataType.simpleString()}"
     lines = written(keyed.where(F.col("text").isNotNull()).select("u1", "u2", "text", "id").mapInArrow(_lines, schema), "lines")
     # The number of a leaf's lines bounds the number of its documents; few leaves are met so often.

@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import media
+from quire.llm.common import small_batches
 
 _LONGS = pa.list_(pa.int64())
 
 
 def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, media): every whole text, padded, as a transport stream.  Equal texts give equal streams."""
+    small_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
@@ -39,6 +41,7 @@ def streams(table: DataFrame, media_col: str = "media") -> DataFrame:
     Columns: the other columns of the table, then pid, stream_type, program, units, gaps,
     duplicates, pts, offsets, random_access, payload.
     """
+    small_batches(table.sparkSession)
     others = [c for c in table.columns if c != media_col]
     added = "pid int, stream_type int, program int, units int, gaps int, duplicates int, pts array<long>, offsets array<long>, random_access array<long>, payload binary"
     types = [pa.int32()] * 6 + [_LONGS] * 3 + [pa.binary()]

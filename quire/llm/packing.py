@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quire.llm.common import sliced, written
+from quire.llm.common import sliced, small_batches, written
 from quire.llm.tokens import word_tokens
 
 SEQUENCE, MERGE, GROUP = 2048, 8, 8192
@@ -39,6 +39,7 @@ END = b"\x00\x00\x00\x00"
 
 def token_pieces(docs: DataFrame, length: int = SEQUENCE, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, piece, start, length, crc): the pieces of every document's ids."""
+    small_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import sliced, written
+from quire.llm.common import sliced, small_batches, written
 
 VOCAB, CLASSES, RARE = 32_768, 48, 16
 SIDE, HIDDEN, ROUNDS, MINIBATCH, RATE = 2, 32, 3, 4_096, 0.004
@@ -257,6 +257,7 @@ def train(docs: DataFrame, vocab) -> Network:
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, log_prob, mean_log_prob): the pseudo-likelihood of every whole text."""
     spark = docs.sparkSession
+    small_batches(spark)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     vocab = spark.sparkContext.broadcast(vocabulary(written(word_counts(picked), "word-counts")))
     net_bytes = pickle.dumps(train(picked, vocab))

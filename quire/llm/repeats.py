@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import partitions, release, sliced, written
+from quire.llm.common import partitions, release, sliced, small_batches, written
 
 WINDOW = 400
 #: Entries of a batch, bytes hashed at once, and keys up to which their table is broadcast.
@@ -330,6 +330,7 @@ def _cut(batches):
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, starts and ends of the removed spans, kept (binary)."""
     spark = docs.sparkSession
+    small_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     # Two fingerprints of the row are its key: they are defined for null ids, and equal rows share spans.
     keyed = docs.select(

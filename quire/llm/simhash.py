@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import partitions, sliced, written
+from quire.llm.common import partitions, sliced, small_batches, written
 from quire.llm.components import connected_components
 
 BITS, BLOCKS, SHINGLE, SEED = 64, 4, 3, 42
@@ -59,6 +59,7 @@ def fingerprint(text: str | None) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp): the fingerprint of every whole text, as a signed bigint."""
+    small_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
@@ -203,8 +204,9 @@ def near_links(distinct: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, fp and component (smallest id reachable over links of three bits or fewer)."""
     fps = written(fingerprints(docs, id_col, text_col), "simhash")
-    nodes = written(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
-    roots = connected_components(near_links(nodes.select("fp"))).withColumnRenamed("u", "fp")
+    nodes = written(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes", fps.count())
+    # A forest has fewer links than entries, of which each fingerprint has one for each block.
+    roots = connected_components(near_links(nodes.select("fp")), BLOCKS * nodes.count()).withColumnRenamed("u", "fp")
     nodes = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = nodes.groupBy("root").agg(F.min("least").alias("component"))
     component = nodes.join(least, "root").select("fp", "component")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import sliced, written
+from quire.llm.common import sliced, small_batches, written
 
 #: Documents the classifier is fitted on, entries of the lexicon, words about a hit that are its context.
 FIT, LEXICON, CONTEXT = 20_000, 5_000, 6
@@ -248,6 +248,7 @@ def _matcher(limits: dict[str, int]):
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fits on at most ``FIT`` of the documents that ``labels`` (id, label) covers."""
+    small_batches(docs.sparkSession)
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
     n = known.count()
@@ -277,6 +278,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, exact, misspelt, quoted, address) of every whole text."""
+    small_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     limits, weights = model.automaton.limits, model.weights
 

@@ -5,18 +5,20 @@ over all documents.  The ``VOCAB`` most frequent words are dealt into classes of
 equal mass, the most frequent ones into classes of their own; every other word belongs
 to one of ``RARE`` classes by the hash of its ending.
 
-    log p(word | both sides) = log p(class | both sides) + log p(word | class)
+    log p(word | both sides) = log p(class | both sides) + log p(word | class, both sides)
 
-The first term is a window network written in numpy: embeddings of the two words before
-and the two words after, by place, are summed, then tanh and a softmax over classes; the
-masked word itself is no input.  The second term comes from the corpus counts (rare
-words: one over the number of different rare words of the class).  A document's score is
-the sum over its words.
+Both terms come from a window network written in numpy: embeddings of the two words
+before and the two words after, weighted by place, are summed, then tanh; the masked word
+itself is no input.  Every word of the vocabulary has an embedding of its own, other
+words that of their class.  The first term is a softmax over classes; the second one a
+product of binary decisions down a tree over the words of the class, whose biases start
+at the corpus counts.  Words beyond the vocabulary are predicted within their class
+by one over the number of its different words.  A document's score is the sum over its words.
 
 Training reads every word of every document once: documents are dealt by hash into
 ``ROUNDS`` parts; in a round every task trains from the same weights on its share of one
-part, and the weights are averaged by the number of windows, in two steps, so that the
-driver receives a bounded number of them.
+part, and the weights are averaged by the number of windows, ``FAN`` at a time, so that
+the driver receives a bounded number of them.
 
 Defined results: a null text, or one without words, has no tokens, sum 0 and a null mean;
 repeated rows score alike; null ids pass through; an empty table gives an empty result;
@@ -39,10 +41,10 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import sliced, small_batches, written
 
-VOCAB, CLASSES, RARE = 32_768, 48, 16
-SIDE, HIDDEN, ROUNDS, MINIBATCH, RATE = 2, 32, 3, 4_096, 0.004
-#: Words counted, and words scored, at once by a task; words kept in a cache; averages sent to the driver.
-HELD, WINDOWS, CACHED, AVERAGES = 250_000, 2_048, 100_000, 32
+VOCAB, CLASSES, RARE = 32_768, 64, 32
+SIDE, HIDDEN, ROUNDS, MINIBATCH, RATE, TABLE_RATE = 2, 32, 3, 4_096, 0.004, 0.05
+#: Words counted, and words scored, at once by a task; words kept in a cache; weights averaged at once, averages sent to the driver.
+HELD, WINDOWS, CACHED, FAN, AVERAGES = 250_000, 2_048, 100_000, 16, 1
 OUT = CLASSES + RARE
 PAD = OUT  # the class beyond either end of a text
 
@@ -77,16 +79,30 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class Vocabulary(dict):
-    """Word to its index in ``classes`` and ``logp``; other words get the index of their rare class."""
+    """Word to its index in the arrays; other words get the index of their rare class.
 
-    def __init__(self, known: list[tuple[bytes, int]], rare: dict[int, tuple[int, int]]):
+    ``logp``: log p(word | class) by the counts; of other words without their own count.
+    ``inputs``: rows of the embeddings.  ``lo``, ``hi``: the indices that a word's class
+    holds.  ``odds``: log odds of the tree's decisions by the counts; a decision is
+    named by the first index of its right side.
+    """
+
+    def __init__(self, known: list[tuple[bytes, int]], rare: dict[int, int]):
         mass = np.sqrt([n for _, n in known])
         cut = np.minimum((np.cumsum(mass) - mass) / max(mass.sum(), 1) * CLASSES, CLASSES - 1).astype(int) if known else np.empty(0, int)
         total = np.bincount(cut, [n for _, n in known], CLASSES) if known else np.ones(CLASSES)
         self.size = len(known)
         self.classes = np.concatenate([cut, np.arange(CLASSES, OUT)])
-        types = np.array([rare.get(c, (1, 0))[0] for c in range(CLASSES, OUT)], float)
-        self.logp = np.concatenate([np.log(np.array([n for _, n in known]) / total[cut]) if known else [], -np.log(types)])
+        beyond = np.array([rare.get(c, 1) for c in range(CLASSES, OUT)], float)
+        self.logp = np.concatenate([np.log(np.array([n for _, n in known]) / total[cut]) if known else [], -np.log(beyond)])
+        self.inputs = np.concatenate([OUT + 1 + np.arange(len(known)), np.arange(CLASSES, OUT)])
+        own = np.arange(len(known), len(known) + RARE)
+        self.lo = np.concatenate([np.searchsorted(cut, cut), own])
+        self.hi = np.concatenate([np.searchsorted(cut, cut, "right"), own + 1])
+        self.odds = np.zeros(max(1, len(known)), np.float32)
+        mass = np.concatenate([[0], np.cumsum([n for _, n in known])])
+        for _, mid, _, lo, hi in decisions(np.arange(len(known)), self.lo, self.hi):
+            self.odds[mid] = np.log((mass[hi] - mass[mid]) / (mass[mid] - mass[lo]))
         super().__init__((w, i) for i, (w, _) in enumerate(known))
 
     def __missing__(self, word: bytes) -> int:
@@ -98,98 +114,161 @@ class Vocabulary(dict):
 
     def __reduce__(self):
         known = {w: i for w, i in self.items() if i < self.size}
-        return _restored, (known, self.size, self.classes, self.logp)
+        return _restored, (known, dict(vars(self)))
 
 
-def _restored(known: dict, size: int, classes: np.ndarray, logp: np.ndarray) -> Vocabulary:
+def _restored(known: dict, held: dict) -> Vocabulary:
     v = Vocabulary([], {})
-    v.size, v.classes, v.logp = size, classes, logp
+    vars(v).update(held)
     v.update(known)
     return v
 
 
+def decisions(words: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+    """Level by level down the trees: (places in ``words``, decision, whether right, range of indices)."""
+    at = np.flatnonzero(hi[words] - lo[words] > 1)
+    words, lo, hi = words[at], lo[words[at]], hi[words[at]]
+    while len(at):
+        mid = (lo + hi) // 2
+        right = words >= mid
+        yield at, mid, right, lo, hi
+        lo, hi = np.where(right, mid, lo), np.where(right, hi, mid)
+        on = hi - lo > 1
+        at, words, lo, hi = at[on], words[on], lo[on], hi[on]
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """From the corpus counts; at most ``VOCAB`` words and ``RARE`` totals come to the driver."""
+    """From the corpus counts; ``VOCAB`` words and ``RARE`` totals come to the driver."""
     known = [(bytes(w), n) for w, n in counts.orderBy(F.desc("n"), "word").limit(VOCAB).collect()]
     rest = counts
     if len(known) == VOCAB:
         w, n = known[-1]
         rest = counts.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > F.lit(w))))
         end = F.expr(f"{CLASSES} + crc32(substring(word, greatest(octet_length(word) - 1, 1), 2)) % {RARE}").cast("int")
-        rare = {c: (types, n) for c, types, n in rest.groupBy(end.alias("c")).agg(F.count(F.lit(1)), F.sum("n")).collect()}
+        rare = dict(map(tuple, rest.groupBy(end.alias("c")).agg(F.count(F.lit(1))).collect()))
     else:
         rare = {}
     return Vocabulary(known, rare)
 
 
 class Network:
-    """Sum of side embeddings, tanh, softmax over classes; Adam on minibatches."""
+    """Weighted sum of side embeddings, tanh, softmax over classes, a tree of decisions over a class's words."""
 
-    def __init__(self, seed: int = 7):
+    def __init__(self, seed: int = 7, inputs: int = OUT + 1, odds: np.ndarray | None = None):
         rng = np.random.default_rng(seed)
         f = lambda *s: (rng.standard_normal(s) * 0.1).astype(np.float32)
-        self.w = [f(2 * SIDE, OUT + 1, HIDDEN), np.zeros(HIDDEN, np.float32), f(HIDDEN, OUT), np.zeros(OUT, np.float32)]
+        gates = 1 + f(2 * SIDE, HIDDEN)
+        self.w = [f(inputs, HIDDEN), gates, np.zeros(HIDDEN, np.float32), f(HIDDEN, OUT), np.zeros(OUT, np.float32)]
+        if odds is not None:
+            self.w += [np.zeros((len(odds), HIDDEN), np.float32), odds.astype(np.float32)]
 
     def hidden(self, sides: np.ndarray) -> np.ndarray:
-        e = self.w[0]
-        h = e[0][sides[0]]
+        e, g = self.w[:2]
+        h = e[sides[0]] * g[0]
         for k in range(1, 2 * SIDE):
-            h += e[k][sides[k]]
-        h += self.w[1]
+            h += e[sides[k]] * g[k]
+        h += self.w[2]
         return np.tanh(h, out=h)
 
-    def log_probs(self, sides: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """log p(target | sides): ``sides`` has a row for each place of the window."""
+    def log_probs(self, sides: np.ndarray, target: np.ndarray, words: np.ndarray | None = None, v: Vocabulary | None = None) -> np.ndarray:
+        """log p(target class | sides), with ``words`` that of the words in their classes, too.
+
+        ``sides`` has a row for each place of the window.
+        """
         out = np.empty(len(target), np.float32)
         for i in range(0, len(target), WINDOWS):
             t = target[i : i + WINDOWS]
-            z = self._logits(self.hidden(sides[:, i : i + WINDOWS]))
+            h = self.hidden(sides[:, i : i + WINDOWS])
+            z = self._logits(h)
             own = z[np.arange(len(t)), t]
             np.exp(z, out=z)
-            out[i : i + WINDOWS] = own - np.log(z @ np.ones(OUT, np.float32))
+            own = own - np.log(z @ np.ones(OUT, np.float32))
+            if words is not None:
+                for at, mid, right, _, _ in decisions(words[i : i + WINDOWS], v.lo, v.hi):
+                    x = np.einsum("ij,ij->i", self.w[5][mid], h[at]) + self.w[6][mid]
+                    own[at] -= np.logaddexp(0, np.where(right, -x, x))
+            out[i : i + WINDOWS] = own
         return out
 
     def _logits(self, h: np.ndarray) -> np.ndarray:
         """Logits whose exponentials are finite: the largest is subtracted where the weights allow large ones."""
-        z = h @ self.w[2]
-        z += self.w[3]
-        if np.abs(self.w[2]).sum(0).max() + np.abs(self.w[3]).max() > 80:
+        z = h @ self.w[3]
+        z += self.w[4]
+        if np.abs(self.w[3]).sum(0).max() + np.abs(self.w[4]).max() > 80:
             z -= z.max(1, keepdims=True)
         return z
 
-    def gradients(self, sides: np.ndarray, target: np.ndarray) -> list[np.ndarray]:
+    def sparse_gradients(self, sides: np.ndarray, target: np.ndarray, words: np.ndarray | None = None, v: Vocabulary | None = None) -> list:
+        """Gradients of the mean loss; those of tables as (rows, gradients of the rows)."""
+        n = np.float32(len(target))
         h = self.hidden(sides)
         z = self._logits(h)
         np.exp(z, out=z)
         z /= (z @ np.ones(OUT, np.float32))[:, None]
         z[np.arange(len(target)), target] -= 1
-        z /= len(target)
-        d = (z @ self.w[2].T) * (1 - h * h)
-        e = np.zeros_like(self.w[0])
-        for k in range(2 * SIDE):
-            order = np.argsort(sides[k], kind="stable")
-            s = sides[k][order]
-            first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-            e[k][s[first]] = np.add.reduceat(d[order], first, axis=0)
-        return [e, d.sum(0), h.T @ z, z.sum(0)]
+        z /= n
+        d, tree = z @ self.w[3].T, []
+        if words is not None:
+            mids, errors, rows = [np.empty(0, np.int64)], [np.empty(0, np.float32)], [np.empty(0, np.int64)]
+            for at, mid, right, _, _ in decisions(words, v.lo, v.hi):
+                t = self.w[5][mid]
+                x = np.einsum("ij,ij->i", t, h[at]) + self.w[6][mid]
+                error = ((0.5 + 0.5 * np.tanh(0.5 * x) - right) / n).astype(np.float32)
+                d[at] += error[:, None] * t
+                mids, errors, rows = [*mids, mid], [*errors, error], [*rows, at]
+            mid, error, at = map(np.concatenate, (mids, errors, rows))
+            by, total = summed(mid, np.concatenate([h[at], np.ones((len(at), 1), np.float32)], axis=1) * error[:, None])
+            tree = [(by, total[:, :-1]), (by, total[:, -1])]
+        d *= 1 - h * h
+        e, g = self.w[:2]
+        gates = np.stack([(d * e[sides[k]]).sum(0) for k in range(2 * SIDE)])
+        return [summed(sides.ravel(), np.concatenate([d * g[k] for k in range(2 * SIDE)])), gates, d.sum(0), h.T @ z, z.sum(0), *tree]
+
+    def gradients(self, sides: np.ndarray, target: np.ndarray, words: np.ndarray | None = None, v: Vocabulary | None = None) -> list[np.ndarray]:
+        out = []
+        for w, g in zip(self.w, self.sparse_gradients(sides, target, words, v)):
+            if isinstance(g, tuple):
+                (rows, some), g = g, np.zeros_like(w)
+                g[rows] = some
+            out.append(g)
+        return out
+
+
+def summed(rows: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different rows, and the sum of ``x`` for each."""
+    if not len(rows):
+        return rows, x
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    return rows[first], np.add.reduceat(x[order], first, axis=0)
 
 
 class Adam:
+    """Adam for small weights; for tables Adagrad with one sum for each row, as a minibatch meets few rows."""
+
     def __init__(self, net: Network):
         self.net, self.t = net, 0
-        self.m, self.v = [np.zeros_like(x) for x in net.w], [np.zeros_like(x) for x in net.w]
+        self.m, self.v = [np.zeros_like(x) for x in net.w[1:5]], [np.zeros_like(x) for x in net.w[1:5]]
+        self.sums = {i: np.zeros(len(net.w[i]), np.float32) for i in (0, 5, 6) if i < len(net.w)}
 
-    def step(self, sides: np.ndarray, target: np.ndarray) -> None:
+    def step(self, sides: np.ndarray, target: np.ndarray, words: np.ndarray, v: Vocabulary) -> None:
         self.t += 1
         rate = RATE * (1 - 0.999**self.t) ** 0.5 / (1 - 0.9**self.t)
-        for w, g, m, v in zip(self.net.w, self.net.gradients(sides, target), self.m, self.v):
+        found = self.net.sparse_gradients(sides, target, words, v)
+        for w, g, m, s in zip(self.net.w[1:5], found[1:5], self.m, self.v):
             m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            w -= rate * m / (np.sqrt(v) + 1e-8)
+            s += 0.001 * (g * g - s)
+            w -= rate * m / (np.sqrt(s) + 1e-8)
+        for i, sums in self.sums.items():
+            rows, g = found[i]
+            sums[rows] += (g * g).mean(1) if g.ndim > 1 else g * g
+            scale = TABLE_RATE / (np.sqrt(sums[rows]) + 1e-8)
+            self.net.w[i][rows] -= g * (scale[:, None] if g.ndim > 1 else scale)
 
 
 def windows(indices: list[np.ndarray], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes at the places around every word, and the words' own classes; texts don't see each other."""
+    """``classes`` (or input rows) at the places around every word, and the words' own; texts don't see each other."""
     gap = np.full(SIDE, PAD, np.int64)
     line = np.concatenate([gap, *(x for i in indices for x in (classes[i], gap))])
     inside = np.concatenate([np.zeros(SIDE, bool), *(np.repeat([True, False], [len(i), SIDE]) for i in indices)])
@@ -198,33 +277,37 @@ def windows(indices: list[np.ndarray], classes: np.ndarray) -> tuple[np.ndarray,
 
 
 def _batched(batches, vocab: Vocabulary, most: int = 65_536):
-    """Word indices of whole texts, in lists of about ``most`` words; a longer text is one list."""
-    rows, held, size = [], [], 0
+    """Ids, word indices and words beyond the vocabulary of whole texts, in lists of about ``most`` words; a longer text is one list."""
+    rows, held, beyond, size = [], [], [], 0
     for b in sliced(batches):
         text_col = b.num_columns - 1
         for i, text in enumerate(b.column(text_col).to_pylist()):
             w = words(text)
             rows.append(b.column(0)[i] if text_col else None)
             held.append(np.fromiter(map(vocab.__getitem__, w), np.int64, len(w)))
+            if text_col:
+                beyond.append(Counter(w[k] for k in np.flatnonzero(held[-1] >= vocab.size)))
             size += len(w)
             if size >= most:
-                yield rows, held
-                rows, held, size = [], [], 0
+                yield rows, held, beyond
+                rows, held, beyond, size = [], [], [], 0
     if held:
-        yield rows, held
+        yield rows, held, beyond
 
 
-def _trainer(vocab, net_bytes: bytes):
+def _trainer(vocab, weights):
     def run(batches):
-        net: Network = pickle.loads(net_bytes)
+        net: Network = pickle.loads(weights.value)
         adam, seen = Adam(net), 0
         v = vocab.value
-        for _, held in _batched(batches, v, 16 * MINIBATCH):
-            sides, target = windows(held, v.classes)
+        for _, held, _ in _batched(batches, v, 16 * MINIBATCH):
+            sides, _ = windows(held, v.inputs)
+            flat = np.concatenate(held)
+            target = v.classes[flat]
             order = np.random.default_rng(seen).permutation(len(target))
             for i in range(0, len(order), MINIBATCH):
                 some = order[i : i + MINIBATCH]
-                adam.step(sides[:, some], target[some])
+                adam.step(sides[:, some], target[some], flat[some], v)
             seen += len(target)
         if seen:
             task = TaskContext.get().partitionId()
@@ -237,18 +320,27 @@ def _mean(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
     t = t.sort_values("task")
     total, n = None, int(t["n"].sum())
     for w, k in zip(t["w"], t["n"]):
-        part = [x * (float(k) / n) for x in pickle.loads(w)]
+        part = [x * np.float32(k / n) for x in pickle.loads(w)]
         total = part if total is None else [a + b for a, b in zip(total, part)]
     return pd.DataFrame({"task": [int(key[0])], "n": [n], "w": [pickle.dumps(total)]})
 
 
 def train(docs: DataFrame, vocab) -> Network:
     """``docs`` has id and text; ``vocab`` is a broadcast vocabulary."""
-    net = Network()
+    v, spark = vocab.value, docs.sparkSession
+    net = Network(inputs=OUT + 1 + v.size, odds=v.odds)
     part = F.pmod(F.xxhash64("id", F.lit(23)), F.lit(ROUNDS))
     for r in range(ROUNDS):
-        trained = docs.where(part == r).select("text").mapInArrow(_trainer(vocab, pickle.dumps(net)), "task long, n long, w binary")
-        means = trained.groupBy((F.col("task") % AVERAGES).alias("g")).applyInPandas(_mean, "task long, n long, w binary").toPandas()
+        weights = spark.sparkContext.broadcast(pickle.dumps(net))
+        means = docs.where(part == r).select("text").mapInArrow(_trainer(vocab, weights), "task long, n long, w binary")
+        left = means.rdd.getNumPartitions()
+        while True:  # a task holds about FAN weights, whatever the number of tasks
+            left = max(AVERAGES, -(-left // FAN))
+            means = means.groupBy((F.col("task") % left).alias("g")).applyInPandas(_mean, "task long, n long, w binary")
+            if left == AVERAGES:
+                break
+        means = means.toPandas()
+        weights.unpersist()
         if len(means):
             net.w = [x.astype(np.float32) for x in pickle.loads(_mean((0,), means)["w"][0])]
     return net
@@ -259,20 +351,22 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     small_batches(spark)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    vocab = spark.sparkContext.broadcast(vocabulary(written(word_counts(picked), "word-counts")))
-    net_bytes = pickle.dumps(train(picked, vocab))
+    counts = written(word_counts(picked), "word-counts")
+    vocab = spark.sparkContext.broadcast(vocabulary(counts))
+    weights = spark.sparkContext.broadcast(pickle.dumps(train(picked, vocab)))
 
     def run(batches):
-        net, v = pickle.loads(net_bytes), vocab.value
-        for rows, held in _batched(batches, v):
-            sides, target = windows(held, v.classes)
+        net, v = pickle.loads(weights.value), vocab.value
+        for rows, held, _ in _batched(batches, v):
+            sides, _ = windows(held, v.inputs)
             flat = np.concatenate(held)
-            logp = np.concatenate([[0.0], np.cumsum(net.log_probs(sides, target).astype(np.float64) + v.logp[flat])])
+            own = net.log_probs(sides, v.classes[flat], flat, v).astype(np.float64) + np.where(flat < v.size, 0, v.logp[flat])
+            logp = np.concatenate([[0.0], np.cumsum(own)])
             n = np.array([len(x) for x in held])
             end = np.cumsum(n)
+            ids = pa.array([x.as_py() for x in rows], rows[0].type)
             total = logp[end] - logp[end - n]
             mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            ids = pa.array([x.as_py() for x in rows], rows[0].type)
             yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(total), mean], ["id", "n_tokens", "log_prob", "mean_log_prob"])
 
     id_type = picked.schema["id"].dataType.simpleString()

@@ -69,3 +69,32 @@ def test_odd_rows(odd, empty, odd_rows):
     for r in got:
         assert (r.mean_log_prob is None) == (r.n_tokens == 0) and np.isfinite(r.log_prob)
     assert P.score_documents(empty).collect() == []
+
+
+def test_words_of_one_class_are_told_apart():
+    """The identity of a word matters on both ends, though both words are of one class."""
+    words = [f"w{i}".encode() for i in range(P.CLASSES * 4)]
+    vocab = P.Vocabulary([(w, 10) for w in words], {})
+    a, b = (i for i in range(2) if vocab.classes[i] == vocab.classes[0])
+    net = P.Network(inputs=P.OUT + 1 + vocab.size, odds=vocab.odds)
+    rng = np.random.default_rng(1)
+    flat = np.array([[a, a], [b, b]])[rng.integers(0, 2, 4_000)]
+    adam = P.Adam(net)
+    sides, _ = P.windows(list(flat), vocab.inputs)
+    for _ in range(60):
+        adam.step(sides, vocab.classes[flat.ravel()], flat.ravel(), vocab)
+    score = lambda t: float(net.log_probs(P.windows([np.array(t)], vocab.inputs)[0], vocab.classes[t], np.array(t), vocab).sum())
+    assert score([a, a]) > score([a, b]) + 1 and score([b, b]) > score([b, a]) + 1
+
+
+def test_words_of_a_class_are_a_distribution_that_starts_at_the_counts():
+    known = [(f"w{i}".encode(), 500 - i) for i in range(400)]
+    vocab = P.Vocabulary(known, {})
+    net = P.Network(inputs=P.OUT + 1 + vocab.size, odds=vocab.odds)
+    every = np.arange(400)
+    sides = np.full((2 * P.SIDE, 400), P.PAD)
+    within = net.log_probs(sides, vocab.classes[every], every, vocab) - net.log_probs(sides, vocab.classes[every])
+    assert np.allclose(within, vocab.logp[:400], atol=1e-4)
+    net.w[5] = np.random.default_rng(2).standard_normal(net.w[5].shape)
+    within = net.log_probs(sides, vocab.classes[every], every, vocab) - net.log_probs(sides, vocab.classes[every])
+    assert np.allclose(np.bincount(vocab.classes[every], np.exp(within)), 1, atol=1e-3)

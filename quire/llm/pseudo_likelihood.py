@@ -12,8 +12,9 @@ before and the two words after, weighted by place, are summed, then tanh; the ma
 itself is no input.  Every word of the vocabulary has an embedding of its own, other
 words that of their class.  The first term is a softmax over classes; the second one a
 product of binary decisions down a tree over the words of the class, whose biases start
-at the corpus counts.  Words beyond the vocabulary are predicted within their class
-by one over the number of its different words.  A document's score is the sum over its words.
+at the corpus counts.  Words beyond the vocabulary are predicted within their class by
+their exact corpus counts, which stay a distributed table and are joined to the different
+words of each text.  A document's score is the sum over its words.
 
 Training reads every word of every document once: documents are dealt by hash into
 ``ROUNDS`` parts; in a round every task trains from the same weights on its share of one
@@ -145,7 +146,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         w, n = known[-1]
         rest = counts.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > F.lit(w))))
         end = F.expr(f"{CLASSES} + crc32(substring(word, greatest(octet_length(word) - 1, 1), 2)) % {RARE}").cast("int")
-        rare = dict(map(tuple, rest.groupBy(end.alias("c")).agg(F.count(F.lit(1))).collect()))
+        rare = dict(map(tuple, rest.groupBy(end.alias("c")).agg(F.sum("n")).collect()))
     else:
         rare = {}
     return Vocabulary(known, rare)
@@ -357,7 +358,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches):
         net, v = pickle.loads(weights.value), vocab.value
-        for rows, held, _ in _batched(batches, v):
+        done, first = 0, TaskContext.get().partitionId() << 33
+        for rows, held, beyond in _batched(batches, v):
             sides, _ = windows(held, v.inputs)
             flat = np.concatenate(held)
             own = net.log_probs(sides, v.classes[flat], flat, v).astype(np.float64) + np.where(flat < v.size, 0, v.logp[flat])
@@ -365,9 +367,17 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             n = np.array([len(x) for x in held])
             end = np.cumsum(n)
             ids = pa.array([x.as_py() for x in rows], rows[0].type)
-            total = logp[end] - logp[end - n]
-            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(total), mean], ["id", "n_tokens", "log_prob", "mean_log_prob"])
+            key = pa.array(first + done + np.arange(len(rows)))
+            done += len(rows)
+            lists = [pa.array([list(x) for x in beyond], pa.list_(pa.binary())), pa.array([list(x.values()) for x in beyond], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([ids, key, pa.array(n), pa.array(logp[end] - logp[end - n]), *lists], ["id", "key", "n_tokens", "part", "words", "times"])
 
     id_type = picked.schema["id"].dataType.simpleString()
-    return picked.mapInArrow(run, f"id {id_type}, n_tokens long, log_prob double, mean_log_prob double")
+    scored = written(picked.mapInArrow(run, f"id {id_type}, key long, n_tokens long, part double, words array<binary>, times array<long>"), "scored")
+    # The exact counts of words beyond the vocabulary; decimals, so that sums don't depend on their order.
+    beyond = scored.select("key", F.explode(F.arrays_zip("words", "times")).alias("x")).select("key", F.col("x.words").alias("word"), F.col("x.times").alias("times"))
+    own = (F.col("times") * F.ln("n")).cast("decimal(28,12)")
+    sums = beyond.join(counts, "word").groupBy("key").agg(F.sum(own).cast("double").alias("own"))
+    total = F.col("part") + F.coalesce("own", F.lit(0.0))
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
+    return scored.join(sums, "key", "left").select("id", "n_tokens", total.alias("log_prob")).withColumn("mean_log_prob", mean)

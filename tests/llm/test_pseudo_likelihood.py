@@ -98,3 +98,15 @@ def test_words_of_a_class_are_a_distribution_that_starts_at_the_counts():
     net.w[5] = np.random.default_rng(2).standard_normal(net.w[5].shape)
     within = net.log_probs(sides, vocab.classes[every], every, vocab) - net.log_probs(sides, vocab.classes[every])
     assert np.allclose(np.bincount(vocab.classes[every], np.exp(within)), 1, atol=1e-3)
+
+
+def test_words_beyond_the_vocabulary_score_by_their_exact_counts(spark, monkeypatch):
+    monkeypatch.setattr(P, "VOCAB", 2)
+    rows = [(0, "the cat"), (1, "the cat"), (2, "the rosxy"), (3, "the tusxy")]
+    rows += [(10 + i, "the cat rosxy") for i in range(8)] + [(3, "the tusxy")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = P.score_documents(docs).collect()
+    assert len(got) == len(rows)
+    score = {r.id: r.log_prob for r in got}
+    # The endings put both words into one class, where they occur 9 and 2 times.
+    assert np.isclose(score[2] - score[3], np.log(9 / 2), atol=1e-4)

@@ -3,7 +3,7 @@
 Vectors are cut into two halves, and each half is quantised by its own codebook, so k + k
 centroids make k * k cells.  For a query the pairs of centroids are visited in the order
 of their summed squared distance, by a heap over the two sorted lists, until the cells
-visited hold a share ``visit`` of all entries; every entry of those cells is ranked by
+visited hold a share ``visit`` of all entries, and ``k`` besides the query; every entry of those cells is ranked by
 its distance in double precision.  The codebooks are fitted on at most ``FIT`` vectors
 (chosen by hash), everything else covers every row.
 
@@ -158,7 +158,7 @@ def nearest_neighbours(
         entries[cell] = count
     queries = index.join(picked.where("q").select("id").distinct(), "id", "left_semi").select(F.col("id").alias("qid"), "vec")
     queries = queries.repartition(max(1, min(1_000, n // 10_000)), "qid")
-    queries = queries.mapInArrow(_prober(dim, books, entries, visit * entries.sum()), "qid long, vec binary, cells binary")
+    queries = queries.mapInArrow(_prober(dim, books, entries, max(visit * entries.sum(), k + 1)), "qid long, vec binary, cells binary")
     queries = written(queries, "ann-queries")
     chunks, blocks = -(-n // CHUNK), max(1, -(-queries.count() // BLOCK))
     each = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))

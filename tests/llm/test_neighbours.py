@@ -40,3 +40,11 @@ def test_odd_vectors(spark):
     assert [(r.query_id, r.rank, r.vec_id) for r in got] == [(0, 1, 1), (0, 2, 2), (0, 3, 100), (0, 4, 3), (100, 1, 0), (100, 2, 1), (100, 3, 2), (100, 4, 3)]
     assert neighbours.nearest_neighbours(df.where("vec_id = 4"), F.lit(True)).collect() == []
     assert neighbours.nearest_neighbours(df.where("vec_id = 0"), F.lit(True)).collect() == []
+
+
+def test_small_tables_return_k_or_all_candidates(spark):
+    rng = np.random.default_rng(6)
+    for n in (1, 2, 5, 11, 15):
+        df = spark.createDataFrame([(i, rng.standard_normal(8).tolist()) for i in range(n)], "vec_id long, embedding array<double>")
+        got = neighbours.nearest_neighbours(df, F.lit(True)).collect()
+        assert len(got) == n * min(10, n - 1)

@@ -31,7 +31,7 @@ from quire.llm.common import small_batches
 #: Documents the classifier is fitted on, size of the vectors, centroids per language.
 FIT, DIM, CENTROIDS = 1_500, 4_096, 3
 #: Rejected below this share of the cosine that all but one in a hundred of a centroid's own documents reach.
-FAR = 0.2
+FAR = 0.5
 UNKNOWN = "und"
 SEGMENT, ROWS = 1 << 20, 128
 

@@ -1,5 +1,15 @@
+import base64
+import os
+import random
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
 from quire.llm import langid
 
+FOLDER = "/root/testdata/sf0.01"
+
 
 def test_held_out_accuracy_and_rejection(spark, odd, odd_rows):
     model = langid.learn(odd.where("doc_id % 3 <> 0"))
@@ -37,3 +47,20 @@ def test_segments_count_every_ngram(monkeypatch):
     whole = langid.ngram_counts("some words, and more words" * 20)
     monkeypatch.setattr(langid, "SEGMENT", 7)
     assert (langid.ngram_counts("some words, and more words" * 20) == whole).all()
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the driver's tables")
+@pytest.mark.parametrize("unlearned", ["es", "fr"])
+def test_noise_and_unlearned_languages_are_rejected(unlearned):
+    rng = random.Random(7)
+    rows = [r for r in pq.read_table(f"{FOLDER}/documents.parquet").to_pylist() if r["lang"] and len((r["text"] or "").split()) >= 50]
+    counts = lambda r: np.minimum(langid.ngram_counts(r["text"]), 65_535).astype("<u2").tobytes()
+    held = [r for r in rows if r["doc_id"] % 5 == 0 and r["lang"] != unlearned]
+    model = langid.fit([(r["lang"], counts(r)) for r in rows if r["doc_id"] % 5 and r["lang"] != unlearned])
+    rejected = lambda texts: sum(langid.judge(texts, model)[2]) / len(texts)
+    noise = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(100))
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "bcdfghjklmnpqrstvwxz"):
+        assert rejected([noise(letters) for _ in range(50)]) == 1
+    assert rejected([base64.b64encode(rng.randbytes(600)).decode() for _ in range(50)]) == 1
+    assert rejected([r["text"] for r in rows if r["lang"] == unlearned]) >= 0.9
+    assert rejected([r["text"] for r in held]) <= 0.03

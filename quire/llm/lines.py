@@ -11,8 +11,10 @@ stays in the corpus once, and a document that was copied is not lost.
 Scale: a recurring template lies within one leaf, so only leaves met in ``MIN_DOCS``
 documents or more are parsed.  Equal masked lines are one entry with a count before any
 leaf is brought together, so a line that a third of all documents hold is one entry.
-Leaves with more than ``LEAF`` different lines go two levels deeper, twice if need be; the
-deepest leaves are parsed whole.  Tokens travel as 16-bit hashes; texts are read twice
+Leaves with more than ``LEAF`` different lines are parsed in parts, with the result of the
+whole: lines that may be ``SIMILAR`` differ in few places, so if the places are cut into
+one block more, one block is equal.  Lines that share no block, directly or by others,
+never meet in a template, and each component of lines that do is a part.  Tokens travel as 16-bit hashes; texts are read twice
 and never shuffled while the rows of documents that lose lines are few enough to be
 broadcast (otherwise they are joined).
 
@@ -24,6 +26,7 @@ table gives an empty result; all other columns pass through.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 
@@ -34,28 +37,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import partitions, small_batches, written
+from quire.llm.components import connected_components
 
 MIN_TOKENS, MIN_DOCS, SIMILAR, LEAF = 3, 5, 0.8, 4_096
-#: Leading tokens of the tree's levels.
-DEPTHS = (3, 6, 12)
+#: Leading tokens of the tree's leaves.
+DEPTH = 3
 BROADCAST_ROWS = 500_000
 
 _DIGIT = re.compile(rb"\d")
-_FIELDS = ["u1", "u2", "line", "leaf0", "leaf1", "leaf2", "sig", "tokens", "id"]
-_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+_FIELDS = ["u1", "u2", "line", "leaf0", "sig", "tokens", "id"]
+_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
 
-def parse(line: bytes) -> tuple[list[int], int, bytes] | None:
-    """Leaves by depth, fingerprint of the masked line, 16-bit hashes of its tokens."""
+def parse(line: bytes) -> tuple[int, int, bytes] | None:
+    """Leaf, fingerprint of the masked line, 16-bit hashes of its tokens."""
     tokens = line.split()
     if len(tokens) < MIN_TOKENS:
         return None
     if _DIGIT.search(line):
         tokens = [b"<*>" if _DIGIT.search(t) else t for t in tokens]
     size = b"%d " % len(tokens)
-    leaves = [xxhash.xxh64_intdigest(size + b" ".join(tokens[:d]), d) for d in DEPTHS]
+    leaf = xxhash.xxh64_intdigest(size + b" ".join(tokens[:DEPTH]), DEPTH)
     hashes = np.fromiter(map(zlib.crc32, tokens), np.uint32, len(tokens)).astype("<u2")
-    return leaves, xxhash.xxh64_intdigest(b" ".join(tokens)), hashes.tobytes()
+    return leaf, xxhash.xxh64_intdigest(b" ".join(tokens)), hashes.tobytes()
 
 
 def _lines(batches):
@@ -66,13 +70,12 @@ def _lines(batches):
             for k, (u1, u2, text) in enumerate(zip(*(b.column(c).to_pylist() for c in range(3)))):
                 for i, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
                     if found := parse(line):
-                        leaves, sig, tokens = found
-                        rows.append((u1, u2, i, *leaves, sig, tokens))
+                        rows.append((u1, u2, i, *found))
                         of.append(k)
             if rows:
                 cols = list(zip(*rows))
-                signed = [np.array(c, np.uint64).view(np.int64) for c in cols[3:7]]
-                arrays = [pa.array(c, t) for c, t in zip([*cols[:3], *signed, cols[7]], _TYPES)]
+                signed = [np.array(c, np.uint64).view(np.int64) for c in cols[3:5]]
+                arrays = [pa.array(c, t) for c, t in zip([*cols[:3], *signed, cols[5]], _TYPES)]
                 yield pa.RecordBatch.from_arrays([*arrays, b.column(3).take(pa.array(of))], _FIELDS)
 
 
@@ -113,6 +116,31 @@ def _templates(batches):
         yield pa.RecordBatch.from_arrays([b.column("leaf"), b.column("sig"), pa.array(out, pa.int64()), b.column("leaf0")], ["leaf", "sig", "template", "leaf0"])
 
 
+def blocks(tokens: np.ndarray) -> list[bytes]:
+    """Parts of the tokens after the leaf's, one of which is equal in any two lines that may be similar."""
+    n = len(tokens)
+    cut = np.linspace(DEPTH, n, n - math.ceil(SIMILAR * n) + 2).astype(int)
+    return [tokens[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
+
+
+def _blocks(batches):
+    for b in batches:
+        nodes, keys = [], []
+        for leaf, node, tokens in zip(*(b.column(c).to_pylist() for c in ("leaf0", "node", "tokens"))):
+            for i, block in enumerate(blocks(np.frombuffer(tokens, "<u2"))):
+                nodes.append(node)
+                keys.append(xxhash.xxh64_intdigest(b"%d %d " % (leaf, i) + block))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(np.array(keys, np.uint64).view(np.int64))], ["node", "key"])
+
+
+def parts(entries: DataFrame) -> DataFrame:
+    """(node, leaf): the part of each entry (leaf0, node, tokens); entries that may be similar have the same."""
+    keyed = written(entries.select("leaf0", "node", "tokens").mapInArrow(_blocks, "node long, key long"), "line-blocks")
+    least = keyed.groupBy("key").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    roots = connected_components(keyed.join(least, "key").select(F.col("node").alias("u"), "v"))
+    return entries.select("node").join(roots.withColumnRenamed("u", "node"), "node", "left").select("node", F.coalesce("root", "node").alias("leaf"))
+
+
 def _few(df: DataFrame) -> DataFrame:
     """For a written table: broadcast if its rows are few, else joined by shuffling."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -122,18 +150,20 @@ def recurring_lines(keyed: DataFrame) -> DataFrame:
     """(u1, u2, line): lines to drop, of (u1, u2, id, text) rows."""
     spark = keyed.sparkSession
     small_batches(spark)
-    schema = f"u1 long, u2 long, line int, leaf0 long, leaf1 long, leaf2 long, sig long, tokens binary, id {keyed.schema['id'].dataType.simpleString()}"
+    schema = f"u1 long, u2 long, line int, leaf0 long, sig long, tokens binary, id {keyed.schema['id'].dataType.simpleString()}"
     lines = written(keyed.where(F.col("text").isNotNull()).select("u1", "u2", "text", "id").mapInArrow(_lines, schema), "lines")
     # The number of a leaf's lines bounds the number of its documents; few leaves are met so often.
     met = lines.groupBy("leaf0").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= MIN_DOCS).select("leaf0")
     lines = written(lines.join(_few(written(met, "line-leaves")), "leaf0"), "line-candidates")
     # Entries: equal masked lines, with the number of their occurrences.
-    leaves = ["leaf0", "leaf1", "leaf2", "sig"]
-    entries = lines.groupBy(*leaves).agg(F.count(F.lit(1)).alias("n"), F.max("tokens").alias("tokens"))
-    kinds = lambda at, name: entries.groupBy(*at).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > LEAF)
-    entries = entries.join(kinds(["leaf0"], "kinds0"), "leaf0", "left").join(kinds(["leaf0", "leaf1"], "kinds1"), ["leaf0", "leaf1"], "left")
-    leaf = F.when(F.col("kinds0").isNull(), F.col("leaf0")).when(F.col("kinds1").isNull(), F.col("leaf1")).otherwise(F.col("leaf2"))
-    parsed = entries.withColumn("leaf", leaf).repartition(partitions(spark), "leaf").sortWithinPartitions("leaf", F.desc("n"), "sig")
+    entries = lines.groupBy("leaf0", "sig").agg(F.count(F.lit(1)).alias("n"), F.max("tokens").alias("tokens"))
+    large = written(entries.groupBy("leaf0").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > LEAF).select("leaf0"), "line-large")
+    whole = entries.withColumn("leaf", F.col("leaf0"))
+    if large.count():
+        node = F.xxhash64("leaf0", "sig").alias("node")
+        crowded = written(entries.join(_few(large), "leaf0").select("*", node), "line-crowded")
+        whole = whole.join(_few(large), "leaf0", "left_anti").unionByName(crowded.join(parts(crowded), "node").drop("node"))
+    parsed = whole.repartition(partitions(spark), "leaf").sortWithinPartitions("leaf", F.desc("n"), "sig")
     templates = written(parsed.select("leaf", "sig", "tokens", "leaf0").mapInArrow(_templates, "leaf long, sig long, template long, leaf0 long"), "line-templates")
     held = lines.select("u1", "u2", "id", "line", "leaf0", "sig").join(_few(templates), ["leaf0", "sig"])
     held = written(held.select("u1", "u2", "id", "line", "leaf", "template"), "line-held")

@@ -50,3 +50,16 @@ def test_odd_rows(odd, empty, odd_rows):
     assert len(rows) == len(odd_rows)
     assert sorted((r.doc_id for r in rows if r.text is None), key=str) == [61, None]
     assert lines.drop_recurring_lines(empty).collect() == []
+
+
+def test_large_leaves_give_the_result_of_the_whole(spark, monkeypatch):
+    """Variable fields without a digit after the leading tokens; the size of a leaf changes nothing."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    texts = [f"same three words then {word()} is fixed up to the tail" for _ in range(40)]
+    texts += [f"same three words then {rng.choice('abc')} {rng.choice('abcd')} {word()} {rng.choice('ab')} end of a line" for _ in range(80)]
+    texts += [f"same three words {word()} {word()}" for _ in range(30)]
+    want = sorted(map(tuple, lines.drop_recurring_lines(make(spark, texts)).collect()))
+    assert sum(r[2] == 0 for r in want[:40]) == 1
+    monkeypatch.setattr(lines, "LEAF", 10)
+    assert sorted(map(tuple, lines.drop_recurring_lines(make(spark, texts)).collect())) == want

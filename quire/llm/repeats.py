@@ -5,24 +5,30 @@ in the same document or in another.  Matches never cross documents.
 
 1. Cover sample.  D is a perfect difference set modulo its period v (Singer's
    construction), so two windows at any two places a and b have an offset d < v for
-   which a + d and b + d are both sample positions.  The names of sample positions are
-   the strings of ``window - v + 1`` bytes that start there; they lie within the windows.
-   A window that recurs therefore holds a sample name that recurs.
-2. Only suffixes that start within v before a recurring sample name can tie over a whole
-   window.  They are compared by the name of their first ``window`` bytes.
-3. Names are 64-bit fingerprints (polynomial, over random byte values, mixed).  They are
-   dealt into buckets by their leading bits, and a task sorts one bucket at a time, so
-   memory is bounded by a bucket, never by the corpus or by its suffix array.  Every
-   batch of documents sends a name once: names that recur within it are settled there
-   and are sent as one entry, so the entries of a passage that a third of all documents
-   share are as many as there are batches.
-4. Repeated windows of a document are merged to spans, which are cut.
-
-With N suffixes compared the expected number of false repeats is N * N / 2**65.
+   which a + d and b + d are both sample positions.  The sample strings are those of
+   ``window - v + 1`` bytes that start there; they lie within the windows.  They are
+   sorted first, by names, bucket by bucket.  A window that recurs holds a sample string that
+   recurs, so sample strings with names of their own rule out all suffixes before them.
+2. Only suffixes that start within v before a recurring sample string can tie over a whole
+   window.  They are sorted one bucket at a time, in ``BLOCKS`` rounds, by the name of
+   their first ``window`` bytes, and each is linked to the one before it of equal name.
+3. A name is a 64-bit fingerprint and decides nothing but order.  Links of suffixes that follow each
+   other on a diagonal (both ends advance together) are one run, and the bytes of its two
+   ends are compared: within a batch at once, between batches by a join, where a run
+   carries its bytes once however many windows lie in it.
+4. Where bytes differ under one name (a collision), all suffixes of that name are grouped
+   by their bytes instead.  So the result is exact for every input.
+5. Repeated windows of a document are merged to spans, which are cut.
+
+Memory: a task holds one bucket of entries, or one batch of at most ``BATCH`` suffixes and
+the texts they lie in, never the corpus or its suffix array.  Every batch sends a name
+once: suffixes that recur within it are settled there, so the entries of a passage that a
+third of all documents share are as many as there are batches.
 
 Defined results: a null or empty text has no bytes and no spans; texts shorter than the
-window never change; repeated rows are documents of their own, so their strings repeat;
-null ids pass through; an empty table gives an empty result; other columns are ignored.
+window never change; very long texts are treated whole, in parts of a batch; repeated rows are
+documents of their own, so their strings repeat; of windows that tie none is kept; null ids
+pass through; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,12 +44,15 @@ from pyspark.sql import functions as F
 from quire.llm.common import partitions, release, sliced, small_batches, written
 
 WINDOW = 400
-#: Entries of a batch, bytes hashed at once, and keys up to which their table is broadcast.
-BATCH, SEGMENT, BROADCAST_KEYS = 2_000_000, 1 << 16, 2_000_000
+#: Suffixes of a batch and bytes of its texts, bytes hashed at once, and keys up to which their table is broadcast.
+BATCH, TEXTS, SEGMENT, BROADCAST_KEYS = 2_000_000, 1 << 25, 1 << 16, 2_000_000
 #: Rounds of the window names.
 BLOCKS = 4
-SETTLED = 0xFFFFFFFF
+#: Bit of a place that marks an entry as settled within its batch.
+SETTLED = np.uint32(1 << 31)
 ENTRY = "dest int, kind int, src long, n long, payload binary"
+#: Kinds of rows: documents of a batch, places that recur, entries, links between batches, names that collide.
+KEYS, PLACES, ENTRIES, LINKS, COLLIDING = range(5)
 
 
 @lru_cache
@@ -113,24 +122,47 @@ def _unplanes(data: bytes, n: int, kind: str) -> np.ndarray:
 
 
 class Batch:
-    """Occurrences of names in some documents, as rows for the bucket sort."""
+    """Occurrences of names in some documents, as rows for the bucket sort.
 
-    def __init__(self, buckets: int, block: int = 0):
-        self.buckets, self.no = buckets, block << 48
+    With a ``window`` the names are those of whole windows: what recurs is confirmed by
+    bytes.  Without, they are of sample strings, of which only the different ones matter.
+    """
+
+    def __init__(self, buckets: int, window: int = 0, block: int = 0):
+        self.buckets, self.window, self.block, self.no = buckets, window, block, 0
         self.clear()
 
     def clear(self):
-        self.keys, self.names, self.doc, self.at, self.size = [], [], [], [], 0
+        self.keys, self.names, self.doc, self.at, self.data, self.size, self.held = [], [], [], [], [], 0, 0
 
-    def add(self, key: tuple[int, int], names: np.ndarray, starts: np.ndarray) -> None:
+    def add(self, key: tuple[int, int], names: np.ndarray, starts: np.ndarray, data: np.ndarray, size: int) -> None:
+        """``size``: suffixes of all rounds, so that batches are the same in each."""
         self.doc.append(np.full(len(names), len(self.keys), np.uint16))
         self.keys.append(key)
         self.names.append(names)
         self.at.append(starts.astype(np.uint32))
-        self.size += len(names)
+        self.size += size
+        if self.window:
+            self.data.append(data)
+            self.held += len(data)
 
     def full(self) -> bool:
-        return self.size >= BATCH or len(self.keys) >= 60_000
+        return self.size >= BATCH or self.held >= TEXTS or len(self.keys) >= 60_000
+
+    def equal(self, doc: np.ndarray, at: np.ndarray, doc2: np.ndarray, at2: np.ndarray) -> np.ndarray:
+        """Whether the windows at both places have the same bytes, compared run by run."""
+        out = np.ones(len(doc), bool)
+        order = np.lexsort((at, doc))
+        runs = _runs(doc[order], at[order].astype(np.int64), at2[order].astype(np.int64), self.window, doc2[order])
+        for lo, hi in zip(*(x.tolist() for x in runs)):
+            some = order[lo:hi]
+            a, b = at[some].astype(np.int64), at2[some].astype(np.int64)
+            n = int(a[-1] - a[0]) + self.window
+            differ = self.data[doc[some[0]]][a[0] : a[0] + n] != self.data[doc2[some[0]]][b[0] : b[0] + n]
+            if differ.any():
+                sums = np.concatenate([[0], np.cumsum(differ)])
+                out[some] = sums[a - a[0] + self.window] == sums[a - a[0]]
+        return out
 
     def rows(self):
         if not self.size:
@@ -138,69 +170,116 @@ class Batch:
         src = (TaskContext.get().partitionId() << 24) + self.no
         self.no += 1
         names, doc, at = map(np.concatenate, (self.names, self.doc, self.at))
-        order = np.argsort(names)
+        order = np.argsort(names, kind="stable")
         names, doc, at = names[order], doc[order], at[order]
-        new = np.concatenate([[True], names[1:] != names[:-1]])
-        again = ~new
-        again[:-1] |= ~new[1:]
-        out = [(src % self.buckets, 0, src, len(self.keys), np.array(self.keys, np.int64).T.tobytes())]
+        new = np.concatenate([[True], names[1:] != names[:-1]])[: len(names)]
+        later = np.flatnonzero(~new)
+        out = []
+        if self.block == 0:
+            out.append((src % self.buckets, KEYS, src, len(self.keys), np.array(self.keys, np.int64).T.tobytes()))
+        if self.window and len(later):
+            same = self.equal(doc[later], at[later], doc[later - 1], at[later - 1])
+            colliding = np.unique(names[later[~same]])
+            later = later[same]
+            if len(colliding):
+                out.append((src % self.buckets, COLLIDING, src, len(colliding), colliding.tobytes()))
+        again = np.zeros(len(names), bool)
+        again[later] = again[later - 1] = True
         if again.any():
-            out.append((src % self.buckets, 1, src, int(again.sum()), doc[again].tobytes() + _planes(at[again])))
-        at = np.where(again, np.uint32(SETTLED), at)[new]
+            out.append((src % self.buckets, PLACES, src, int(again.sum()), doc[again].tobytes() + _planes(at[again])))
+        at = np.where(again, at | SETTLED, at)[new]
         names, doc = names[new], doc[new]
         cut = np.searchsorted(names, np.array([-(-(i << 64) // self.buckets) for i in range(1, self.buckets)], np.uint64))
         for i, (lo, hi) in enumerate(zip([0, *cut.tolist()], [*cut.tolist(), len(names)])):
             if hi > lo:
                 steps = np.diff(names[lo:hi], prepend=np.uint64(0))
-                out.append((i, 2, src, hi - lo, _planes(steps) + doc[lo:hi].tobytes() + _planes(at[lo:hi])))
+                out.append((i, ENTRIES, src, hi - lo, _planes(steps) + doc[lo:hi].tobytes() + _planes(at[lo:hi])))
         self.clear()
         for i in range(0, len(out), 64):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[i : i + 64]), _TYPES)], _COLS)
 
 
+def _runs(doc: np.ndarray, at: np.ndarray, at2: np.ndarray, window: int, *same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last + 1 of the runs of pairs, sorted by (doc, at), whose windows overlap on one diagonal; ``same`` must not change."""
+    new = np.ones(len(doc), bool)
+    if len(doc):
+        step = np.diff(at)
+        new[1:] = (np.diff(doc.astype(np.int64)) != 0) | (step > window) | (step != np.diff(at2))
+        for x in same:
+            new[1:] |= x[1:] != x[:-1]
+    first = np.flatnonzero(new)
+    return first, np.concatenate([first[1:], [len(doc)]])[: len(first)]
+
+
 _COLS = ["dest", "kind", "src", "n", "payload"]
 _TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
 
-def _sorted_bucket(rows: list) -> list:
-    """Entries of one bucket to the places of those names that recur."""
+def _sorted_bucket(rows: list, linked: bool) -> list:
+    """Entries of one bucket to the places, or the links, of those names that recur."""
+    rows.sort(key=lambda r: r[0])
     names = np.concatenate([np.cumsum(_unplanes(p[: 8 * n], n, "<u8"), dtype=np.uint64) for _, n, p in rows])
     doc = np.concatenate([np.frombuffer(p, "<u2", n, 8 * n) for _, n, p in rows])
     at = np.concatenate([_unplanes(p[10 * n :], n, "<u4") for _, n, p in rows])
     of = np.repeat(np.arange(len(rows)), [n for _, n, _ in rows])
-    order = np.argsort(names)
+    open_ = at < SETTLED
+    at &= ~SETTLED
+    order = np.argsort(names, kind="stable")
     same = names[order][1:] == names[order][:-1]
-    recurs = np.zeros(len(names), bool)
-    recurs[order[1:][same]] = True
-    recurs[order[:-1][same]] = True
-    recurs &= at != SETTLED
+    later, before = order[1:][same], order[:-1][same]
     out = []
-    for i in np.unique(of[recurs]).tolist():
-        here = recurs & (of == i) if len(rows) < 4 else np.flatnonzero(recurs[(lo := np.searchsorted(of, i)) : np.searchsorted(of, i + 1)]) + lo
-        out.append((0, 1, rows[i][0], len(doc[here]), doc[here].tobytes() + _planes(at[here])))
+    if linked:
+        some = open_[later] | open_[before]
+        later, before = later[some], before[some]
+        order = np.lexsort((at[later], doc[later], of[later]))
+        later, before = later[order], before[order]
+        sources = np.array([r[0] for r in rows])
+        for lo, hi in _groups(of[later]):
+            e, p = later[lo:hi], before[lo:hi]
+            steps = np.diff(at[e].astype(np.int64), prepend=0).astype("<u4"), (at[p].astype(np.int64) - at[e]).astype("<i4")
+            payload = doc[e].tobytes() + doc[p].tobytes() + b"".join(map(_planes, (*steps, sources[of[p]])))
+            out.append((0, LINKS, rows[of[e[0]]][0], hi - lo, payload))
+    else:
+        recurs = np.zeros(len(names), bool)
+        recurs[later] = recurs[before] = True
+        here = np.flatnonzero(recurs & open_)
+        for lo, hi in _groups(of[here]):
+            some = here[lo:hi]
+            out.append((0, PLACES, rows[of[some[0]]][0], hi - lo, doc[some].tobytes() + _planes(at[some])))
     return out
 
 
-def _sort_buckets(batches):
-    held, dest = [], None
+def _groups(keys: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of equal keys that follow each other."""
+    if not len(keys):
+        return []
+    edge = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+    return list(zip(edge[:-1], edge[1:]))
 
-    def done():
-        if held:
-            out = _sorted_bucket(held)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _TYPES)], _COLS)
-            held.clear()
 
-    for b in batches:
-        for d, kind, src, n, payload in zip(*(c.to_pylist() for c in b.columns)):
-            if kind < 2:
-                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip((d, kind, src, n, payload), _TYPES)], _COLS)
-                continue
-            if d != dest:
-                yield from done()
-                dest = d
-            held.append((src, n, payload))
-    yield from done()
+def _sort_buckets(linked: bool):
+    def run(batches):
+        held, dest = [], None
+
+        def done():
+            if held:
+                out = _sorted_bucket(held, linked)
+                for i in range(0, len(out), 64):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[i : i + 64]), _TYPES)], _COLS)
+                held.clear()
+
+        for b in batches:
+            for d, kind, src, n, payload in zip(*(c.to_pylist() for c in b.columns)):
+                if kind != ENTRIES:
+                    yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip((d, kind, src, n, payload), _TYPES)], _COLS)
+                    continue
+                if d != dest:
+                    yield from done()
+                    dest = d
+                held.append((src, n, payload))
+        yield from done()
+
+    return run
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,61 +291,95 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[new], reach[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(starts) - 1]])]
 
 
-def _spans_by_document(before: int, after: int):
-    """Places [p - before, p + after) of one batch after another, merged by document."""
+def _packed(starts: np.ndarray, ends: np.ndarray) -> list[int]:
+    """Spans as numbers: start in the upper half, end in the lower."""
+    return ((starts << 32) + ends).tolist()
+
+
+def _union(spans) -> tuple[np.ndarray, np.ndarray]:
+    both = np.sort(np.array(spans, np.int64))
+    return merged(both >> 32, both & 0xFFFFFFFF)
+
+
+_SOURCE = "kind int, u1 long, u2 long, spans array<long>, src long, doc int, at long, n long, pat long"
+_SOURCE_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+
+
+def _by_source(before: int, after: int, window: int):
+    """Batch by batch its documents (kind KEYS), their spans [p - before, p + after) about places (PLACES), and its links as runs (LINKS).
+
+    src, doc and pat of a run are those of its other end; n is its number of bytes.
+    """
+
+    def rows(kind, n, **columns):
+        names = [c.split()[0] for c in _SOURCE.split(", ")]
+        cols = {"kind": [kind] * n, **columns}
+        return pa.RecordBatch.from_arrays([pa.array(cols[c], t) if c in cols else pa.nulls(n, t) for c, t in zip(names, _SOURCE_TYPES)], names)
 
     def run(batches):
-        src, keys, found = None, None, []
+        src, keys, found, links = None, None, [], []
 
         def done():
-            if not found or keys is None:
+            if keys is None:
                 return
-            doc = np.concatenate([np.frombuffer(p, "<u2", n) for n, p in found])
-            at = np.concatenate([_unplanes(p[2 * n :], n, "<u4") for n, p in found])
-            order = np.lexsort((at, doc))
-            doc, at = doc[order], at[order].astype(np.int64)
-            edge = np.concatenate([[0], np.flatnonzero(doc[1:] != doc[:-1]) + 1, [len(doc)]])
-            which, spans = [], []
-            for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):
-                s, e = merged(np.maximum(at[lo:hi] - before, 0), at[lo:hi] + after)
-                which.append(int(doc[lo]))
-                spans.append(np.stack([s, e]).astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys[0][which]), pa.array(keys[1][which]), pa.array(spans, pa.binary())], ["u1", "u2", "spans"])
+            if window:
+                n = keys.shape[1]
+                yield rows(KEYS, n, u1=keys[0], u2=keys[1], src=[src] * n, doc=list(range(n)))
+            if found:
+                doc = np.concatenate([np.frombuffer(p, "<u2", n) for n, p in found])
+                at = np.concatenate([_unplanes(p[2 * n :], n, "<u4") for n, p in found])
+                order = np.lexsort((at, doc))
+                doc, at = doc[order], at[order].astype(np.int64)
+                which, spans = [], []
+                for lo, hi in _groups(doc):
+                    which.append(int(doc[lo]))
+                    spans.append(_packed(*merged(np.maximum(at[lo:hi] - before, 0), at[lo:hi] + after)))
+                yield rows(PLACES, len(which), u1=keys[0][which], u2=keys[1][which], spans=spans)
+            if links:
+                doc, doc2 = (np.concatenate([np.frombuffer(p, "<u2", n, i * n) for n, p in links]) for i in (0, 2))
+                at = np.concatenate([np.cumsum(_unplanes(p[4 * n : 8 * n], n, "<u4"), dtype=np.uint32) for n, p in links]).astype(np.int64)
+                at2 = at + np.concatenate([_unplanes(p[8 * n : 12 * n], n, "<i4") for n, p in links])
+                src2 = np.concatenate([_unplanes(p[12 * n :], n, "<i8") for n, p in links])
+                order = np.lexsort((at, doc))
+                doc, doc2, at, at2, src2 = (x[order] for x in (doc, doc2, at, at2, src2))
+                lo, hi = _runs(doc, at, at2, window, doc2, src2)
+                some = doc[lo]
+                yield rows(
+                    LINKS, len(lo), u1=keys[0][some], u2=keys[1][some], src=src2[lo], doc=doc2[lo].astype(np.int32),
+                    at=at[lo], n=at[hi - 1] + window - at[lo], pat=at2[lo],
+                )
 
         for b in batches:
             for kind, s, n, payload in zip(*(b.column(c).to_pylist() for c in ("kind", "src", "n", "payload"))):
                 if s != src:
                     yield from done()
-                    src, keys, found = s, None, []
-                if kind == 0:
+                    src, keys, found, links = s, None, [], []
+                if kind == KEYS:
                     keys = np.frombuffer(payload, np.int64).reshape(2, n)
-                else:
-                    found.append((n, payload))
+                elif kind != COLLIDING:
+                    (found if kind == PLACES else links).append((n, payload))
         yield from done()
 
     return run
 
 
-def _recurring(entries: DataFrame, name: str) -> DataFrame:
-    """Places of the names that recur, in rows like the entries'."""
+def _recurring(entries: DataFrame, name: str, linked: bool = False) -> DataFrame:
+    """Places, or links, of the names that recur, in rows like the entries'."""
     n = partitions(entries.sparkSession)
-    sorted_ = entries.repartition(n, "dest").sortWithinPartitions("dest").mapInArrow(_sort_buckets, ENTRY)
+    sorted_ = entries.repartition(n, "dest").sortWithinPartitions("dest").mapInArrow(_sort_buckets(linked), ENTRY)
     places = written(sorted_, name)
     del sorted_
     release(entries.sparkSession)
     return places
 
 
-def _spans(places: DataFrame, before: int, after: int, name: str) -> DataFrame:
-    """(u1, u2, spans): spans about the places, by document."""
+def _sources(places: DataFrame, before: int, after: int, window: int, name: str) -> DataFrame:
     n = partitions(places.sparkSession)
-    spans = places.repartition(n, "src").sortWithinPartitions("src", "kind").mapInArrow(_spans_by_document(before, after), "u1 long, u2 long, spans binary")
-    return written(spans.groupBy("u1", "u2").agg(F.collect_list("spans").alias("spans")), name)
+    return written(places.repartition(n, "src").sortWithinPartitions("src", "kind").mapInArrow(_by_source(before, after, window), _SOURCE), name)
 
 
-def _union(spans: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    all_ = np.concatenate([np.frombuffer(s, "<u4").reshape(2, -1) for s in spans], axis=1).astype(np.int64)
-    return merged(*all_[:, np.argsort(all_[0], kind="stable")])
+def _by_document(spans: DataFrame) -> DataFrame:
+    return spans.groupBy("u1", "u2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _sample_names(window: int, buckets: int):
@@ -285,7 +398,7 @@ def _sample_names(window: int, buckets: int):
                 for lo in range(0, last + 1, wide):
                     starts = block[: np.searchsorted(block, last - lo + 1)] + lo
                     if len(starts):
-                        batch.add((u1, u2), names(data, starts), starts)
+                        batch.add((u1, u2), names(data, starts), starts, data, len(starts))
                     if batch.full():
                         yield from batch.rows()
         yield from batch.rows()
@@ -293,26 +406,92 @@ def _sample_names(window: int, buckets: int):
     return run
 
 
+def _suffixes(batches, window: int):
+    """(u1, u2, data, starts, names) of the suffixes that may tie, in parts."""
+    names = Names(window)
+    for b in sliced(batches):
+        for u1, u2, text, spans in zip(*(c.to_pylist() for c in b.columns)):
+            data = np.frombuffer(text, np.uint8)
+            for lo, hi in zip(*(x.tolist() for x in _union(spans))):
+                hi = min(hi, len(data) - window + 1)
+                for at in range(lo, hi, BATCH // 2):
+                    starts = np.arange(at, min(hi, at + BATCH // 2))
+                    yield u1, u2, data, starts, names(data, starts)
+
+
 def _window_names(window: int, buckets: int, block: int):
     def run(batches):
-        names, batch = Names(window), Batch(buckets, block)
-        for b in sliced(batches):
-            for u1, u2, text, spans in zip(*(c.to_pylist() for c in b.columns)):
-                data = np.frombuffer(text, np.uint8)
-                for lo, hi in zip(*(x.tolist() for x in _union(spans))):
-                    hi = min(hi, len(data) - window + 1)
-                    for at in range(lo, hi, BATCH // 2):
-                        starts = np.arange(at, min(hi, at + BATCH // 2))
-                        found = names(data, starts)
-                        mine = found % np.uint64(BLOCKS) == block
-                        batch.add((u1, u2), found[mine], starts[mine])
-                        if batch.full():
-                            yield from batch.rows()
+        batch = Batch(buckets, window, block)
+        for u1, u2, data, starts, found in _suffixes(batches, window):
+            mine = found % np.uint64(BLOCKS) == block
+            batch.add((u1, u2), found[mine], starts[mine], data, len(starts))
+            if batch.full():
+                yield from batch.rows()
         yield from batch.rows()
 
     return run
 
 
+def _names_of(window: int):
+    """Rows (u1, u2, text, spans) to (name, u1, u2, at), one for each suffix in the spans."""
+
+    def run(batches):
+        for u1, u2, _, starts, found in _suffixes(batches, window):
+            for i in range(0, len(starts), 50_000):
+                n = len(starts[i : i + 50_000])
+                yield pa.RecordBatch.from_arrays([pa.array(found[i : i + n].view(np.int64)), pa.array([u1] * n), pa.array([u2] * n), pa.array(starts[i : i + n])], ["name", "u1", "u2", "at"])
+
+    return run
+
+
+def _colliding(batches):
+    for b in batches:
+        for payload in b.column(0).to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(payload, np.int64))], ["name"])
+
+
+def _span(at: str, end: str):
+    return F.expr(f"array(shiftleft({at}, 32) + {end})").alias("spans")
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """For a written table: broadcast if its rows are few, else joined by shuffling."""
+    return F.broadcast(df) if df.count() <= BROADCAST_KEYS else df
+
+
+def _by_bytes(some: DataFrame, names: DataFrame, window: int) -> DataFrame:
+    """(u1, u2, spans) of windows that recur, exactly, among all windows with the given names."""
+    places = some.select("u1", "u2", "text", "spans").mapInArrow(_names_of(window), "name long, u1 long, u2 long, at long").join(_few(names), "name")
+    there = F.expr(f"substring(text, cast(at as int) + 1, {window})").alias("bytes")
+    held = written(places.join(some.select("u1", "u2", "text"), ["u1", "u2"]).select("u1", "u2", "at", there), "repeats-bytes")
+    again = held.groupBy("bytes").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bytes")
+    return held.join(again, "bytes").select("u1", "u2", _span("at", f"(at + {window})"))
+
+
+def _repeated_spans(some: DataFrame, found: DataFrame, window: int) -> DataFrame:
+    """(u1, u2, spans): what recurs, each link confirmed by its bytes."""
+    rows = _sources(found, 0, window, window, "repeats-runs")
+    keys = rows.where(f"kind = {KEYS}").select("src", "doc", F.col("u1").alias("p1"), F.col("u2").alias("p2"))
+    links = rows.where(f"kind = {LINKS}").select(F.monotonically_increasing_id().alias("link"), "u1", "u2", "at", "n", "src", "doc", "pat").join(keys, ["src", "doc"])
+    ends = links.select("link", "n", F.explode(F.expr("array(struct(u1, u2, at), struct(p1 as u1, p2 as u2, pat as at))")).alias("x")).select("link", "n", "x.*")
+    ends = written(ends, "repeats-ends")
+    there = F.expr("substring(text, cast(at as int) + 1, cast(n as int))").alias("bytes")
+    compared = ends.join(some.select("u1", "u2", "text"), ["u1", "u2"]).select("link", there).groupBy("link").agg(F.min("bytes").alias("a"), F.max("bytes").alias("b"))
+    unequal = written(compared.where("a <> b").select("link"), "repeats-unequal")
+    spans = rows.where(f"kind = {PLACES}").select("u1", "u2", "spans")
+    names = found.where(f"kind = {COLLIDING}").select("payload").mapInArrow(_colliding, "name long")
+    if unequal.count():
+        wrong = ends.join(_few(unequal), "link").select("u1", "u2", _span("at", f"(at + n - {window} + 1)"))
+        texts = some.select("u1", "u2", "text").join(_by_document(wrong), ["u1", "u2"])
+        names = names.unionByName(texts.select("u1", "u2", "text", "spans").mapInArrow(_names_of(window), "name long, u1 long, u2 long, at long").select("name"))
+        ends = ends.join(_few(unequal), "link", "left_anti")
+    spans = spans.unionByName(ends.select("u1", "u2", _span("at", "(at + n)")))
+    names = written(names.distinct(), "repeats-colliding")
+    if names.count():
+        spans = spans.unionByName(_by_bytes(some, names, window))
+    return written(_by_document(spans), "repeats-spans")
+
+
 def _cut(batches):
     for b in sliced(batches):
         starts, ends, kept = [], [], []
@@ -332,7 +511,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     spark = docs.sparkSession
     small_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    # Two fingerprints of the row are its key: they are defined for null ids, and equal rows share spans.
+    # Two fingerprints of the row are its key: they are defined for null ids, and equal rows share it.
     keyed = docs.select(
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("u1"),
         F.xxhash64(F.col(text_col), F.col(id_col), F.lit(1)).alias("u2"),
@@ -342,18 +521,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     buckets, period = 2 * partitions(spark), difference_cover(window)[0]
     long_ = keyed.where(F.octet_length("text") >= window)
     entries = long_.select("u1", "u2", "text").mapInArrow(_sample_names(window, buckets), ENTRY)
-    near = _spans(_recurring(entries, "repeats-sample"), period - 1, 1, "repeats-near")
-    few = F.broadcast if near.count() <= BROADCAST_KEYS else (lambda df: df)
-    keys = few(near.select("u1", "u2"))
+    near = _sources(_recurring(entries, "repeats-sample"), period - 1, 1, 0, "repeats-near-parts")
+    near = written(_by_document(near), "repeats-near")
+    keys = _few(near.select("u1", "u2"))
     rest = keyed.join(keys, ["u1", "u2"], "left_anti")
-    some = written(keyed.join(keys, ["u1", "u2"], "left_semi").join(near, ["u1", "u2"]), "repeats-text")
-    places = None
+    # Equal rows are one with a number of copies; all of it recurs if there are more.
+    some = keyed.join(keys, ["u1", "u2"], "left_semi").groupBy("u1", "u2").agg(F.first("id").alias("id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    some = written(some.join(near, ["u1", "u2"]), "repeats-text")
+    found = None
     for block in range(BLOCKS):
         entries = some.select("u1", "u2", "text", "spans").mapInArrow(_window_names(window, buckets, block), ENTRY)
-        found = _recurring(entries, "repeats-windows")
-        places = found if places is None else places.unionByName(found)
-    spans = _spans(places, 0, window, "repeats-spans")
-    cut = some.drop("spans").join(spans, ["u1", "u2"], "left").select("id", "text", "spans")
+        part = _recurring(entries, "repeats-windows", linked=True)
+        found = part if found is None else found.unionByName(part)
+    spans = _repeated_spans(some, found, window)
+    cut = some.drop("spans").join(spans, ["u1", "u2"], "left")
+    whole = F.expr("if(copies > 1, array(cast(octet_length(text) as bigint)), spans)").alias("spans")
+    cut = cut.select("id", "text", whole, F.explode(F.expr("sequence(1, copies)")).alias("copy")).select("id", "text", "spans")
     id_type = keyed.schema["id"].dataType.simpleString()
     cut = cut.mapInArrow(_cut, f"id {id_type}, starts array<long>, ends array<long>, kept binary")
     none = F.array().cast("array<long>")

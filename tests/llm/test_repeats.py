@@ -53,3 +53,23 @@ def test_odd_rows(odd, empty, odd_rows):
     want = [(r.doc_id, *x) for r, x in zip(odd_rows, slow([r.text for r in odd_rows], 400))]
     assert sorted(((r.id, r.starts, r.ends, bytes(r.kept)) for r in got), key=str) == sorted(want, key=str)
     assert repeats.remove_repeats(empty).collect() == []
+
+
+def test_strings_that_collide_are_told_apart_by_their_bytes(spark, monkeypatch):
+    morse = [bin(i).count("1") % 2 for i in range(128)]
+
+    def string(swapped):
+        return "".join(chr(pair[bit ^ swapped]) for pair in ((33, 36), (98, 75), (120, 92)) for bit in morse) + "e" * 16
+
+    x, y = string(0), string(1)
+    names = repeats.Names(400)
+    at = np.zeros(1, np.int64)
+    assert names(np.frombuffer(x.encode(), np.uint8), at) == names(np.frombuffer(y.encode(), np.uint8), at)
+    texts = [x, y, "other words " * 9 + x[100:], "words of another " * 7 + y[100:], "k" * 30 + x + "a", y + "b", x[:399], None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for parts in (1, 8):  # within a batch, and between batches
+        for some in (texts[:4], texts):
+            rows = repeats.remove_repeats(docs.where(f"doc_id < {len(some)}").repartition(parts)).collect()
+            got = {r.id: (r.starts, r.ends, bytes(r.kept)) for r in rows}
+            assert [got[i] for i in range(len(some))] == slow(some, 400)
+    assert [r for _, r, _ in slow(texts[:4], 400)] == [[]] * 4

@@ -14,12 +14,15 @@ leaf is brought together, so a line that a third of all documents hold is one en
 Leaves with more than ``LEAF`` different lines are parsed in parts, with the result of the
 whole: lines that may be ``SIMILAR`` differ in few places, so if the places are cut into
 one block more, one block is equal.  Lines that share no block, directly or by others,
-never meet in a template, and each component of lines that do is a part.  Tokens travel as 16-bit hashes; texts are read twice
-and never shuffled while the rows of documents that lose lines are few enough to be
-broadcast (otherwise they are joined).
+never meet in a template, and each component of lines that do is a part.  So ``LEAF`` deals
+out work and decides nothing.  Leaves, lines and tokens are compared as they are written, never
+by hashes alone.  Texts are read twice and never shuffled while what documents lose is
+small enough to be broadcast (otherwise they are joined).
 
 Defined results: a null text stays null, empty lines and lines under ``MIN_TOKENS``
-tokens always stay; repeated rows are documents of their own, but one and the same to
+tokens always stay; very long lines and texts are parsed whole; a line that is equally similar to
+several templates joins the one that was met first, and lines are met in the order of
+their number, then by their bytes; repeated rows are documents of their own, but one and the same to
 the rule which keeps the first; among null ids the order is by fingerprint; an empty
 table gives an empty result; all other columns pass through.
 """
@@ -28,7 +31,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -42,24 +44,22 @@ from quire.llm.components import connected_components
 MIN_TOKENS, MIN_DOCS, SIMILAR, LEAF = 3, 5, 0.8, 4_096
 #: Leading tokens of the tree's leaves.
 DEPTH = 3
-BROADCAST_ROWS = 500_000
+#: Bytes of a table that is broadcast.
+BROADCAST_BYTES = 16 << 20
 
 _DIGIT = re.compile(rb"\d")
-_FIELDS = ["u1", "u2", "line", "leaf0", "sig", "tokens", "id"]
-_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+_FIELDS = ["u1", "u2", "line", "leaf", "masked", "id"]
+_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
 
 
-def parse(line: bytes) -> tuple[int, int, bytes] | None:
-    """Leaf, fingerprint of the masked line, 16-bit hashes of its tokens."""
+def parse(line: bytes) -> tuple[bytes, bytes] | None:
+    """Leaf and masked line: tokens with a digit are variable."""
     tokens = line.split()
     if len(tokens) < MIN_TOKENS:
         return None
     if _DIGIT.search(line):
         tokens = [b"<*>" if _DIGIT.search(t) else t for t in tokens]
-    size = b"%d " % len(tokens)
-    leaf = xxhash.xxh64_intdigest(size + b" ".join(tokens[:DEPTH]), DEPTH)
-    hashes = np.fromiter(map(zlib.crc32, tokens), np.uint32, len(tokens)).astype("<u2")
-    return leaf, xxhash.xxh64_intdigest(b" ".join(tokens)), hashes.tobytes()
+    return b"%d " % len(tokens) + b" ".join(tokens[:DEPTH]), b" ".join(tokens)
 
 
 def _lines(batches):
@@ -73,9 +73,7 @@ def _lines(batches):
                         rows.append((u1, u2, i, *found))
                         of.append(k)
             if rows:
-                cols = list(zip(*rows))
-                signed = [np.array(c, np.uint64).view(np.int64) for c in cols[3:5]]
-                arrays = [pa.array(c, t) for c, t in zip([*cols[:3], *signed, cols[5]], _TYPES)]
+                arrays = [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)]
                 yield pa.RecordBatch.from_arrays([*arrays, b.column(3).take(pa.array(of))], _FIELDS)
 
 
@@ -83,96 +81,106 @@ class Leaf:
     """Templates of one leaf; lines come in a fixed order."""
 
     def __init__(self, width: int):
-        self.tokens = np.empty((16, width), np.uint16)
+        self.tokens = np.empty((16, width), np.int32)
         self.wild = np.zeros((16, width), bool)
-        self.first: list[int] = []
-
-    def add(self, tokens: np.ndarray, sig: int) -> int:
-        """The fingerprint of the first line of the template that the line joins."""
-        n = len(self.first)
-        if n:
-            equal = ((self.tokens[:n] == tokens) & ~self.wild[:n]).sum(1)
+        self.number: dict[bytes, int] = {}  # of each different token
+        self.n = 0
+
+    def add(self, tokens: list[bytes]) -> int:
+        """The number of the template that the line joins or begins."""
+        line = np.array([self.number.setdefault(t, len(self.number)) for t in tokens], np.int32)
+        if self.n:
+            equal = ((self.tokens[: self.n] == line) & ~self.wild[: self.n]).sum(1)
             best = int(equal.argmax())
-            if equal[best] >= SIMILAR * len(tokens):
-                self.wild[best] |= self.tokens[best] != tokens
-                return self.first[best]
-        if n == len(self.tokens):
+            if equal[best] >= SIMILAR * len(line):
+                self.wild[best] |= self.tokens[best] != line
+                return best
+        if self.n == len(self.tokens):
             self.tokens = np.concatenate([self.tokens, np.empty_like(self.tokens)])
             self.wild = np.concatenate([self.wild, np.zeros_like(self.wild)])
-        self.tokens[n], self.wild[n] = tokens, False
-        self.first.append(sig)
-        return sig
+        self.tokens[self.n], self.wild[self.n] = line, False
+        self.n += 1
+        return self.n - 1
 
 
 def _templates(batches):
-    """Rows sorted by leaf to (leaf, sig, template, leaf0)."""
+    """Rows sorted by leaf and part to (leaf, part, masked, template)."""
     key, leaf = None, None
     for b in batches:
         out = []
-        for k, sig, tokens in zip(*(b.column(c).to_pylist() for c in ("leaf", "sig", "tokens"))):
-            if k != key:
-                key, leaf = k, Leaf(len(tokens) // 2)
-            out.append(leaf.add(np.frombuffer(tokens, "<u2"), sig))
-        yield pa.RecordBatch.from_arrays([b.column("leaf"), b.column("sig"), pa.array(out, pa.int64()), b.column("leaf0")], ["leaf", "sig", "template", "leaf0"])
+        for k, part, masked in zip(*(b.column(c).to_pylist() for c in ("leaf", "part", "masked"))):
+            tokens = masked.split(b" ")
+            if (k, part) != key:
+                key, leaf = (k, part), Leaf(len(tokens))
+            out.append(leaf.add(tokens))
+        yield pa.RecordBatch.from_arrays([b.column("leaf"), b.column("part"), b.column("masked"), pa.array(out, pa.int32())], ["leaf", "part", "masked", "template"])
 
 
-def blocks(tokens: np.ndarray) -> list[bytes]:
+def blocks(tokens: list[bytes]) -> list[bytes]:
     """Parts of the tokens after the leaf's, one of which is equal in any two lines that may be similar."""
     n = len(tokens)
-    cut = np.linspace(DEPTH, n, n - math.ceil(SIMILAR * n) + 2).astype(int)
-    return [tokens[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
+    cut = np.linspace(DEPTH, n, n - math.ceil(SIMILAR * n) + 2).astype(int).tolist()
+    return [b" ".join(tokens[a:b]) for a, b in zip(cut[:-1], cut[1:])]
 
 
 def _blocks(batches):
     for b in batches:
         nodes, keys = [], []
-        for leaf, node, tokens in zip(*(b.column(c).to_pylist() for c in ("leaf0", "node", "tokens"))):
-            for i, block in enumerate(blocks(np.frombuffer(tokens, "<u2"))):
+        for leaf, node, masked in zip(*(b.column(c).to_pylist() for c in ("leaf", "node", "masked"))):
+            for i, block in enumerate(blocks(masked.split(b" "))):
                 nodes.append(node)
-                keys.append(xxhash.xxh64_intdigest(b"%d %d " % (leaf, i) + block))
+                keys.append(xxhash.xxh64_intdigest(b"%d %b %b" % (i, leaf, block)))
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(np.array(keys, np.uint64).view(np.int64))], ["node", "key"])
 
 
 def parts(entries: DataFrame) -> DataFrame:
-    """(node, leaf): the part of each entry (leaf0, node, tokens); entries that may be similar have the same."""
-    keyed = written(entries.select("leaf0", "node", "tokens").mapInArrow(_blocks, "node long, key long"), "line-blocks")
+    """Adds to entries (leaf, masked, n) their part: entries that may be similar have the same.
+
+    Nodes and blocks are named by hashes; should two be named alike, their parts are one.
+    """
+    entries = written(entries.withColumn("node", F.xxhash64("leaf", "masked")), "line-crowded")
+    keyed = written(entries.select("leaf", "node", "masked").mapInArrow(_blocks, "node long, key long"), "line-blocks")
     least = keyed.groupBy("key").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
     roots = connected_components(keyed.join(least, "key").select(F.col("node").alias("u"), "v"))
-    return entries.select("node").join(roots.withColumnRenamed("u", "node"), "node", "left").select("node", F.coalesce("root", "node").alias("leaf"))
+    return entries.join(roots.withColumnRenamed("u", "node"), "node", "left").select("leaf", "masked", "n", F.coalesce("root", "node").alias("part"))
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """For a written table: broadcast if its rows are few, else joined by shuffling."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _few(df: DataFrame, *sizes) -> DataFrame:
+    """For a written table: broadcast if it is small, by the sizes of its columns of any length, else joined by shuffling."""
+    width = sum(sizes, F.lit(32)).cast("long")
+    return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
 def recurring_lines(keyed: DataFrame) -> DataFrame:
     """(u1, u2, line): lines to drop, of (u1, u2, id, text) rows."""
     spark = keyed.sparkSession
     small_batches(spark)
-    schema = f"u1 long, u2 long, line int, leaf0 long, sig long, tokens binary, id {keyed.schema['id'].dataType.simpleString()}"
+    schema = f"u1 long, u2 long, line int, leaf binary, masked binary, id {keyed.schema['id'].dataType.simpleString()}"
     lines = written(keyed.where(F.col("text").isNotNull()).select("u1", "u2", "text", "id").mapInArrow(_lines, schema), "lines")
     # The number of a leaf's lines bounds the number of its documents; few leaves are met so often.
-    met = lines.groupBy("leaf0").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= MIN_DOCS).select("leaf0")
-    lines = written(lines.join(_few(written(met, "line-leaves")), "leaf0"), "line-candidates")
+    met = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= MIN_DOCS).select("leaf")
+    lines = written(lines.join(_few(written(met, "line-leaves"), F.octet_length("leaf")), "leaf"), "line-candidates")
     # Entries: equal masked lines, with the number of their occurrences.
-    entries = lines.groupBy("leaf0", "sig").agg(F.count(F.lit(1)).alias("n"), F.max("tokens").alias("tokens"))
-    large = written(entries.groupBy("leaf0").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > LEAF).select("leaf0"), "line-large")
-    whole = entries.withColumn("leaf", F.col("leaf0"))
+    entries = written(lines.groupBy("leaf", "masked").agg(F.count(F.lit(1)).alias("n")), "line-entries")
+    large = written(entries.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > LEAF).select("leaf"), "line-large")
+    whole = entries
     if large.count():
-        node = F.xxhash64("leaf0", "sig").alias("node")
-        crowded = written(entries.join(_few(large), "leaf0").select("*", node), "line-crowded")
-        whole = whole.join(_few(large), "leaf0", "left_anti").unionByName(crowded.join(parts(crowded), "node").drop("node"))
-    parsed = whole.repartition(partitions(spark), "leaf").sortWithinPartitions("leaf", F.desc("n"), "sig")
-    templates = written(parsed.select("leaf", "sig", "tokens", "leaf0").mapInArrow(_templates, "leaf long, sig long, template long, leaf0 long"), "line-templates")
-    held = lines.select("u1", "u2", "id", "line", "leaf0", "sig").join(_few(templates), ["leaf0", "sig"])
-    held = written(held.select("u1", "u2", "id", "line", "leaf", "template"), "line-held")
+        large = _few(large, F.octet_length("leaf"))
+        whole = entries.join(large, "leaf", "left_anti")
+    whole = whole.withColumn("part", F.lit(0).cast("long"))
+    if whole.count() < entries.count():
+        whole = whole.unionByName(parts(entries.join(large, "leaf")))
+    parsed = whole.repartition(partitions(spark), "leaf", "part").sortWithinPartitions("leaf", "part", F.desc("n"), "masked")
+    templates = written(parsed.select("leaf", "part", "masked").mapInArrow(_templates, "leaf binary, part long, masked binary, template int"), "line-templates")
+    held = lines.join(_few(templates, F.octet_length("leaf"), F.octet_length("masked")), ["leaf", "masked"])
+    held = written(held.select("u1", "u2", "id", "line", "leaf", "part", "template"), "line-held")
     # Exact numbers of documents, which count once for a template, and the first of them.
-    docs = held.select("leaf", "template", "u1", "u2", "id").distinct()
+    template = ["leaf", "part", "template"]
+    docs = held.select(*template, "u1", "u2", "id").distinct()
     order = F.struct(F.col("id").isNull(), F.col("id"), F.col("u1"), F.col("u2"))
-    recurs = docs.groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("docs"), F.min(order).alias("first")).where(F.col("docs") >= MIN_DOCS)
-    recurs = written(recurs.select("leaf", "template", F.col("first.u1").alias("f1"), F.col("first.u2").alias("f2")), "line-recurs")
-    return held.join(_few(recurs), ["leaf", "template"]).where("u1 <> f1 or u2 <> f2").select("u1", "u2", "line")
+    recurs = docs.groupBy(*template).agg(F.count(F.lit(1)).alias("docs"), F.min(order).alias("first")).where(F.col("docs") >= MIN_DOCS)
+    recurs = written(recurs.select(*template, F.col("first.u1").alias("f1"), F.col("first.u2").alias("f2")), "line-recurs")
+    return held.join(_few(recurs, F.octet_length("leaf")), template).where("u1 <> f1 or u2 <> f2").select("u1", "u2", "line")
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,8 +197,11 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     )
     plain = keyed.select(F.col(u1).alias("u1"), F.col(u2).alias("u2"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     drop = recurring_lines(plain).groupBy(F.col("u1").alias(u1), F.col("u2").alias(u2)).agg(F.sort_array(F.collect_set("line")).alias(gone))
-    drop = _few(written(drop, "line-drops"))
-    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col(gone), i)), "\n")
+    drop = _few(written(drop, "line-drops"), F.size(gone) * 4)
+    # The lines between those that go, slice by slice.
+    between = F.expr(f"""transform(array(split(`{text_col}`, '\\n', -1)), l -> array_join(flatten(transform(sequence(0, size(`{gone}`)), j ->
+        slice(l, if(j = 0, 1, `{gone}`[j - 1] + 2), if(j = size(`{gone}`), size(l), `{gone}`[j]) - if(j = 0, 0, `{gone}`[j - 1] + 1)))), '\n'))""")
+    kept = F.element_at(between, 1)
     text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(kept)
     out = keyed.join(drop, [u1, u2], "left")
     dropped = F.coalesce(F.size(gone), F.lit(0)).cast("long")

@@ -1,4 +1,8 @@
 import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
 
 from quire.llm import lines
 
@@ -26,19 +30,72 @@ def test_rare_and_short_lines_stay(spark):
     assert sorted(r.text for r in got) == sorted(texts)
 
 
-def test_leaves_that_are_too_large_go_deeper(spark, monkeypatch):
-    texts = [f"same three words then {'abcdefgh'[i % 8]} fixed x{'abcdefgh'[i // 8]}y tail end" for i in range(64)]
-    monkeypatch.setattr(lines, "LEAF", 10)
-    got = lines.drop_recurring_lines(make(spark, texts))
-    assert got.where("lines_dropped = 0").count() == 8  # a template for each word after the third
+def slow(texts):
+    """The rule in plain Python: texts in the order of their ids to what is left of them."""
+    masked = lambda line: " ".join("<*>" if any(c.isdigit() and c.isascii() for c in t) else t for t in line.split())
+    rows = [(i, k, masked(line)) for i, t in enumerate(texts) if t is not None for k, line in enumerate(t.split("\n")) if len(line.split()) >= 3]
+    times = Counter(m for _, _, m in rows)
+    leaves, of = defaultdict(list), {}
+    for m in sorted(times, key=lambda m: (-times[m], m.encode())):
+        tokens = m.split(" ")
+        templates = leaves[(len(tokens), *tokens[:3])]
+        alike = [sum(a == b for a, b in zip(t, tokens)) for t in templates]
+        best = alike.index(max(alike)) if alike else None
+        if best is None or alike[best] < 0.8 * len(tokens):
+            templates.append(list(tokens))
+            of[m] = templates[-1]
+        else:
+            of[m] = templates[best]
+            templates[best][:] = [a if a == b else None for a, b in zip(templates[best], tokens)]
+    docs = defaultdict(set)
+    for i, _, m in rows:
+        docs[id(of[m])].add(i)
+    gone = {(i, k) for i, k, m in rows if len(docs[id(of[m])]) >= 5 and min(docs[id(of[m])]) != i}
+    return [None if t is None else "\n".join(line for k, line in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in enumerate(texts)]
+
+
+def corpus(rng, n):
+    word = lambda k: "".join(rng.choice("abc"[:k]) for _ in range(2))
+    line = lambda: " ".join([word(1), word(1), word(1), *(word(3) for _ in range(rng.choice((0, 2, 5, 7))))]) + rng.choice(("", " 7", " x1"))
+    return ["\n".join(line() for _ in range(rng.randint(0, 6))) for _ in range(n)] + [None, "", "a b", "\n\n"]
+
+
+@pytest.mark.parametrize("leaf", [4096, 8])
+def test_against_brute_force(spark, monkeypatch, leaf):
+    monkeypatch.setattr(lines, "LEAF", leaf)
+    texts = corpus(random.Random(8), 120)
+    want = slow(texts)
+    assert want != texts
+    got = {r.doc_id: r.text for r in lines.drop_recurring_lines(make(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_the_size_of_a_leaf_changes_nothing(spark):
+    """Six documents alone, and among 10,000 unrelated lines of their leaf."""
+    texts = [f"the same first words {w} stand in this one recurring line" for w in ("red", "blue", "green", "white", "black", "grey")]
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    other = ["the same first " + " ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(8)) for _ in range(10_000)]
+    alone = lines.drop_recurring_lines(make(spark, texts)).orderBy("doc_id").collect()
+    among = lines.drop_recurring_lines(make(spark, texts + other)).where("doc_id < 6").orderBy("doc_id").collect()
+    assert alone == among and [r.lines_dropped for r in alone] == [0, 1, 1, 1, 1, 1]
 
 
 def test_similarity_of_a_leaf():
-    import numpy as np
-
     leaf = lines.Leaf(5)
-    t = lambda *x: np.array(x, np.uint16)
-    assert [leaf.add(t(1, 2, 3, 4, 5), 10), leaf.add(t(1, 2, 3, 4, 6), 11), leaf.add(t(1, 2, 3, 7, 8), 12), leaf.add(t(1, 2, 3, 9, 7), 13)] == [10, 10, 12, 13]
+    got = [leaf.add(x.split()) for x in (b"a b c d e", b"a b c d f", b"a b c g h", b"a b c i g")]
+    assert got == [0, 0, 1, 2]
+
+
+def test_tokens_that_share_a_hash_are_different(spark):
+    """Lines whose tokens agree in the lowest 16 bits of their CRC-32."""
+    by_hash = defaultdict(list)
+    for i in range(60_000):
+        word = "".join(chr(97 + i // 26**k % 26) for k in range(4))
+        by_hash[zlib.crc32(word.encode()) & 0xFFFF].append(word)
+    groups = [g for g in by_hash.values() if len(g) >= 6][:5]
+    texts = [" ".join(["one", "two", "three", *(g[i] for g in groups)]) for i in range(6)]
+    assert lines.drop_recurring_lines(make(spark, texts)).agg({"lines_dropped": "sum"}).first()[0] == 0
 
 
 def test_odd_rows(odd, empty, odd_rows):

@@ -90,10 +90,11 @@ def test_similarity_of_a_leaf():
 def test_tokens_that_share_a_hash_are_different(spark):
     """Lines whose tokens agree in the lowest 16 bits of their CRC-32."""
     by_hash = defaultdict(list)
-    for i in range(60_000):
-        word = "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    for i in range(600_000):
+        word = "".join(chr(97 + i // 26**k % 26) for k in range(5))
         by_hash[zlib.crc32(word.encode()) & 0xFFFF].append(word)
     groups = [g for g in by_hash.values() if len(g) >= 6][:5]
+    assert len(groups) == 5
     texts = [" ".join(["one", "two", "three", *(g[i] for g in groups)]) for i in range(6)]
     assert lines.drop_recurring_lines(make(spark, texts)).agg({"lines_dropped": "sum"}).first()[0] == 0
 

@@ -4,19 +4,26 @@
    sequence is cut, into full pieces and a rest; a full piece is a sequence.
 2. The other pieces are dealt by hash into groups of bounded size.  A group is packed by
    best-fit decreasing over a table of free space (lengths are small integers).
-3. Dual feasible functions give a lower bound of the group's number of bins.  Where the
-   packing meets the bound, only the loosest bin (the rounding of this group) stays
-   open; where there is a gap, loosest bins stay open until their free space exceeds
-   the gap.  Eight groups put the pieces of their open bins together and pack them
-   again, until one group is left.  Each round handles about an eighth of the bins that
-   were open before, so no task ever holds more than a group of the first round does.
-
-Every round is written to the scratch folder.  Pieces travel with their rows, so there
-is no join.  Results do not depend on the order of rows.
-
-Defined results: a null or empty text is the single id 0; repeated rows are documents
-of their own; a null id stays null; an empty table gives no pieces; other columns are
-ignored.
+3. Dual feasible functions give a lower bound of the group's number of bins, its
+   certificate.  Where the packing meets the bound, all bins but the loosest (the rounding
+   of this group) are closed; where there is a gap, loosest bins stay open until their
+   free space exceeds the gap, or until they hold an eighth of a group's pieces.  Eight
+   groups put the pieces of their open bins together and pack them again, until one group
+   is left.
+4. Every piece carries the number of bins and the bound of the group that closed its
+   sequence, and ``certificate`` gives both for the whole table.
+
+Scale: no group has more pieces than a group of the first round, because at most
+``group / MERGE`` pieces of each are handed on, whatever its gap; so a task's memory is bounded
+and each round handles an eighth of the pieces of the round before, at most.  Groups are
+dealt by a hash that also takes the place in the written table, so that many equal rows
+are no large group.  Every round is written to the scratch folder.  Pieces travel with
+their rows, so there is no join.
+
+Defined results: a null or empty text is the single id 0; a very long text is cut into full pieces
+and a rest; repeated rows are documents of their own; of pieces of one length, which
+sequence gets which is decided by their id, piece and checksum, null ids first; a null id
+stays null; an empty table gives no pieces; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +40,7 @@ from pyspark.sql.types import StructType
 from quire.llm.common import sliced, small_batches, written
 from quire.llm.tokens import word_tokens
 
+#: Tokens of a sequence, groups whose open bins meet, pieces of a group.
 SEQUENCE, MERGE, GROUP = 2048, 8, 8192
 END = b"\x00\x00\x00\x00"
 
@@ -86,15 +94,15 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
     return bins, at, np.array(free, np.int64)
 
 
-def least_bins(sizes: np.ndarray, capacity: int) -> int:
-    """A lower bound of the number of bins by dual feasible functions.
+def least_bins(sizes: np.ndarray, capacity: int, counted: bool = False) -> int:
+    """A lower bound of the number of bins by dual feasible functions, of sizes or of their counts.
 
     One family counts sizes over C - e as whole bins and leaves out those under e, for
     every e up to C / 2; the other rounds (k + 1) * size / C down, for k up to 30.
     """
-    if not len(sizes):
+    if not sizes.any():
         return 0
-    n = np.bincount(sizes, minlength=capacity + 1)
+    n = sizes if counted else np.bincount(sizes, minlength=capacity + 1)
     total = np.cumsum(n * np.arange(capacity + 1))
     count = np.cumsum(n)
     half = capacity // 2
@@ -111,42 +119,51 @@ def least_bins(sizes: np.ndarray, capacity: int) -> int:
     return max(found, int(-(-total[capacity] // capacity)))
 
 
-def open_bins(free: np.ndarray, bound: int, capacity: int) -> np.ndarray:
-    """Which bins exchange their documents with other groups."""
+def open_bins(bins: np.ndarray, free: np.ndarray, bound: int, capacity: int, most: int) -> np.ndarray:
+    """Which bins exchange their documents with other groups: the loosest ones, with ``most`` pieces at most.
+
+    ``bins`` has the bin of each piece.
+    """
     order = np.argsort(-free, kind="stable")
     gap = len(free) - bound
     need = 1 if gap <= 0 else int(np.searchsorted(np.cumsum(free[order]), (gap + 1) * capacity)) + 1
+    held = np.cumsum(np.bincount(bins, minlength=len(free))[order])
     out = np.zeros(len(free), bool)
-    out[order[:need]] = True
+    out[order[: min(need, int(np.searchsorted(held, most, "right")))]] = True
     return out & (free > 0)
 
 
-def _packer(capacity: int, level: int, last: bool):
+def _packer(capacity: int, level: int, last: bool, most: int):
     def run(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
-        t = t.sort_values(["length", "id", "piece", "crc"], ascending=[False, True, True, True], ignore_index=True)
+        t = t.sort_values(["length", "id", "piece", "crc"], ascending=[False, True, True, True], na_position="first", ignore_index=True)
         sizes = t["length"].to_numpy()
         bins, at, free = best_fit_decreasing(sizes, capacity)
-        stay = np.zeros(len(free), bool) if last else open_bins(free, least_bins(sizes, capacity), capacity)
+        bound = least_bins(sizes, capacity)
+        stay = np.zeros(len(free), bool) if last else open_bins(bins, free, bound, capacity, most)
         t["sequence_id"] = (level << 58) + (int(key[0]) << 24) + bins
-        t["offset"], t["open"] = at, stay[bins]
+        t["offset"], t["group_bins"], t["group_bound"], t["open"] = at, len(free), bound, stay[bins]
         return t
 
     return run
 
 
 def pack(pieces: DataFrame, capacity: int = SEQUENCE, group: int = GROUP) -> DataFrame:
-    """Adds sequence_id and offset to rows with id, piece, crc and length (of 1 to ``capacity``)."""
+    """Adds sequence_id, offset, group_bins and group_bound to rows with id, piece, crc and length (of 1 to ``capacity``)."""
     cols = pieces.columns
-    full = pieces.where(F.col("length") >= capacity).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+    one = F.lit(1).cast("long")
+    full = pieces.where(F.col("length") >= capacity).withColumn("sequence_id", -1 - F.monotonically_increasing_id())
+    full = full.select(*cols, "sequence_id", F.lit(0).cast("long").alias("offset"), one.alias("group_bins"), one.alias("group_bound"))
     rest = pieces.where(F.col("length") < capacity)
-    groups = max(1, -(-rest.count() // group))
-    rest = rest.withColumn("g", F.pmod(F.xxhash64("id", "piece", "crc", "length"), F.lit(groups)))
+    n = rest.count()
+    groups = max(1, -(-n * 8 // (group * 7))) if n > group else 1  # seven eighths on average leave room for uneven dealing
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(65_521))
+    rest = rest.withColumn("g", F.pmod(F.xxhash64("id", "piece", "crc", "length", place), F.lit(groups)))
     done, level = [full], 0
     while True:
         last = groups == 1
-        schema = StructType([*rest.schema, *StructType.fromDDL("sequence_id long, offset long, open boolean")])
-        packed = written(rest.groupBy("g").applyInPandas(_packer(capacity, level, last), schema), "packed")
-        done.append(packed.where(~F.col("open")).select(*cols, "sequence_id", "offset"))
+        schema = StructType([*rest.schema, *StructType.fromDDL("sequence_id long, offset long, group_bins long, group_bound long, open boolean")])
+        packed = written(rest.groupBy("g").applyInPandas(_packer(capacity, level, last, group // MERGE), schema), "packed")
+        done.append(packed.where(~F.col("open")).select(*cols, "sequence_id", "offset", "group_bins", "group_bound"))
         if last:
             break
         groups, level = -(-groups // MERGE), level + 1
@@ -157,6 +174,18 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE, group: int = GROUP) -> Dat
     return out
 
 
+def certificate(packed: DataFrame, capacity: int = SEQUENCE) -> tuple[int, int]:
+    """Number of sequences, and the lower bound of it by the lengths of all pieces (``capacity`` counts at most come to the driver)."""
+    sequences = packed.where("offset = 0").count()
+    full, counts = 0, np.zeros(capacity + 1, np.int64)
+    for length, n in packed.groupBy("length").count().collect():
+        if length >= capacity:
+            full += n
+        else:
+            counts[length] = n
+    return sequences, full + least_bins(counts, capacity, counted=True)
+
+
 def pack_documents(docs: DataFrame, capacity: int = SEQUENCE, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: id, piece, start, length, crc, sequence_id, offset."""
+    """One row per piece: id, piece, start, length, crc, sequence_id, offset, group_bins, group_bound."""
     return pack(written(token_pieces(docs, capacity, path, id_col, text_col), "pieces"), capacity)

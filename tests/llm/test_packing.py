@@ -80,12 +80,56 @@ def test_odd_rows(odd, empty, odd_rows, tokens):
     assert packing.pack_documents(empty).collect() == []
 
 
+def pieces(spark, lengths):
+    rows = [(i, 0, 0, n, i) for i, n in enumerate(lengths)]
+    return spark.createDataFrame(rows, "id long, piece int, start long, length long, crc long").repartition(4)
+
+
 def test_groups_exchange_their_loose_bins(spark):
-    rows = [(i, 0, 0, 300 + (i * 7919) % 900, i) for i in range(2_000)]
-    pieces = spark.createDataFrame(rows, "id long, piece int, start long, length long, crc long")
-    got = packing.pack(pieces, 2048, group=100).collect()
-    assert len(got) == 2_000
-    n = len({r.sequence_id for r in got})
-    bound = packing.least_bins(np.array([r[3] for r in rows]), 2048)
-    alone = len({r.sequence_id for r in packing.pack(pieces, 2048, group=10_000).collect()})
-    assert bound <= n <= alone + 12
+    lengths = [300 + (i * 7919) % 900 for i in range(2_000)]
+    packed = packing.pack(pieces(spark, lengths), 2048, group=100)
+    got = packed.collect()
+    assert sorted(r.length for r in got) == sorted(lengths)
+    n, bound = packing.certificate(packed)
+    assert n == len({r.sequence_id for r in got}) and bound == packing.least_bins(np.array(lengths), 2048)
+    alone = len(packing.best_fit_decreasing(np.array(sorted(lengths, reverse=True)), 2048)[2])
+    parted = sum(len(packing.best_fit_decreasing(np.array(sorted(lengths[i::23], reverse=True)), 2048)[2]) for i in range(23))
+    assert bound <= n <= 1.03 * alone and n < parted
+    assert all(r.group_bound <= r.group_bins for r in got)
+
+
+@pytest.mark.parametrize("lowest, highest", [(400, 900), (600, 1000)])
+def test_no_group_outgrows_those_of_the_first_round(spark, lowest, highest):
+    """Lengths without a tight packing, whose bins all stay loose."""
+    lengths = [lowest + (i * 7919) % (highest - lowest) for i in range(64 * 448)]
+    held = defaultdict(int)
+    packer = packing._packer
+
+    def counted(*args):
+        run = packer(*args)
+
+        def inner(key, t):
+            assert len(t) <= 512, f"{len(t)} pieces in a group"
+            return run(key, t)
+
+        return inner
+
+    packing._packer = counted
+    try:
+        packed = packing.pack(pieces(spark, lengths), 2048, group=512)
+        got = packed.collect()
+    finally:
+        packing._packer = packer
+    for r in got:
+        held[r.sequence_id] += r.length
+    assert len(got) == len(lengths) and max(held.values()) <= 2048
+    n, bound = packing.certificate(packed)
+    alone = len(packing.best_fit_decreasing(np.array(sorted(lengths, reverse=True)), 2048)[2])
+    assert n == len(held) and bound <= n <= 1.02 * alone
+
+
+def test_equal_rows_are_dealt_to_many_groups(spark):
+    rows = spark.range(3_000).selectExpr("cast(null as long) as id", "0 as piece", "0L as start", "700L as length", "5L as crc")
+    packed = packing.pack(rows, 2048, group=100)
+    assert packed.count() == 3_000 and packing.certificate(packed)[0] <= 1_504
+    assert packing.certificate(packing.pack(rows.limit(0), 2048)) == (0, 0)

@@ -87,3 +87,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def word_count(text):
     """Number of words of a text column as bigint; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def uniform(*columns, seed: int = 0):
+    """A number from 0 to below 1 by the hash of the columns, fine enough for shares of any table."""
+    return F.shiftrightunsigned(F.xxhash64(*columns, F.lit(seed)), 11).cast("double") / F.lit(2.0**53)

@@ -7,17 +7,22 @@ visited hold a share ``visit`` of all entries, and ``k`` besides the query; ever
 its distance in double precision.  The codebooks are fitted on at most ``FIT`` vectors
 (chosen by hash), everything else covers every row.
 
-Scale: entries are dealt evenly, by hash of their id, into chunks of bounded size in
-which they are ordered by cell (an inverted list), so that no cell, however crowded, is
-one task.  Queries come in blocks of bounded size; a task ranks one block against one
-chunk and returns ten rows a query, which are merged.  On vectors without structure a
-query visits a fixed share of the entries, so the work is the product of both tables;
-``visit`` trades it against recall.
+Scale: the cells, in the order of their numbers, are dealt into chunks of at most ``CHUNK``
+entries, the inverted lists; a cell with more entries is dealt by hash over chunks of its
+own, so that none, however crowded, is one task.  A query goes only to chunks that hold
+cells which it visits, with the numbers of those.  Queries that meet in a chunk come in
+blocks of ``BLOCK``, each with a copy of the chunk, so there are as many copies of an entry
+as its cell is visited, divided by ``BLOCK``, and one more.  A task ranks one block against one
+chunk and returns ten rows a query, which are merged.  How many cells a query visits
+follows from the data: on vectors without structure it is a fixed share of all entries
+(``visit``, which trades work against recall), on clustered vectors its share lies in few chunks.
 
 Defined results: rows with a null id, and vectors that are null, of another length than
 most, all zero, or that hold null or non-finite components take no part; repeated rows
-count once; ties go to the smaller id; fewer than ``k`` candidates are all returned; an
-empty table gives an empty result; other columns are ignored.
+count once; two vectors of one id are two candidates and two queries, whose lists are one, where each
+candidate counts once with its smallest distance, and the id itself is no candidate; ties go to the
+smaller id; fewer than ``k`` candidates are all returned; an empty table gives an empty
+result; other columns are ignored; there are no texts.
 """
 
 from __future__ import annotations
@@ -30,10 +35,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import written
+from quire.llm.common import uniform, written
 
 #: Vectors that the codebooks are fitted on, centroids of a half, entries of a chunk, queries of a block.
-FIT, CENTROIDS, CHUNK, BLOCK = 16_384, 128, 8_192, 16_384
+FIT, CENTROIDS, CHUNK, BLOCK = 16_384, 128, 8_192, 4_096
 VISIT = 0.45
 
 
@@ -53,7 +58,15 @@ def codebook(half: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
         total = np.zeros_like(centroids)
         np.add.at(total, near, half)
         centroids[n > 0] = total[n > 0] / n[n > 0, None]
-    return centroids
+    return chained(centroids)
+
+
+def chained(centroids: np.ndarray) -> np.ndarray:
+    """Each is followed by the nearest one that is left, so that near cells have near numbers."""
+    order, left = [0], list(range(1, len(centroids)))
+    while left:
+        order.append(left.pop(int(((centroids[left] - centroids[order[-1]]) ** 2).sum(1).argmin())))
+    return centroids[order]
 
 
 def nearest(half: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -110,6 +123,32 @@ def _prober(dim: int, books: tuple[np.ndarray, np.ndarray], entries: np.ndarray,
     return run
 
 
+def _chunked(first: np.ndarray, parts: np.ndarray):
+    """A row for each chunk that a query's cells lie in, with those cells."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                b = batch.slice(at, 64)
+                row, chunk, cells = [], [], []
+                for i, raw in enumerate(b.column(2).to_pylist()):
+                    mine = np.sort(np.frombuffer(raw, np.int32))
+                    times = parts[mine]
+                    every = np.repeat(mine, times)
+                    # The chunks of a cell follow each other from its first one.
+                    where = np.repeat(first[mine], times) + np.arange(len(every)) - np.repeat(np.cumsum(times) - times, times)
+                    order = np.argsort(where, kind="stable")
+                    edge = np.flatnonzero(np.diff(where[order], prepend=-1))
+                    for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(order)]):
+                        row.append(i)
+                        chunk.append(int(where[order[lo]]))
+                        cells.append(every[order[lo:hi]])
+                taken = pa.array(row, pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column(0).take(taken), b.column(1).take(taken), pa.array(chunk, pa.int64()), pa.array(cells, pa.list_(pa.int32()))], ["qid", "vec", "chunk", "cells"])
+
+    return run
+
+
 def _ranker(k: int, n_cells: int):
     def run(key: tuple, index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -119,10 +158,14 @@ def _ranker(k: int, n_cells: int):
             x = np.frombuffer(b"".join(index["vec"]), np.float64).reshape(len(ids), -1)
             for qid, raw, cells in zip(queries["qid"], queries["vec"], queries["cells"]):
                 visited = np.zeros(n_cells, bool)
-                visited[np.frombuffer(cells, np.int32)] = True
+                visited[np.asarray(cells)] = True
                 rows = np.flatnonzero(visited[cell] & (ids != qid))
                 d = np.sqrt(((x[rows] - np.frombuffer(raw, np.float64)) ** 2).sum(1))
-                best = np.lexsort((ids[rows], d))[:k]
+                best = np.lexsort((ids[rows], d))
+                if len(best) > 2 * k:
+                    best = best[d[best] <= d[best[2 * k - 1]]]
+                _, first = np.unique(ids[rows][best], return_index=True)  # an id may have several vectors
+                best = best[np.sort(first)][:k]
                 out.append(pd.DataFrame({"query_id": qid, "vec_id": ids[rows][best], "score": d[best]}))
         none = pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
         return pd.concat(out) if out else none
@@ -130,6 +173,20 @@ def _ranker(k: int, n_cells: int):
     return run
 
 
+def chunks_of_cells(entries: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """First chunk of each cell and the number of chunks it is dealt over, of at most about ``most`` entries each; none for empty cells."""
+    first, parts = np.zeros(len(entries), np.int64), -(-entries // most)
+    chunk, held = 0, 0
+    for cell, n in enumerate(entries.tolist()):
+        if held and held + n > most:
+            chunk, held = chunk + 1, 0
+        first[cell] = chunk
+        held += n
+        if parts[cell] > 1:
+            chunk, held = chunk + int(parts[cell]), 0
+    return first, parts
+
+
 def nearest_neighbours(
     vectors: DataFrame, is_query: Column, k: int = 10, visit: float = VISIT, id_col: str = "vec_id", vec_col: str = "embedding"
 ) -> DataFrame:
@@ -143,8 +200,7 @@ def nearest_neighbours(
     dim, n = by_dim
     rows = rows.where(F.size(vec_col) == dim)
     picked = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"), F.coalesce(is_query, F.lit(False)).alias("q"))
-    share = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, 0.9 * FIT / n))
-    fit = picked.where(share if n > FIT else F.lit(True)).select("id", "vec").limit(FIT).toArrow().sort_by("id")
+    fit = picked.where(uniform("id") < 0.9 * FIT / n if n > FIT else F.lit(True)).select("id", "vec").limit(FIT).toArrow().sort_by("id")
     if not fit.num_rows:
         fit = picked.select("id", "vec").limit(FIT).toArrow().sort_by("id")
     sample = _vectors(fit.column("vec").combine_chunks(), dim)
@@ -160,15 +216,23 @@ def nearest_neighbours(
     queries = queries.repartition(max(1, min(1_000, n // 10_000)), "qid")
     queries = queries.mapInArrow(_prober(dim, books, entries, max(visit * entries.sum(), k + 1)), "qid long, vec binary, cells binary")
     queries = written(queries, "ann-queries")
-    chunks, blocks = -(-n // CHUNK), max(1, -(-queries.count() // BLOCK))
-    each = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    index = index.withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(chunks)).cast("int")).withColumn("block", each(blocks))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("qid", F.lit(4)), F.lit(blocks)).cast("int")).withColumn("chunk", each(chunks))
+    # Chunks of cells: their table has a row for each of the k * k cells.
+    first, parts = chunks_of_cells(entries, CHUNK)
+    cells = spark.createDataFrame(pd.DataFrame({"cell": np.arange(n_cells, dtype=np.int32), "first": first, "parts": parts}))
+    lists = index.join(F.broadcast(cells), "cell").withColumn("chunk", F.col("first") + F.pmod(F.xxhash64("id", "vec"), F.col("parts")))
+    asked = queries.mapInArrow(_chunked(first, parts), "qid long, vec binary, chunk long, cells array<int>")
+    asked = written(asked, "ann-asked")
+    many = asked.groupBy("chunk").agg(F.expr(f"(count(1) + {BLOCK} - 1) div {BLOCK}").alias("blocks"))
+    lists = lists.join(many, "chunk").withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    asked = asked.join(many, "chunk").withColumn("block", F.pmod(F.xxhash64("qid", "vec"), F.col("blocks")))
     found = (
-        index.groupBy("chunk", "block")
-        .cogroup(queries.groupBy("chunk", "block"))
+        lists.select("chunk", "block", "id", "cell", "vec")
+        .groupBy("chunk", "block")
+        .cogroup(asked.select("chunk", "block", "qid", "vec", "cells").groupBy("chunk", "block"))
         .applyInPandas(_ranker(k, n_cells), "query_id long, vec_id long, score double")
     )
+    # An id with several vectors is one candidate of one query.
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -8,16 +8,20 @@ lookup for each letter until no entry is in reach.  Entries of five letters may
 edit, of nine letters two; where the training documents show that misspelt matches of an
 entry also occur in clean texts, it is matched exactly only.
 
-Context: a hit counts as quoted if a quotation mark was opened before it in its window and
-is closed after it, or a reporting word stands near, and as an address if a word of the
-second person stands near.  A logistic model over the counts of exact, misspelt, quoted
-and addressing hits gives the score; its prior weights hold where the training documents
-say nothing, so that a term in quotation scores far less than the same term in abuse.
-
-The classifier is fitted on at most ``FIT`` labelled documents chosen by a hash of the
-id; scores read whole texts of all documents.
-
-Defined results: a null or empty text has no hits and gets the score of a clean text;
+Context: every hit has a tone, the sum of the weights of the words in its window and of three
+marks: that it stands between quotation marks, after a word that reports speech, near a
+word of the second person.  The weights are learned: the log odds of a word's (or mark's)
+presence about hits in toxic and in clean documents, shrunk towards a prior that is zero
+for words.  A hit of negative tone counts as quoted, one of positive tone as an address.
+A logistic model over the counts of exact, misspelt, quoted and addressing hits gives the
+score; its prior weights hold where the training documents say nothing, so that a term in
+quotation scores far less than the same term in abuse.
+
+The classifier is fitted on at most ``FIT`` labelled documents, those of the smallest hashes
+of their ids; scores read whole texts of all documents.
+
+Defined results: a null or empty text has no hits and gets the score of a clean text; very long
+texts are read whole; of entries equally near to a word the first by letters is its hit;
 without labelled rows the lexicon is empty; of repeated labels of one id the largest
 counts; null labels and ids are not learned from; repeated rows score alike; an empty
 table gives an empty result; other columns are ignored.
@@ -35,10 +39,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import sliced, small_batches, written
+from quire.llm.common import sliced, small_batches, uniform, written
 
-#: Documents the classifier is fitted on, entries of the lexicon, words about a hit that are its context.
-FIT, LEXICON, CONTEXT = 20_000, 5_000, 6
+#: Documents the classifier is fitted on, entries of the lexicon, words about a hit that are its context, words of the context with a weight.
+FIT, LEXICON, CONTEXT, CONTEXT_WORDS = 20_000, 5_000, 6, 1_000
+#: Documents that a prior weight of the context counts as, and the evidence (log odds times root of documents) that a word's weight needs.
+PRIOR_DOCS, EVIDENCE = 8, 4.0
 #: An entry is met in so many toxic documents at least, in this share of them, and so many times as often as in clean ones.
 LEAST, SHARE, RATIO = 4, 0.01, 20.0
 STEM = range(4, 8)
@@ -46,6 +52,9 @@ STEM = range(4, 8)
 # Words that report speech, and words that address the reader.
 REPORTING = frozenset("said says wrote writes quote quoted quotes quoting called term word phrase sagte schrieb dit écrit dijo escribió".split())
 ADDRESS = frozenset("you your youre u du dich dir dein sie ihr tu te toi vous ton tú usted ustedes".split())
+#: Marks of a context and their prior weights.
+QUOTED, REPORTED, ADDRESSED = "<quoted>", "<reported>", "<addressed>"
+TONE = {QUOTED: -2.0, REPORTED: -2.0, ADDRESSED: 1.0}
 QUOTES = "\"“”„«»‹›"
 
 _TOKEN = re.compile(rf"[^\W\d_]+|[{QUOTES}]")
@@ -135,34 +144,60 @@ FEATURES = ("exact", "misspelt", "quoted", "address")
 PRIOR = np.array([-3.0, 5.0, 4.0, 0.5, 1.0])
 
 
-def hits(text: str | None, automaton: Automaton) -> tuple[np.ndarray, list[tuple[str, int]]]:
-    """Counts by context, and the hits, of a whole text."""
-    counts, found = np.zeros(len(FEATURES)), []
+def contexts(text: str | None, automaton: Automaton):
+    """(entry, edits, words and marks of the context) of every hit of a whole text."""
     tokens = _TOKEN.findall((text or "").lower())
-    if not tokens:
-        return counts, found
     near = {w: m for w in set(tokens) if (m := automaton.match(w))}
     if not near:
-        return counts, found
+        return
     for i, w in enumerate(tokens):
         if w not in near:
             continue
-        entry, edits = near[w]
         before, after = tokens[max(0, i - CONTEXT) : i], tokens[i + 1 : i + 1 + CONTEXT]
-        marked = any(t in QUOTES for t in before) and any(t in QUOTES for t in after)
-        if marked or any(t in REPORTING for t in before[-3:]):
+        around = {t for t in before + after if t not in near and t not in QUOTES}
+        if any(t in QUOTES for t in before) and any(t in QUOTES for t in after):
+            around.add(QUOTED)
+        if any(t in REPORTING for t in before[-3:]):
+            around.add(REPORTED)
+        if any(t in ADDRESS for t in before + after):
+            around.add(ADDRESSED)
+        yield *near[w], around
+
+
+def hits(text: str | None, automaton: Automaton, tone: dict[str, float] = TONE) -> tuple[np.ndarray, list[tuple[str, int]]]:
+    """Counts by context, and the hits, of a whole text."""
+    counts, found = np.zeros(len(FEATURES)), []
+    for entry, edits, around in contexts(text, automaton):
+        told = sum(sorted(tone[t] for t in around if t in tone))
+        if told <= -1:
             counts[2] += 1
         else:
             counts[min(edits, 1)] += 1
-            counts[3] += any(t in ADDRESS for t in before + after)
+            counts[3] += told >= 1
         found.append((entry, edits))
     return counts, found
 
 
+def tones(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, float]:
+    """Weights of the context from (word or mark, toxic, clean) documents, of so many with a hit."""
+    found = dict(TONE)
+    if min(toxic, clean) < LEAST:
+        return found
+    strength = {}
+    for word, t, c in counts:
+        odds = np.log((t + 1) / (toxic + 2)) - np.log((c + 1) / (clean + 2))
+        strength[word] = abs(odds) * (t + c) ** 0.5
+        if word in TONE or (t + c >= LEAST and strength[word] >= EVIDENCE):
+            found[word] = float(((t + c) * odds + PRIOR_DOCS * TONE.get(word, 0)) / (t + c + PRIOR_DOCS))
+    most = sorted((w for w in found if w not in TONE), key=lambda w: (-strength[w], w))[:CONTEXT_WORDS]
+    return {w: found[w] for w in [*TONE, *most]}
+
+
 @dataclass
 class Model:
     automaton: Automaton
     weights: np.ndarray
+    tone: dict[str, float]
 
     def score(self, counts: np.ndarray) -> np.ndarray:
         z = self.weights[0] + strength(counts) @ self.weights[1:]
@@ -233,11 +268,11 @@ def lexicon(sample: DataFrame) -> dict[str, int]:
     return {w: edits_allowed(w) for w in plain} | {f"{s}*": 0 for s in shortest}
 
 
-def _matcher(limits: dict[str, int]):
+def _matcher(limits: dict[str, int], tone: dict[str, float]):
     def run(batches):
         automaton = Automaton(limits)
         for b in sliced(batches):
-            rows = [hits(t, automaton) for t in b.column(0).to_pylist()]
+            rows = [hits(t, automaton, tone) for t in b.column(0).to_pylist()]
             fuzzy = [sorted({e for e, k in found if k}) for _, found in rows]
             yield pa.RecordBatch.from_arrays(
                 [b.column(1), pa.array([c.tolist() for c, _ in rows], pa.list_(pa.float64())), pa.array(fuzzy, pa.list_(pa.string()))], ["toxic", "counts", "fuzzy"]
@@ -246,6 +281,36 @@ def _matcher(limits: dict[str, int]):
     return run
 
 
+def _around(limits: dict[str, int]):
+    """Documents in which a word or mark stands about a hit; the empty word stands for any hit."""
+
+    def run(batches):
+        automaton, toxic, clean = Automaton(limits), Counter(), Counter()
+        for b in sliced(batches):
+            for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                (toxic if label else clean).update({t for _, _, around in contexts(text, automaton) for t in (*around, "")})
+        words = sorted(toxic | clean)
+        for i in range(0, len(words), 50_000):
+            some = words[i : i + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([toxic[w] for w in some], pa.int64()), pa.array([clean[w] for w in some], pa.int64())], ["word", "toxic", "clean"])
+
+    return run
+
+
+def learned_tone(sample: DataFrame, limits: dict[str, int]) -> dict[str, float]:
+    """The weights of the context, from (text, toxic) rows."""
+    counts = sample.select("text", "toxic").mapInArrow(_around(limits), "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = written(counts, "toxic-context")
+    any_ = counts.where("word = ''").first()
+    if any_ is None:
+        return dict(TONE)
+    n = F.col("toxic") + F.col("clean")
+    odds = F.log((F.col("toxic") + 1) / F.lit(any_.toxic + 2)) - F.log((F.col("clean") + 1) / F.lit(any_.clean + 2))
+    marks = counts.where(F.col("word").isin(*TONE))
+    most = counts.where((F.col("word") != "") & ~F.col("word").isin(*TONE) & (n >= LEAST)).orderBy(F.desc(F.abs(odds) * F.sqrt(n)), "word").limit(CONTEXT_WORDS)
+    return tones([tuple(r) for r in marks.unionByName(most).collect()], any_.toxic, any_.clean)
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fits on at most ``FIT`` of the documents that ``labels`` (id, label) covers."""
     small_batches(docs.sparkSession)
@@ -253,15 +318,21 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
     n = known.count()
     if n > FIT:
-        known = known.where(F.pmod(F.xxhash64("id", F.lit(29)), F.lit(1_000_000)) < int(0.95e6 * FIT / n))
+        known = known.where(uniform("id", seed=29) < 1.2 * FIT / n)
+    known = known.orderBy(F.xxhash64("id", F.lit(29)), "id").limit(FIT)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = picked.join(F.broadcast(known.limit(FIT)), "id").select("text", "toxic")  # at most FIT ids
+    sample = picked.join(F.broadcast(known), "id").select("text", "toxic")  # at most FIT ids
     # Near copies count once: else every word of a toxic text that was often copied would look toxic.
-    sample = sample.mapInArrow(_signatures, "text string, toxic int, s1 long, s2 long").dropDuplicates(["s1", "toxic"]).dropDuplicates(["s2", "toxic"])
+    # The one of the smallest hash stands for them.
+    sample = sample.mapInArrow(_signatures, "text string, toxic int, s1 long, s2 long")
+    for key in ("s1", "s2"):
+        first = F.min(F.struct(F.xxhash64("text"), "text", "s2")).alias("x")
+        sample = sample.groupBy(key, "toxic").agg(first).select("toxic", "x.text", "x.s2")
     sample = written(sample.select("text", "toxic"), "toxic-sample")
     limits = lexicon(sample)
+    tone = learned_tone(sample, limits)
     for attempt in range(2):  # the second time with misspellings only where they are safe
-        rows = sample.select("text", "toxic").mapInArrow(_matcher(limits), "toxic int, counts array<double>, fuzzy array<string>").toPandas()
+        rows = sample.select("text", "toxic").mapInArrow(_matcher(limits, tone), "toxic int, counts array<double>, fuzzy array<string>").toPandas()
         if attempt == 0:
             seen, clean = Counter(), Counter()
             for label, fuzzy in zip(rows["toxic"], rows["fuzzy"]):
@@ -272,20 +343,24 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             if not unsafe:
                 break
             limits = {e: 0 if e in unsafe else k for e, k in limits.items()}
-    weights = PRIOR if rows.empty else logistic(strength(np.stack(rows["counts"])), rows["toxic"].to_numpy(float))
-    return Model(Automaton(limits), weights)
+            tone = learned_tone(sample, limits)
+    if rows.empty:
+        return Model(Automaton(limits), PRIOR, tone)
+    x, y = np.stack(rows["counts"]), rows["toxic"].to_numpy(float)
+    order = np.lexsort((*x.T, y))  # sums don't depend on the order in which rows came
+    return Model(Automaton(limits), logistic(strength(x[order]), y[order]), tone)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, exact, misspelt, quoted, address) of every whole text."""
     small_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    limits, weights = model.automaton.limits, model.weights
+    limits, weights, tone = model.automaton.limits, model.weights, model.tone
 
     def run(batches):
-        own = Model(Automaton(limits), weights)
+        own = Model(Automaton(limits), weights, tone)
         for b in sliced(batches):
-            counts = np.stack([hits(t, own.automaton)[0] for t in b.column(1).to_pylist()]) if b.num_rows else np.empty((0, len(FEATURES)))
+            counts = np.stack([hits(t, own.automaton, tone)[0] for t in b.column(1).to_pylist()]) if b.num_rows else np.empty((0, len(FEATURES)))
             columns = [pa.array(counts[:, i].astype(np.int64)) for i in range(len(FEATURES))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own.score(counts)), *columns], ["id", "score", *FEATURES])
 

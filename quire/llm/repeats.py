@@ -128,8 +128,8 @@ class Batch:
     bytes.  Without, they are of sample strings, of which only the different ones matter.
     """
 
-    def __init__(self, buckets: int, window: int = 0, block: int = 0):
-        self.buckets, self.window, self.block, self.no = buckets, window, block, 0
+    def __init__(self, buckets: int, most: int, window: int = 0, block: int = 0):
+        self.buckets, self.most, self.window, self.block, self.no = buckets, most, window, block, 0
         self.clear()
 
     def clear(self):
@@ -147,7 +147,7 @@ class Batch:
             self.held += len(data)
 
     def full(self) -> bool:
-        return self.size >= BATCH or self.held >= TEXTS or len(self.keys) >= 60_000
+        return self.size >= self.most or self.held >= TEXTS or len(self.keys) >= 60_000
 
     def equal(self, doc: np.ndarray, at: np.ndarray, doc2: np.ndarray, at2: np.ndarray) -> np.ndarray:
         """Whether the windows at both places have the same bytes, compared run by run."""
@@ -311,10 +311,10 @@ def _by_source(before: int, after: int, window: int):
     src, doc and pat of a run are those of its other end; n is its number of bytes.
     """
 
-    def rows(kind, n, **columns):
+    def rows(kind, size, **columns):
         names = [c.split()[0] for c in _SOURCE.split(", ")]
-        cols = {"kind": [kind] * n, **columns}
-        return pa.RecordBatch.from_arrays([pa.array(cols[c], t) if c in cols else pa.nulls(n, t) for c, t in zip(names, _SOURCE_TYPES)], names)
+        cols = {"kind": [kind] * size, **columns}
+        return pa.RecordBatch.from_arrays([pa.array(cols[c], t) if c in cols else pa.nulls(size, t) for c, t in zip(names, _SOURCE_TYPES)], names)
 
     def run(batches):
         src, keys, found, links = None, None, [], []
@@ -382,11 +382,11 @@ def _by_document(spans: DataFrame) -> DataFrame:
     return spans.groupBy("u1", "u2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
-def _sample_names(window: int, buckets: int):
+def _sample_names(window: int, buckets: int, most: int):
     period, offsets = difference_cover(window)
 
     def run(batches):
-        names, batch, base = Names(window - period + 1), Batch(buckets), np.array(offsets, np.int64)
+        names, batch, base = Names(window - period + 1), Batch(buckets, most), np.array(offsets, np.int64)
         block = (np.arange(BATCH // 2 // len(base) + 1)[:, None] * period + base).ravel()
         wide = (BATCH // 2 // len(base) + 1) * period
         for b in sliced(batches):
@@ -419,9 +419,9 @@ def _suffixes(batches, window: int):
                     yield u1, u2, data, starts, names(data, starts)
 
 
-def _window_names(window: int, buckets: int, block: int):
+def _window_names(window: int, buckets: int, most: int, block: int):
     def run(batches):
-        batch = Batch(buckets, window, block)
+        batch = Batch(buckets, most, window, block)
         for u1, u2, data, starts, found in _suffixes(batches, window):
             mine = found % np.uint64(BLOCKS) == block
             batch.add((u1, u2), found[mine], starts[mine], data, len(starts))
@@ -506,8 +506,11 @@ def _cut(batches):
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(starts, longs), pa.array(ends, longs), pa.array(kept, pa.binary())], ["id", "starts", "ends", "kept"])
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, starts and ends of the removed spans, kept (binary)."""
+def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", batch: int = BATCH) -> DataFrame:
+    """One row per document: id, starts and ends of the removed spans, kept (binary).
+
+    ``batch``: suffixes of a batch, which bounds memory and changes no result.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
@@ -520,7 +523,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     )
     buckets, period = 2 * partitions(spark), difference_cover(window)[0]
     long_ = keyed.where(F.octet_length("text") >= window)
-    entries = long_.select("u1", "u2", "text").mapInArrow(_sample_names(window, buckets), ENTRY)
+    entries = long_.select("u1", "u2", "text").mapInArrow(_sample_names(window, buckets, batch), ENTRY)
     near = _sources(_recurring(entries, "repeats-sample"), period - 1, 1, 0, "repeats-near-parts")
     near = written(_by_document(near), "repeats-near")
     keys = _few(near.select("u1", "u2"))
@@ -530,7 +533,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     some = written(some.join(near, ["u1", "u2"]), "repeats-text")
     found = None
     for block in range(BLOCKS):
-        entries = some.select("u1", "u2", "text", "spans").mapInArrow(_window_names(window, buckets, block), ENTRY)
+        entries = some.select("u1", "u2", "text", "spans").mapInArrow(_window_names(window, buckets, batch, block), ENTRY)
         part = _recurring(entries, "repeats-windows", linked=True)
         found = part if found is None else found.unionByName(part)
     spans = _repeated_spans(some, found, window)

@@ -27,14 +27,14 @@ def test_cover_holds_every_difference(window):
     assert {(i - j) % v for i in d for j in d} == set(range(v)) and v <= window // 2
 
 
-@pytest.mark.parametrize("window", [13, 20, 60])
-def test_against_brute_force(spark, window):
+@pytest.mark.parametrize("window, batch", [(13, 2_000_000), (20, 300), (60, 2_000_000), (60, 500)])
+def test_against_brute_force(spark, window, batch):
     rng = random.Random(window)
     base = ["".join(rng.choice("ab cé") for _ in range(300)) for _ in range(6)]
     texts = [b[i : i + rng.randint(1, 200)] + rng.choice(base)[rng.randint(0, 99) :] for b in base for i in range(0, 90, 7)]
     texts += ["ab" * 80, "x" * 50, "", None, base[0], base[0], "ab" * 10]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
-    got = {r.id: (r.starts, r.ends, bytes(r.kept)) for r in repeats.remove_repeats(docs, window).collect()}
+    got = {r.id: (r.starts, r.ends, bytes(r.kept)) for r in repeats.remove_repeats(docs, window, batch=batch).collect()}
     assert [got[i] for i in range(len(texts))] == slow(texts, window)
 
 
@@ -67,9 +67,9 @@ def test_strings_that_collide_are_told_apart_by_their_bytes(spark, monkeypatch):
     assert names(np.frombuffer(x.encode(), np.uint8), at) == names(np.frombuffer(y.encode(), np.uint8), at)
     texts = [x, y, "other words " * 9 + x[100:], "words of another " * 7 + y[100:], "k" * 30 + x + "a", y + "b", x[:399], None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for parts in (1, 8):  # within a batch, and between batches
+    for batch in (2_000_000, 1):  # within a batch, and between batches
         for some in (texts[:4], texts):
-            rows = repeats.remove_repeats(docs.where(f"doc_id < {len(some)}").repartition(parts)).collect()
+            rows = repeats.remove_repeats(docs.where(f"doc_id < {len(some)}"), batch=batch).collect()
             got = {r.id: (r.starts, r.ends, bytes(r.kept)) for r in rows}
             assert [got[i] for i in range(len(some))] == slow(some, 400)
     assert [r for _, r, _ in slow(texts[:4], 400)] == [[]] * 4

@@ -2,40 +2,49 @@
 
 A text becomes a vector of hashed character n-grams: UTF-8 bytes of the lower-cased
 whole text, ASCII non-letters as spaces, pairs and triples of bytes, log-scaled counts
-times inverse document frequency, unit length.  Per language, spherical k-means gives
-several centroids.  The language of the centroid with the largest cosine is predicted;
-a text whose cosine is far below what the centroid's own documents have is rejected.
-
-The classifier (centroids, document frequencies, rejection thresholds) is fitted on at
-most ``FIT`` labelled documents, spread evenly over the languages and chosen by a hash
-of the id; predictions read whole texts of all documents.
+times inverse document frequency, unit length.  Per language, spherical k-means from
+k-means++ starts gives several centroids, each of which holds at least ``LEAST`` of the language's
+documents, so that outliers don't become centroids of their own.  The language of the
+centroid with the largest cosine is predicted; a text whose cosine is far below what the
+centroid's own documents have is rejected.
+
+The classifier (centroids, document frequencies, rejection thresholds) is fitted on the
+documents of the smallest hashes of their ids, ``FIT`` divided by the number of languages of each, at least
+``EACH``: the sample is bounded by the larger of ``FIT`` and ``EACH`` times the number of
+languages, whatever the size of the table, and no language is left out.  Predictions read
+whole texts of all documents.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and is
-rejected; without labelled rows every document is ``und``; repeated rows are predicted
-alike; null ids pass through; an empty table gives an empty result; a null language is
-not learned; other columns are ignored.
+rejected; without labelled rows every document is ``und``; very long texts are counted whole, in
+segments; of centroids with equal cosines the first one counts, by the order of their languages; repeated rows
+are predicted alike; null ids pass through; an empty table gives an empty result; a null
+language is not learned; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import small_batches
+from quire.llm.common import small_batches, uniform
 
-#: Documents the classifier is fitted on, size of the vectors, centroids per language.
-FIT, DIM, CENTROIDS = 1_500, 4_096, 3
+#: Documents the classifier is fitted on, of a language at least, size of the vectors, centroids per language.
+FIT, EACH, DIM, CENTROIDS = 1_500, 20, 4_096, 3
+#: Share of a language's documents that a centroid holds, at least, and starts of the clustering.
+LEAST, STARTS = 0.05, 4
 #: Rejected below this share of the cosine that all but one in a hundred of a centroid's own documents reach.
 FAR = 0.5
 UNKNOWN = "und"
+BROADCAST_LANGS = 50_000
 SEGMENT, ROWS = 1 << 20, 128
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _SPACED = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256))
 
 
@@ -75,16 +84,29 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.where(norm > 0, norm, 1)
 
 
-def clusters(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
-    """Spherical k-means; each first centroid is the row that is farthest from those before."""
-    centroids = [unit(x.mean(0))]
-    while len(centroids) < min(k, len(x)):
-        centroids.append(x[(x @ np.array(centroids).T).max(1).argmin()])
-    c = np.array(centroids)
-    for _ in range(rounds):
-        near = (x @ c.T).argmax(1)
-        c = np.array([unit(x[near == i].mean(0)) if (near == i).any() else c[i] for i in range(len(c))])
-    return c
+def clusters(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray:
+    """Spherical k-means, the best of ``STARTS`` k-means++ starts; centroids that hold too few rows are left out."""
+    rng, best, most = np.random.default_rng(seed), None, -np.inf
+    least = max(2, int(LEAST * len(x))) if len(x) > 2 * k else 1
+    for _ in range(STARTS):
+        c = x[rng.integers(len(x), size=1)]
+        while len(c) < min(k, len(x)):
+            far = np.maximum(0, 1 - (x @ c.T).max(1)).astype(float)
+            if far.sum() <= 0:
+                break
+            c = np.concatenate([c, x[[rng.choice(len(x), p=far / far.sum())]]])
+        for turn in range(rounds + 1):
+            near = (x @ c.T).argmax(1)
+            held = np.bincount(near, minlength=len(c))
+            few = held < least
+            if few.any() and len(c) > 1:  # its rows go to the other centroids
+                c = c[np.arange(len(c)) != held.argmin()]
+                near = (x @ c.T).argmax(1)
+            c = np.array([unit(x[near == i].mean(0)) if (near == i).any() else c[i] for i in range(len(c))])
+        total = (x @ c.T).max(1).sum()
+        if total > most:
+            best, most = c, total
+    return best
 
 
 def fit(rows: list[tuple[str, bytes]]) -> Model | None:
@@ -111,25 +133,27 @@ def fit(rows: list[tuple[str, bytes]]) -> Model | None:
 
 
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """Fits on at most ``FIT`` of the rows, with non-null language, spread over the languages."""
+    """Fits on a bounded sample of the rows with non-null language, spread evenly over the languages."""
     small_batches(labelled.sparkSession)
     rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(FIT // 10).collect()}
-    if not sizes:
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    n_langs = sizes.count()
+    if not n_langs:
         return None
-    each = FIT // len(sizes)
-    # A share of each language: 0.9 of what it may have, so that the limit below is rarely met.
-    share = F.lit(0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(int(1e6 * min(1.0, 0.9 * each / n)))).otherwise(share)
-    picked = rows.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1_000_000)) < share).where(F.col("text").rlike(r"\p{L}"))
+    each = max(EACH, FIT // n_langs)
+    # Twice as many as are wanted, by the hash; then exactly those of the smallest hashes that have a letter.
+    share = F.lit(2.0 * each) / F.col("n")
+    sizes = F.broadcast(sizes) if n_langs <= BROADCAST_LANGS else sizes
+    some = rows.join(sizes, "lang").where(uniform("id", seed=11) < share).where(F.col("text").rlike(r"\p{L}"))
+    order = Window.partitionBy("lang").orderBy(uniform("id", seed=11), "id", F.xxhash64("text"))
+    picked = some.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
 
     def run(batches):
         for b in batches:
             counts = [np.minimum(ngram_counts(t), 65_535).astype("<u2").tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.binary())], ["lang", "counts"])
 
-    found = picked.select("lang", "text").mapInArrow(run, "lang string, counts binary").limit(FIT).toArrow()
+    found = picked.select("lang", "text").mapInArrow(run, "lang string, counts binary").toArrow()
     return fit(list(zip(found.column(0).to_pylist(), found.column(1).to_pylist())))
 
 
@@ -150,8 +174,8 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     return picked.mapInArrow(run, f"id {picked.schema['id'].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
 
 
-def accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text is not rejected."""
+def accepted(docs: DataFrame, model: Model | None, text_col: str = "text", lang_col: str | None = None) -> DataFrame:
+    """The rows, with all their columns, whose text is not rejected; ``lang_col`` becomes the prediction where it is null."""
 
     small_batches(docs.sparkSession)
 
@@ -160,7 +184,11 @@ def accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
             at = batch.schema.get_field_index(text_col)
             for i in range(0, batch.num_rows, ROWS):
                 b = batch.slice(i, ROWS)
-                yield b.filter(pa.array([not r for r in judge(b.column(at).to_pylist(), model)[2]], pa.bool_()))
+                langs, _, rejected = judge(b.column(at).to_pylist(), model)
+                if lang_col is not None:
+                    k = batch.schema.get_field_index(lang_col)
+                    b = b.set_column(k, b.schema.field(k), pc.coalesce(b.column(k), pa.array(langs, b.schema.field(k).type)))
+                yield b.filter(pa.array([not r for r in rejected], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -1,12 +1,15 @@
 import base64
+import math
 import os
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
 from quire.llm import langid
+from quire.llm.common import uniform
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -43,6 +46,68 @@ def test_foreign_script_is_rejected(spark, odd):
     assert langid.ngram_counts("ab" * 800_000).sum() == langid.ngram_counts("ab" * 800_000).sum()
 
 
+def test_letters_and_numbers_that_are_none():
+    model = langid.fit([("xx", np.ones(langid.DIM, "<u2").tobytes())])
+    texts = ["²³ ½", "Ⅷ ① 12", "_", "", None, "ª", "中", "é"]
+    assert [p != "und" for p in langid.judge(texts, model)[0]] == [any(c.isalpha() for c in t or "") for t in texts] == [False] * 5 + [True] * 3
+
+
+def slow_counts(text):
+    """Byte pairs and triples one by one."""
+    data = " " + "".join(c if not c.isascii() or c.isalpha() else " " for c in text.lower()) + " "
+    data, counts = data.encode(), [0] * langid.DIM
+    for n, extra in ((2, 0), (3, 0x27D4EB2F)):
+        for i in range(len(data) - n + 1):
+            h = sum(b * f for b, f in zip(data[i : i + n], (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35))) + extra
+            h %= 2**32
+            counts[(h ^ h >> 15) * 0x2C1B3C6D % 2**32 >> 20] += 1
+    return counts
+
+
+def test_predictions_against_brute_force(odd, odd_rows):
+    model = langid.learn(odd)
+    for r in odd_rows:
+        if r.doc_id is not None and r.text and len(r.text) < 2_000:
+            lang, score, rejected = (x[0] for x in langid.judge([r.text], model))
+            if not any(c.isalpha() for c in r.text):
+                assert (lang, score, rejected) == ("und", 0.0, True)
+                continue
+            x = [math.log1p(c) * w for c, w in zip(slow_counts(r.text), model.idf.tolist())]
+            norm = math.sqrt(sum(v * v for v in x))
+            cosines = [sum(v * c for v, c in zip(x, centroid)) / norm for centroid in model.centroids.tolist()]
+            best = max(range(len(cosines)), key=lambda i: cosines[i])
+            assert lang == model.langs[best] and score == pytest.approx(min(1, max(0, cosines[best])), abs=1e-5)
+            assert rejected == (cosines[best] < model.least[best])
+
+
+def test_sample_is_bounded_and_leaves_no_language_out(spark, monkeypatch):
+    """Shares far below one in a million, and more languages than a tenth of the bound."""
+    monkeypatch.setattr(langid, "FIT", 60)
+    monkeypatch.setattr(langid, "EACH", 2)
+    rows = [(i, f"some text of number {i}", "large") for i in range(2_000)] + [(10_000 + i, f"words {i}", f"l{i % 40}") for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = []
+    monkeypatch.setattr(langid, "fit", lambda rows: found.extend(rows))
+    langid.learn(docs.repartition(5))
+    per = Counter(lang for lang, _ in found)
+    assert set(per) == {"large", *(f"l{i}" for i in range(40))} and max(per.values()) <= 2
+    first = sorted(found)
+    found.clear()
+    langid.learn(docs.repartition(2))
+    assert sorted(found) == first
+    assert docs.select(uniform("doc_id")).distinct().count() == 2_160
+
+
+def test_centroids_hold_documents():
+    """Outliers get no centroid of their own; real groups do."""
+    rng = np.random.default_rng(3)
+    groups = np.abs(rng.standard_normal((3, 50))) * [[4] * 10 + [1] * 40, [1] * 20 + [4] * 10 + [1] * 20, [1] * 40 + [4] * 10]
+    x = langid.unit(np.concatenate([g + 0.3 * np.abs(rng.standard_normal((60, 50))) for g in groups] + [np.eye(50)[:4]]))
+    c = langid.clusters(x, 3)
+    held = np.bincount((x @ c.T).argmax(1), minlength=len(c))
+    assert sorted(held.tolist()) >= [60, 60, 60] and len(c) == 3
+
+
 def test_segments_count_every_ngram(monkeypatch):
     whole = langid.ngram_counts("some words, and more words" * 20)
     monkeypatch.setattr(langid, "SEGMENT", 7)

@@ -5,7 +5,9 @@ import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
-from quire.llm import langid, mixing, simhash  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from quire.llm import langid, mixing  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -31,26 +33,52 @@ def test_stages_take_empty_and_odd_tables(spark, docs, empty, odd, name):
 
 
 def test_language_stage_keeps_what_the_operator_accepts(spark, docs):
-    got = stage("language_id")(spark, docs, "").collect()
-    model = langid.learn(docs.where(langid.held_in(docs.doc_id)))
-    want = [r for r in docs.collect() if not langid.judge([r.text], model)[2][0]]
-    assert Counter(map(str, got)) == Counter(map(str, want))
-
-
-def test_near_duplicate_stage_keeps_one_of_each_group(spark, docs):
-    got = stage("simhash_near_dedup")(spark, docs, "").collect()
-    component = {}
-    for r in simhash.near_duplicates(docs.where("doc_id is not null")).collect():
-        component[r.id] = r.component
-    with_id = [r.doc_id for r in got if r.doc_id is not None]
-    assert sorted(with_id) == sorted(set(component.values()))
+    """And fills in the language where it was null."""
+    unnamed = docs.withColumn("lang", F.when(F.col("doc_id") % 4 == 0, None).otherwise(F.col("lang")))
+    got = stage("language_id")(spark, unnamed, "").collect()
+    model = langid.learn(unnamed.where(langid.held_in(unnamed.doc_id)))
+    want = []
+    for r in unnamed.collect():
+        langs, _, rejected = langid.judge([r.text], model)
+        if not rejected[0]:
+            want.append((*r[:2], r.lang or langs[0], *r[3:]))
+    assert Counter(map(str, map(tuple, got))) == Counter(map(str, want))
+    assert all(r.lang for r in got) and any(r.doc_id and r.doc_id % 4 == 0 for r in got)
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_near_duplicate_stage_keeps_one_of_each_group(spark, docs, odd_rows):
+    """Groups of five-word Jaccard similarity of 0.8 or more, by comparing all pairs."""
+    rows = sorted((tuple(r[:5]) for r in odd_rows if r.doc_id is not None), key=lambda r: r[0])
+    sets = [shingles(r[1]) for r in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    got = stage("simhash_near_dedup")(spark, docs.where("doc_id is not null"), "").collect()
+    assert sorted(r.doc_id for r in got) == [rows[i][0] for i in sorted(set(root))]
+
+
+def test_repeated_rows_of_the_mix_are_taken_one_by_one(spark):
+    rows = [(1, "a b c d e f g", "en", "x", 13)] * 5 + [(2, "h i j", "en", "y", 5), (3, "k " * 40, "en", "z", 80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = stage("mix_sources")(spark, docs, "").collect()
+    numbered = corpus_pipeline._numbered(docs)
+    assert sorted((r.doc_id, r.copy) for r in numbered.collect()) == [(1, i) for i in range(1, 6)] + [(2, 1), (3, 1)]
+    want = [(r.doc_id, r.taken) for r in mixing.mix_sources(numbered, keep=("doc_id", "key", "copy")).collect() if r.taken]
+    assert Counter((r.doc_id, len(r.text.split())) for r in got) == Counter(want)
 
 
 def test_mixing_stage_takes_the_words(spark, docs):
     unique = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
     got = {r.doc_id: r for r in stage("mix_sources")(spark, unique, "").collect()}
-    keyed = unique.withColumn("key", corpus_pipeline._row_key())
-    taken = {r.doc_id: r.taken for r in mixing.mix_sources(keyed, keep=("doc_id", "key")).collect()}
+    taken = {r.doc_id: r.taken for r in mixing.mix_sources(corpus_pipeline._numbered(unique), keep=("doc_id", "key", "copy")).collect()}
     assert {i: len(r.text.encode().split()) for i, r in got.items()} == {i: n for i, n in taken.items() if n}
 
 

@@ -94,4 +94,41 @@ QUERIES = {
     "op10_mix_sources": op10_mix_sources,
 }
 
-ORACLE: dict[str, str] = {}
+#: The schedule takes all blocks of a source in turn, so what it takes of a document follows from the document's
+#: place in the stream of its source: whole passes, and the part of it that lies in the first ``rest`` words.
+OP10 = r"""
+with docs as (
+    select doc_id, source, md5(concat_ws('/', '17', coalesce(cast(doc_id as varchar), ''))) as h,
+        cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size
+    from documents
+), sources as (
+    select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) as sid from docs group by source
+), weighed as (
+    select *, case (sid - 1) % 3 when 0 then 5 when 1 then 2 else 1 end as w, source_size * 3 as cap from sources
+), filled as (
+    select *, sum(source_size) over () as whole,
+        sum(source_size) over () - coalesce(sum(cap) over (order by cap / w, sid rows between unbounded preceding and 1 preceding), 0) as remaining,
+        sum(w) over () - coalesce(sum(w) over (order by cap / w, sid rows between unbounded preceding and 1 preceding), 0) as w_left
+    from weighed
+), capped as (
+    select *, cap * w_left < remaining * w as capped from filled
+), shares as (
+    select *, coalesce(sum(cap) filter (where capped) over (), 0) as taken_by_caps, sum(w) filter (where not capped) over () as free_w from capped
+), targets as (
+    select source, source_size, cap,
+        case when capped then cast(cap as double) else cast(whole - taken_by_caps as double) * cast(w as double) / cast(free_w as double) end as target
+    from shares
+), quotas as (
+    select *, least(cast(floor(target + 0.5) as bigint), cap) as quota from targets
+), placed as (
+    select d.doc_id, d.source, d.size, q.source_size, q.target, q.quota,
+        coalesce(sum(d.size) over (partition by d.source order by d.h, d.doc_id, d.size rows between unbounded preceding and 1 preceding), 0) as place
+    from docs d join quotas q on d.source is not distinct from q.source
+)
+select doc_id, source, size, source_size, target,
+    cast(case when size = 0 then 0
+        else quota // source_size * size + greatest(least(place + size, quota % source_size) - place, 0) end as bigint) as taken
+from placed
+"""
+
+ORACLE: dict[str, str] = {"op10_mix_sources": OP10}

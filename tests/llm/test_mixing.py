@@ -1,6 +1,8 @@
+import hashlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import mixing
 
@@ -41,12 +43,39 @@ def test_targets_and_quotas(spark):
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, mixing.mix_sources(docs.repartition(7), block_words=16).collect()), key=str)
 
 
+def test_points_are_multiples_of_the_golden_ratio(spark):
+    k = [0, 1, 2, 3, 2**24 - 1, 2**24, 2**31, 2**40 + 12345, 2**52 + 7]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in k], "id long").select(mixing.golden_point(F.col("id"))).collect()]
+    assert got == [x * mixing.GOLDEN % 2**48 for x in k] and mixing.GOLDEN == round(2**48 * (5**0.5 - 1) / 2) | 1
+
+
 def test_every_schedule_prefix_is_near_the_weights(spark):
     sources = spark.createDataFrame([(1, 500, 0), (2, 300, 500), (3, 200, 800)], "sid int, slots long, lo long")
-    got = Counter(r.sid for r in mixing.schedule(sources, 1).collect())
-    assert got == {1: 500, 2: 300, 3: 200}
-    ranks = sorted(r.slot_rank for r in mixing.schedule(sources, 1).where("sid = 2").collect())
-    assert ranks == list(range(300))
+    got = sorted((r.position, r.sid, r.slot_rank) for r in mixing.schedule(sources).collect())
+    assert len({p for p, _, _ in got}) == 1_000
+    seen = Counter()
+    for i, (_, sid, rank) in enumerate(got, 1):
+        assert rank == seen[sid]
+        seen[sid] += 1
+        assert all(abs(seen[s] - i * share) <= 4 for s, share in ((1, 0.5), (2, 0.3), (3, 0.2)))
+    assert seen == {1: 500, 2: 300, 3: 200}
+
+
+def test_taken_and_the_mix_against_brute_force(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(i * 7 % 41)), f"s{i % 3}" if i % 5 else None) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    taken = {r.doc_id: r for r in mixing.mix_sources(docs, block_words=16).collect()}
+    mix = sorted(mixing.mix_schedule(docs, block_words=16).collect(), key=lambda r: (r.position, r.place))
+    words = {s: [] for s in {r[2] for r in rows}}
+    for i, text, source in sorted(rows, key=lambda r: hashlib.md5(f"17/{r[0]}".encode()).hexdigest()):
+        words[source] += [(i, w) for w in text.split()]
+    want = {s: [words[s][k % len(words[s])] for k in range(round(next(r.target for r in taken.values() if r.source == s)))] for s in words}
+    counts = Counter(i for some in want.values() for i, _ in some)
+    assert {i: r.taken for i, r in taken.items()} == {r[0]: counts[r[0]] for r in rows}
+    texts, got = {r[0]: r[1].split() for r in rows}, {s: [] for s in words}
+    for r in mix:
+        got[r.source] += [(r.doc_id, w) for w in texts[r.doc_id][r.first_word : r.first_word + r.words]]
+    assert {s: Counter(x) for s, x in got.items()} == {s: Counter(x) for s, x in want.items()} and got == want
 
 
 def test_odd_rows(odd, empty, odd_rows):

@@ -16,15 +16,18 @@ at the corpus counts.  Words beyond the vocabulary are predicted within their cl
 their exact corpus counts, which stay a distributed table and are joined to the different
 words of each text.  A document's score is the sum over its words.
 
-Training reads every word of every document once: documents are dealt by hash into
-``ROUNDS`` parts; in a round every task trains from the same weights on its share of one
-part, and the weights are averaged by the number of windows, ``FAN`` at a time, so that
-the driver receives a bounded number of them.
+Training reads every word of every document once: documents are dealt by a hash of their
+rows into ``ROUNDS`` parts and each part into shards, whose number follows from the number of words alone (``shards``).
+In a round every shard trains from the same weights on its documents, in the order of
+their hashes, and the weights are averaged by the number of windows, ``FAN`` at a time in the
+order of the shards, so that the driver receives one set of them.  So the trained network
+doesn't depend on how the input is partitioned.
 
 Defined results: a null text, or one without words, has no tokens, sum 0 and a null mean;
-repeated rows score alike; null ids pass through; an empty table gives an empty result;
-other columns are ignored.  Scores depend, in the last digits, on how the input is
-partitioned; reruns over the same files agree.
+very long texts are scored whole; words of equal count enter the vocabulary in the order of
+their bytes; repeated rows score alike; null ids pass through; an empty table gives an empty
+result; other columns are ignored.  Scores of the same documents, partitioned otherwise,
+differ by rounding of 32-bit numbers only.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from __future__ import annotations
 import pickle
 import zlib
 from collections import Counter
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -46,6 +50,8 @@ VOCAB, CLASSES, RARE = 32_768, 64, 32
 SIDE, HIDDEN, ROUNDS, MINIBATCH, RATE, TABLE_RATE = 2, 32, 3, 4_096, 0.004, 0.05
 #: Words counted, and words scored, at once by a task; words kept in a cache; weights averaged at once, averages sent to the driver.
 HELD, WINDOWS, CACHED, FAN, AVERAGES = 250_000, 2_048, 100_000, 16, 1
+#: Shards of a round unless they are many or few words: words of a shard, at most and about at least.
+SHARDS, SHARD_MOST, SHARD_LEAST = 32, 16_000_000, 65_536
 OUT = CLASSES + RARE
 PAD = OUT  # the class beyond either end of a text
 
@@ -281,13 +287,11 @@ def _batched(batches, vocab: Vocabulary, most: int = 65_536):
     """Ids, word indices and words beyond the vocabulary of whole texts, in lists of about ``most`` words; a longer text is one list."""
     rows, held, beyond, size = [], [], [], 0
     for b in sliced(batches):
-        text_col = b.num_columns - 1
-        for i, text in enumerate(b.column(text_col).to_pylist()):
+        for i, text in enumerate(b.column(1).to_pylist()):
             w = words(text)
-            rows.append(b.column(0)[i] if text_col else None)
+            rows.append(b.column(0)[i])
             held.append(np.fromiter(map(vocab.__getitem__, w), np.int64, len(w)))
-            if text_col:
-                beyond.append(Counter(w[k] for k in np.flatnonzero(held[-1] >= vocab.size)))
+            beyond.append(Counter(w[k] for k in np.flatnonzero(held[-1] >= vocab.size)))
             size += len(w)
             if size >= most:
                 yield rows, held, beyond
@@ -296,48 +300,74 @@ def _batched(batches, vocab: Vocabulary, most: int = 65_536):
         yield rows, held, beyond
 
 
+def shards(n_words: int) -> int:
+    """Shards of a round: 32, fewer if they had few words, and more if they had too many."""
+    ceil = lambda most: -(-n_words // (ROUNDS * most))
+    return max(1, min(SHARDS, ceil(SHARD_LEAST)), ceil(SHARD_MOST))
+
+
+def _indices(texts, vocab: Vocabulary, most: int):
+    """Word indices of whole texts, in lists of about ``most`` words."""
+    held, size = [], 0
+    for text in texts:
+        w = words(text)
+        held.append(np.fromiter(map(vocab.__getitem__, w), np.int64, len(w)))
+        size += len(w)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if size:
+        yield held
+
+
 def _trainer(vocab, weights):
+    """Rows (shard, text) in the order of the shards to the weights that each shard trained."""
+
     def run(batches):
-        net: Network = pickle.loads(weights.value)
-        adam, seen = Adam(net), 0
         v = vocab.value
-        for _, held, _ in _batched(batches, v, 16 * MINIBATCH):
-            sides, _ = windows(held, v.inputs)
-            flat = np.concatenate(held)
-            target = v.classes[flat]
-            order = np.random.default_rng(seen).permutation(len(target))
-            for i in range(0, len(order), MINIBATCH):
-                some = order[i : i + MINIBATCH]
-                adam.step(sides[:, some], target[some], flat[some], v)
-            seen += len(target)
-        if seen:
-            task = TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_arrays([pa.array([task], pa.int64()), pa.array([seen], pa.int64()), pa.array([pickle.dumps(net.w)], pa.binary())], ["task", "n", "w"])
+        rows = (row for b in sliced(batches) for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        for shard, own in groupby(rows, key=lambda row: row[0]):
+            net: Network = pickle.loads(weights.value)
+            adam, seen = Adam(net), 0
+            for held in _indices((text for _, text in own), v, 16 * MINIBATCH):
+                sides, _ = windows(held, v.inputs)
+                flat = np.concatenate(held)
+                target = v.classes[flat]
+                order = np.random.default_rng(seen).permutation(len(target))
+                for i in range(0, len(order), MINIBATCH):
+                    some = order[i : i + MINIBATCH]
+                    adam.step(sides[:, some], target[some], flat[some], v)
+                seen += len(target)
+            if seen:
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([seen], pa.int64()), pa.array([pickle.dumps(net.w)], pa.binary())], ["shard", "n", "w"])
 
     return run
 
 
 def _mean(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
-    t = t.sort_values("task")
+    t = t.sort_values("shard")
     total, n = None, int(t["n"].sum())
     for w, k in zip(t["w"], t["n"]):
         part = [x * np.float32(k / n) for x in pickle.loads(w)]
         total = part if total is None else [a + b for a, b in zip(total, part)]
-    return pd.DataFrame({"task": [int(key[0])], "n": [n], "w": [pickle.dumps(total)]})
+    return pd.DataFrame({"shard": [int(key[0])], "n": [n], "w": [pickle.dumps(total)]})
 
 
-def train(docs: DataFrame, vocab) -> Network:
-    """``docs`` has id and text; ``vocab`` is a broadcast vocabulary."""
+def train(docs: DataFrame, vocab, n_words: int) -> Network:
+    """``docs`` has id and text and ``n_words`` words; ``vocab`` is a broadcast vocabulary."""
     v, spark = vocab.value, docs.sparkSession
-    net = Network(inputs=OUT + 1 + v.size, odds=v.odds)
-    part = F.pmod(F.xxhash64("id", F.lit(23)), F.lit(ROUNDS))
+    net, each = Network(inputs=OUT + 1 + v.size, odds=v.odds), shards(n_words)
+    keyed = docs.where("text is not null").select("text", F.xxhash64("id", "text", F.lit(23)).alias("h"))
+    part = F.pmod("h", F.lit(ROUNDS * each))
+    keyed = keyed.select((part % ROUNDS).alias("round"), F.expr(f"cast(pmod(h, {ROUNDS * each}) div {ROUNDS} as int)").alias("shard"), "h", "text")
     for r in range(ROUNDS):
         weights = spark.sparkContext.broadcast(pickle.dumps(net))
-        means = docs.where(part == r).select("text").mapInArrow(_trainer(vocab, weights), "task long, n long, w binary")
-        left = means.rdd.getNumPartitions()
-        while True:  # a task holds about FAN weights, whatever the number of tasks
+        mine = keyed.where(f"round = {r}").select("shard", "h", "text").repartitionById(each, "shard").sortWithinPartitions("shard", "h", "text")
+        means = mine.select("shard", "text").mapInArrow(_trainer(vocab, weights), "shard long, n long, w binary")
+        left = each
+        while True:  # a task holds about FAN weights, whatever the number of shards
             left = max(AVERAGES, -(-left // FAN))
-            means = means.groupBy((F.col("task") % left).alias("g")).applyInPandas(_mean, "task long, n long, w binary")
+            means = means.groupBy(F.expr(f"shard % {left}").alias("g")).applyInPandas(_mean, "shard long, n long, w binary")
             if left == AVERAGES:
                 break
         means = means.toPandas()
@@ -354,7 +384,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     counts = written(word_counts(picked), "word-counts")
     vocab = spark.sparkContext.broadcast(vocabulary(counts))
-    weights = spark.sparkContext.broadcast(pickle.dumps(train(picked, vocab)))
+    n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    weights = spark.sparkContext.broadcast(pickle.dumps(train(picked, vocab, n_words)))
 
     def run(batches):
         net, v = pickle.loads(weights.value), vocab.value

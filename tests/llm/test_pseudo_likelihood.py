@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -110,3 +111,61 @@ def test_words_beyond_the_vocabulary_score_by_their_exact_counts(spark, monkeypa
     score = {r.id: r.log_prob for r in got}
     # The endings put both words into one class, where they occur 9 and 2 times.
     assert np.isclose(score[2] - score[3], np.log(9 / 2), atol=1e-4)
+
+
+def test_the_number_of_shards_follows_from_the_words():
+    assert [P.shards(n) for n in (0, 1, 65_536 * 3 + 1, 10**8, 10**10)] == [1, 1, 2, 32, 209]
+
+
+def test_partitions_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(P, "SHARD_LEAST", 800)
+    docs = corpus(spark)
+    a, b = ({r.id: r.log_prob for r in P.score_documents(docs.repartition(n)).collect()} for n in (1, 8))
+    assert max(abs(a[i] - b[i]) for i in a) < 1e-3
+    picked = docs.selectExpr("doc_id as id", "text")
+    vocab = spark.sparkContext.broadcast(P.vocabulary(P.word_counts(picked)))
+    one, other = (P.train(picked.repartition(n), vocab, 10_000).w for n in (1, 8))
+    assert P.shards(10_000) > 3 and all((x == y).all() for x, y in zip(one, other))
+
+
+def test_scores_against_brute_force(spark, monkeypatch):
+    """The trained network's conditional probability of every word, from its weights alone, word by word."""
+    monkeypatch.setattr(P, "VOCAB", 300)
+    rng = random.Random(5)
+    # 400 words in classes of several; the rarest 100 are beyond the vocabulary.
+    rows = [(i, " ".join(f"w{min(int(rng.expovariate(0.012)), 399)}" for _ in range(rng.randint(0, 40)))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept, real = [], P.train
+    monkeypatch.setattr(P, "train", lambda *args: kept.append((real(*args), args[1].value)) or kept[0][0])
+    got = {r.id: r for r in P.score_documents(docs).collect()}
+    net, vocab = kept[0]
+    e, gates, bias, out, out_bias, nodes, node_bias = [w.astype(float) for w in net.w]
+    counts = Counter(w.encode() for _, t in rows for w in t.split())
+    beyond = Counter()
+    for w, n in counts.items():
+        if w not in vocab or vocab[w] >= vocab.size:
+            beyond[P.rare_class(w)] += n
+
+    def classed(w):
+        i = vocab[w]
+        return int(vocab.classes[i]), int(vocab.inputs[i]), i
+
+    for i, text in rows:
+        w, total = [x.encode() for x in text.split()], 0.0
+        for k in range(len(w)):
+            around = [w[j] if 0 <= j < len(w) else None for j in (k - 2, k - 1, k + 1, k + 2)]
+            h = np.tanh(sum(e[P.PAD if x is None else classed(x)[1]] * g for x, g in zip(around, gates)) + bias)
+            z = h @ out + out_bias
+            c, _, index = classed(w[k])
+            total += z[c] - np.log(np.exp(z).sum())
+            if index >= vocab.size:
+                total += np.log(counts[w[k]] / beyond[c])
+                continue
+            members = [x for x in range(vocab.size) if vocab.classes[x] == c]
+            while len(members) > 1:  # halves of the class, named by the first word of the right one
+                mid = members[0] + len(members) // 2
+                x = h @ nodes[mid] + node_bias[mid]
+                right = index >= mid
+                total -= np.log1p(np.exp(-x if right else x))
+                members = [m for m in members if (m >= mid) == right]
+        assert got[i].n_tokens == len(w) and np.isclose(got[i].log_prob, total, rtol=1e-4, atol=1e-3)

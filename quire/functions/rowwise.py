@@ -1,8 +1,7 @@
-"""Python twins of the mention and relation expressions.
+"""Mentions and relations of one text, as plain functions.
 
-Table cells are read inside a grouped Python operator, which needs mentions without a
-round trip to the JVM.  Tests hold these twins and the Column expressions against each
-other on the same rows.  A mention is a dict with type, value, start, end and, where they
+Arrow functions (``mentions``, ``relations``) and the grouped operator that reads tables
+call them.  Tests hold them against Column expressions on the same rows.  A mention is a dict with type, value, start, end and, where they
 apply, unit, value_num, value_pair and normalized.
 """
 
@@ -25,6 +24,16 @@ def _word(word: str) -> re.Pattern:
     return re.compile(r"\b" + r"\s+".join(map(re.escape, word.split(" "))) + r"\b", re.I)
 
 
+#: Letters whose lower case, to patterns that ignore case, is another one.
+_FOLDED = str.maketrans("\u0130\u0131\u017f\u212a", "iisk")
+
+
+def occurring(text: str, words) -> list[str]:
+    """Those of the words that may occur in a text: the first part of each is in its lower-case form."""
+    low = text.translate(_FOLDED).lower()
+    return [w for w in words if w.partition(" ")[0] in low]
+
+
 @lru_cache(None)
 def _compiled(pattern: str) -> re.Pattern:
     flags = re.I if "(?iu)" in pattern else 0
@@ -76,10 +85,14 @@ def entities(text: str | None) -> list[dict]:
         a, b = (m[1], m[2]) if m[1] else (m[3], m[4])
         pair = [_number(a), _number(b)]
         out += [_mention("metric", m, "cie", value_pair=pair), _mention("value", m, f"{a},{b}", value_pair=pair)]
-    out += [_mention("metric", m, w) for w in V.METRICS for m in _word(w).finditer(text)]
+    words = dict.fromkeys(occurring(text, _KEYWORDS))
+    out += [_mention("metric", m, w) for w in V.METRICS if w in words for m in _word(w).finditer(text)]
     out += materials(text)
-    out += [_mention("device_layer", m, w, normalized=V.LAYERS[w]) for w in V.LAYERS for m in _word(w).finditer(text)]
-    return out + [_mention("role", m, w) for w in V.ROLES for m in _word(w).finditer(text)]
+    out += [_mention("device_layer", m, w, normalized=V.LAYERS[w]) for w in V.LAYERS if w in words for m in _word(w).finditer(text)]
+    return out + [_mention("role", m, w) for w in V.ROLES if w in words for m in _word(w).finditer(text)]
+
+
+_KEYWORDS = list(dict.fromkeys([*V.METRICS, *V.LAYERS, *V.ROLES]))
 
 
 def first_keyword(text: str, words: list[str]) -> str | None:

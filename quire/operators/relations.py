@@ -1,152 +1,35 @@
-"""Binding of mentions within sentences, as Column expressions over one row.
+"""Binding of mentions within sentences, over one row.
 
 The mentions of a block are an array in its row, so nearest-neighbour and containment
-rules are array functions: no join, no shuffle, whatever the number of blocks.
+rules need no join and no shuffle, whatever the number of blocks.  They are read in
+Arrow batches, like the mentions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import lru_cache
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from quire.functions import vocabulary as V
-from quire.functions.text import literal_map, sentences, spans
+from quire.functions import rowwise
+from quire.functions.mentions import listed, records
 
 RELATION = "struct<type:string,source:int,target:int,confidence:double,rule:string,distance:int,sentence:int>"
-_EMPTY = f"array<{RELATION}>"
-
-
-def _of_type(entities: Column, *types: str) -> Column:
-    return F.filter(entities, lambda e: e["type"].isin(*types))
-
-
-def _within(items: Column, s: Column) -> Column:
-    return F.filter(items, lambda e: (e["start"] >= s["start"]) & (e["end"] <= s["end"]))
-
-
-def _relation(type_: str, source: Column, target: Column, rule: Column, distance: Column, sentence: Column) -> Column:
-    return F.struct(
-        F.lit(type_).alias("type"), source.alias("source"), target.alias("target"), literal_map(V.CONFIDENCE)[rule].alias("confidence"),
-        rule.alias("rule"), distance.alias("distance"), sentence.alias("sentence"),
-    )
-
-
-def _nearest(candidates: Column) -> Column:
-    """The struct with the smallest leading fields; null of an empty array."""
-    return F.array_min(candidates)
-
-
-def metric_values(entities: Column, bounds: Column) -> Column:
-    """``has_value``: each value with the nearest metric of its sentence that starts before it, else the nearest.
-
-    Refused if another metric starts between them, or if the metric has units and the
-    value another one.
-    """
-    metrics, values = _of_type(entities, "metric"), _of_type(entities, "value")
-    units = F.create_map(*(x for m, us in V.METRIC_UNITS.items() for x in (F.lit(m), F.array(*map(F.lit, us)))))
-
-    def in_sentence(s: Column, sid: Column) -> Column:
-        own = _within(metrics, s)
-
-        def bind(v: Column) -> Column:
-            before = F.filter(own, lambda m: m["start"] <= v["start"])
-            pool = F.when(F.size(before) > 0, before).otherwise(own)
-            best = _nearest(F.transform(pool, lambda m: F.struct(F.abs(v["start"] - m["start"]).alias("d"), m["i"].alias("i"), m["start"].alias("start"), m["value"].alias("value"))))
-            low, high = F.least(best["start"], v["start"]), F.greatest(best["start"], v["start"])
-            crossed = F.exists(own, lambda m: (m["start"] > low) & (m["start"] < high))
-            allowed = units[best["value"]]
-            unit = F.replace(F.lower(v["unit"]), F.lit(" "), F.lit(""))
-            gated = (F.coalesce(v["unit"], F.lit("")) != "") & allowed.isNotNull()
-            fits = ~gated | F.array_contains(allowed, unit)
-            rule = (
-                F.when(gated, F.lit("metric_unit_match"))
-                .when((best["value"] == "cie") & v["value_pair"].isNotNull(), F.lit("cie_coord_inline"))
-                .otherwise(F.lit("nearest_metric"))
-            )
-            made = _relation("has_value", best["i"], v["i"], rule, best["d"], sid)
-            return F.when(best.isNotNull() & ~crossed & F.coalesce(fits, F.lit(False)), made)
-
-        return F.filter(F.transform(_within(values, s), bind), lambda r: r.isNotNull())
-
-    return F.flatten(F.transform(bounds, in_sentence)).cast(_EMPTY)
-
-
-def pattern_roles(text: Column, entities: Column, bounds: Column) -> Column:
-    """``has_role`` by wording: material "as" role, role material, material "in" layer; the nearest material."""
-    materials, roles, layers = _of_type(entities, "material"), _of_type(entities, "role"), _of_type(entities, "device_layer")
-    gap = lambda a, b: F.substring(text, a + 1, F.greatest(b - a, F.lit(0)))
-
-    def in_sentence(s: Column, sid: Column) -> Column:
-        own = _within(materials, s)
-
-        def bind(r: Column, layer: bool) -> Column:
-            def candidate(m: Column) -> Column:
-                ahead, behind = gap(m["end"], r["start"]), gap(r["end"], m["start"])
-                first, second = m["end"] <= r["start"], r["end"] <= m["start"]
-                if layer:
-                    rule = F.when(first & (F.length(ahead) <= V.LAYER_GAP) & F.regexp_like(ahead, F.lit("(?U)(?iu)" + V.IN_LAYER)), F.lit("pattern_material_in_layer"))
-                else:
-                    as_ = first & (F.length(ahead) <= V.AS_GAP) & F.regexp_like(ahead, F.lit("(?U)(?iu)" + V.ROLE_AS))
-                    filler = ~first & second & (F.length(behind) <= V.FILLER_GAP) & F.regexp_like(behind, F.lit("(?U)(?iu)" + V.ROLE_FILLER))
-                    rule = F.when(as_, F.lit("pattern_material_as_role")).when(filler, F.lit("pattern_role_material"))
-                found = F.struct(F.abs(r["start"] - m["start"]).alias("d"), m["i"].alias("i"), rule.alias("rule"))
-                return F.when(rule.isNotNull(), found)
-
-            best = _nearest(F.filter(F.transform(own, candidate), lambda c: c.isNotNull()))
-            return F.when(best.isNotNull(), _relation("has_role", best["i"], r["i"], best["rule"], best["d"], sid))
-
-        all_ = F.concat(F.transform(_within(roles, s), lambda r: bind(r, False)), F.transform(_within(layers, s), lambda r: bind(r, True)))
-        return F.filter(all_, lambda r: r.isNotNull())
-
-    return F.flatten(F.transform(bounds, in_sentence)).cast(_EMPTY)
-
-
-def chunks(text: Column, bounds: Column) -> Column:
-    """Parts of sentences between commas, colons and connecting words: (start, end, sentence)."""
-    pattern = "(?U)(?iu)" + V.CHUNK_SPLIT
-
-    def cut(s: Column, sid: Column) -> Column:
-        own = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-        cuts = spans(own, pattern)
-        starts = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda c: c["end"]))
-        ends = F.concat(F.transform(cuts, lambda c: c["start"]), F.array(F.length(own)))
-        parts = F.zip_with(starts, ends, lambda a, b: F.struct((s["start"] + a).alias("start"), (s["start"] + b).alias("end"), sid.alias("sentence")))
-        return F.filter(parts, lambda p: p["end"] > p["start"])
-
-    return F.flatten(F.transform(bounds, cut))
-
+_TYPES = {
+    "type": pa.string(), "source": pa.int32(), "target": pa.int32(), "confidence": pa.float64(),
+    "rule": pa.string(), "distance": pa.int32(), "sentence": pa.int32(),
+}
 
-def single_material_roles(entities: Column, scopes: Column, bound: Column, rule: str) -> Column:
-    """``has_role`` in scopes (start, end, sentence) with exactly one material, for roles not bound yet, up to a distance."""
-    materials, roles = _of_type(entities, "material"), _of_type(entities, "role")
 
-    def in_scope(c: Column) -> Column:
-        own = _within(materials, c)
-        m = F.get(own, F.lit(0))
-        free = F.filter(
-            _within(roles, c),
-            lambda r: (F.size(own) == 1) & ~F.array_contains(bound, r["i"]) & (F.abs(r["start"] - m["start"]) <= V.ROLE_DISTANCE),
-        )
-        return F.transform(free, lambda r: _relation("has_role", m["i"], r["i"], F.lit(rule), F.abs(r["start"] - m["start"]), c["sentence"]))
+@lru_cache(1)
+def _binder():
+    def read(texts: pa.Array, entities: pa.Array) -> pa.Array:
+        return listed([rowwise.relations(t or "", e) if len(e) > 1 else [] for t, e in zip(texts.to_pylist(), records(entities))], _TYPES)
 
-    return F.flatten(F.transform(scopes, in_scope)).cast(_EMPTY)
+    return F.arrow_udf(read, f"array<{RELATION}>")
 
 
 def bind(df, text: str = "text", entities: str = "entities"):
     """Adds ``relations``: metric values, then roles by wording, by chunk, by the only material of a sentence."""
-    keep = df.columns
-    t, e = F.coalesce(F.col(text), F.lit("")), F.col(entities)
-    df = df.withColumn("__s", sentences(t))
-    numbered = F.transform(F.col("__s"), lambda s, i: F.struct(s["start"].alias("start"), s["end"].alias("end"), i.alias("sentence")))
-    # Most blocks hold mentions of one type only; they skip all of the array work.
-    has = lambda *types: F.exists(e, lambda x: x["type"].isin(*types))
-    none = F.array().cast(_EMPTY)
-    df = df.withColumn("__v", F.when(has("metric") & has("value"), metric_values(e, F.col("__s"))).otherwise(none))
-    df = df.withColumn("__1", F.when(has("material") & has("role", "device_layer"), pattern_roles(t, e, F.col("__s"))).otherwise(none))
-    df = df.withColumn("__bound", F.transform("__1", lambda r: r["target"]))
-    two = single_material_roles(e, chunks(t, F.col("__s")), F.col("__bound"), "chunk_role_binding")
-    df = df.withColumn("__2", F.when(has("material") & has("role"), two).otherwise(none))
-    df = df.withColumn("__bound", F.concat("__bound", F.transform("__2", lambda r: r["target"])))
-    three = single_material_roles(e, numbered, F.col("__bound"), "nearest_role")
-    df = df.withColumn("__3", F.when(has("material") & has("role"), three).otherwise(none))
-    return df.select(*keep, F.concat("__v", "__1", "__2", "__3").alias("relations"))
+    return df.withColumn("relations", _binder()(F.col(text), F.col(entities)))

@@ -55,7 +55,7 @@ def blocks(items: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     order = Window.partitionBy("doc_id").orderBy("idx", "cap")
     out = out.withColumn("paragraph_index", F.row_number().over(order) - 1)
     read = F.col("text").isNotNull()
-    out = out.withColumn("mentions", F.when(read, mentions.entities(F.col("text"))).otherwise(F.array().cast(f"array<{mentions.ENTITY}>")))
+    out = out.withColumn("mentions", mentions.entities(F.when(read, F.col("text"))))
     return relations.bind(out, "text", "mentions").withColumnRenamed("relations", "bindings")
 
 

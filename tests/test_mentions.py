@@ -1,4 +1,6 @@
-"""The Column expressions against their row-wise twins, and hand-worked cases."""
+"""The Arrow functions against Column expressions of the same rules, and hand-worked cases."""
+
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -7,13 +9,15 @@ from pyspark.sql import functions as F
 
 from quire.functions import mentions, rowwise, text
 from quire.operators import relations
+from tests import expressions
 
 TEXTS = [
-    "CBP was used as host, and NPB as dopant in EML.", "CBP was used as guest material in HIL.", "Ir(ppy)3 was used as emitter in EML.",
-    "Compound 1 was used as host material.", "CBP host, NPB dopant.", "CBP " + "x" * 120 + " host.", "Compound 1 " + "x" * 45 + " host.",
-    "EQE of 21% at 5 V", "EQE of 21.4% at 3.5 V", "CIE 0.31, 0.62.", "CIE (0.31, 0.62) luminance 1.2×10^3 cd/m2; 3 x 10⁻² mA / cm²",
-    "US20230123456A1 discloses a host, FIG 1", "dopant: Cmpd. A; the host is CBP", "电流效率 CE 30 cd/A，主体材料 mCP（掺杂）。", "", None,
-    "turn-on voltage 3 V and voltage 5 V, current  efficiency 12 cd / A", "HTL/NPB, ETL with TPBi in cathode and host 5 hours 3 compounds",
+    "TCTA served as host, while BPhen acts as acceptor in EML.", "mCBP was used as guest material in EML.", "Pt(acac)2 functioned as emitter in EML.",
+    "Compound 12 is used as host material.", "TCTA host, BPhen dopant.", "TCTA " + "y" * 130 + " donor.", "Compound 7 " + "y" * 46 + " dopant.",
+    "EQE of 18% at 4 V", "EQE of 18.6% at 4.5 V", "CIE 0.28, 0.55.", "CIE (0.28, 0.55) luminance 1.5×10^3 cd/m2; 2 x 10⁻³ mA / cm²",
+    "US20190012345A1 teaches a host, FIG 4", "emitter: Cmpd. B; the donor is TCTA", "功率效率 PE 45 lm/W，客体材料 mCP（掺杂）。", "", None,
+    "turn-on voltage 2 V and voltage 6 V, current  efficiency 14 cd / A", "HIL/TCTA, HBL with BPhen in anode and host 9 hours 4 compounds",
+    "ACCEPTOR Kelvin emİtter hoſt", "guest materials, hole transporting host-material; exciton  blocking",
 ]
 
 
@@ -31,34 +35,41 @@ def same(row, t):
     assert [tuple(r[k] for k in keys) for r in row.relations] == [tuple(r[k] for k in keys) for r in rowwise.relations(t or "", want)]
 
 
-def test_twins_on_fixed_texts(spark):
-    got = native(spark, TEXTS)
+def by_expressions(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").withColumn("entities", expressions.entities(F.col("text")))
+    return {r.i: r for r in expressions.bind(df).collect()}
+
+
+def test_fixed_texts(spark):
+    got, want = native(spark, TEXTS), by_expressions(spark, TEXTS)
     for i, t in enumerate(TEXTS):
         same(got[i], t)
+        if "İ" not in (t or ""):  # a letter that the two engines fold differently
+            assert got[i] == want[i]
 
 
 PIECES = ["CBP", "host", " as ", "in EML", "EQE", "21 %", "3.5 V", ". ", ", ", "Compound 2", "dopant", "CIE 0.3, 0.4", "CE 3 cd/A", " and ", "is", "voltage", "mCP", "材料", "; ", "is used as"]
 
 
-def test_twins_on_mixed_texts(spark):
-    import random
-
+def test_mixed_texts(spark):
     rng = random.Random(11)
     texts = [" ".join(rng.choice(PIECES) for _ in range(rng.randint(1, 14))) for _ in range(300)]
-    got = native(spark, texts)
+    got, want = native(spark, texts), by_expressions(spark, texts)
     for i, t in enumerate(texts):
         same(got[i], t)
+        assert got[i] == want[i]
 
 
 def test_bindings_by_hand(spark):
     got = native(spark, TEXTS)
     pairs = lambda i: [(got[i].entities[r.source].value, got[i].entities[r.target].value, r.rule, r.distance) for r in got[i].relations]
-    assert pairs(0) == [("CBP", "host", "pattern_material_as_role", 16), ("NPB", "dopant", "pattern_material_as_role", 7), ("NPB", "eml", "pattern_material_in_layer", 17)]
-    assert pairs(4) == [("CBP", "host", "chunk_role_binding", 4), ("NPB", "dopant", "chunk_role_binding", 4)]
+    assert pairs(0) == [("TCTA", "host", "pattern_material_as_role", 15), ("BPhen", "acceptor", "pattern_material_as_role", 14), ("BPhen", "eml", "pattern_material_in_layer", 26)]
+    assert pairs(1) == [("mCBP", "guest", "pattern_material_as_role", 17), ("mCBP", "guest material", "pattern_material_as_role", 17)]
+    assert pairs(4) == [("TCTA", "host", "chunk_role_binding", 5), ("BPhen", "dopant", "chunk_role_binding", 6)]
     assert pairs(5) == pairs(6) == []  # no material near a hint; a role too far away
-    assert pairs(7) == [("eqe", "21", "metric_unit_match", 7)]
+    assert pairs(7) == [("eqe", "18", "metric_unit_match", 7)]
     assert pairs(8) == []  # a decimal point ends a sentence
-    assert got[9].entities[0].value_pair == [0.31, None]  # a number with a dot at its end is none
+    assert got[9].entities[0].value_pair == [0.28, None]  # a number with a dot at its end is none
 
 
 def test_spans_count_characters(spark):

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.sources.scratch import written
+
 K1, B = 1.2, 0.75
 TOKEN = r"(?U)[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]|[\p{L}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}]]+"
 
@@ -34,19 +36,33 @@ def inverted_index(docs: DataFrame, key: str, text: str) -> DataFrame:
     return terms.select(key, "length", F.explode("t").alias("term")).groupBy("term", key, "length").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def terms_of(spark, query: str) -> list[str]:
+    """The different terms of a query, in order."""
+    return spark.range(1).select(F.array_distinct(tokens(F.lit(query))).alias("t")).first().t
+
+
 def bm25(docs: DataFrame, query: str, key: str, text: str) -> DataFrame:
-    """(key, score) of documents that hold a term of the query."""
-    spark = docs.sparkSession
-    wanted = spark.range(1).select(F.explode(F.array_distinct(tokens(F.lit(query)))).alias("term"))
-    sized = docs.select(key, tokens(F.col(text)).alias("t")).withColumn("length", F.size("t"))
-    totals = sized.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"))  # one row
-    # Only terms of the query leave the scan; the query is one row of literals.
-    hits = sized.select(key, "length", F.explode("t").alias("term")).join(F.broadcast(wanted), "term").groupBy(key, "length", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean")))
-    scored = hits.join(F.broadcast(df.crossJoin(totals)), "term")  # one row per term of the query
-    return scored.groupBy(key).agg(F.sum(weight).alias("score"))
+    """(key, score) of documents that hold a term of the query.
+
+    Texts are read and cut into terms once: what is kept of each is its length and the
+    numbers of the query's terms, as a scratch table, from which totals and scores follow.
+    """
+    terms = terms_of(docs.sparkSession, query)
+    if not terms:
+        return docs.select(key, F.lit(0.0).alias("score")).where(F.lit(False))
+    names = [f"tf{i}" for i in range(len(terms))]
+    cut = docs.select(F.col(key).alias(key), tokens(F.col(text)).alias("t"))
+    cut = cut.select(key, F.size("t").alias("length"), F.filter("t", lambda x: x.isin(*terms)).alias("t"))
+    number = lambda term: F.size(F.filter("t", lambda x: x == term))
+    counts = cut.select(key, "length", *(number(w).alias(n) for w, n in zip(terms, names)))
+    counts = written(counts, "term-counts")
+    n, mean, *df = counts.agg(F.count(F.lit(1)), F.avg("length"), *(F.count_if(F.col(c) > 0) for c in names)).first()
+    score = F.lit(0.0)
+    for c, d in zip(names, df):
+        idf = math.log(1 + (n - d + 0.5) / (d + 0.5))
+        tf = F.col(c).cast("double")
+        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("length") / F.lit(mean or 1.0)))
+    return counts.where(F.greatest(*names, F.lit(0)) > 0).select(key, score.alias("score"))
 
 
 def field_search(docs: DataFrame, query: str, key: str, boosts: dict[str, float]) -> DataFrame:

@@ -22,7 +22,7 @@ def bm25_sql(name: str, table: str, key: str, text: str) -> str:
 
 @query("with " + bm25_sql("s", "documents", "doc_id", "text") + " select k as doc_id, round(score, 6) as score from s order by score desc, k limit 20")
 def bm25_search(t):
-    found = search.top(search.bm25(t.documents, WORDS, "doc_id", "text"), 20, "doc_id")
+    found = search.top(search.bm25(t.spread("documents", "doc_id", "text"), WORDS, "doc_id", "text"), 20, "doc_id")
     return found.select("doc_id", F.round("score", 6).alias("score"))
 
 
@@ -68,7 +68,7 @@ def _hybrid(docs: DataFrame, vectors: DataFrame, vector: list[float]) -> DataFra
 
 @query("with " + bm25_sql("s", "documents", "doc_id", "text") + f", {_KNN}, " + _HYBRID.format(s="s", v="v"))
 def hybrid_search(t):
-    return _hybrid(t.documents, t.embeddings, _vector(t))
+    return _hybrid(t.spread("documents", "doc_id", "text"), t.embeddings, _vector(t))
 
 
 @query("with d as (select * from documents where source in ('src0', 'src1')), " + bm25_sql("s", "d", "doc_id", "text") + f", {_KNN}, w as (select v.* from v join d on d.doc_id = v.k), " + _HYBRID.format(s="s", v="w"))

@@ -15,7 +15,7 @@ UNITS = ["cd / m²", "MA/cm2", "lm / W", "cd*m-2", "EV", "°C"]
 
 
 def prose(t) -> DataFrame:
-    return t.part.select("p_partkey", "p_name", "p_size", F.expr(PROSE).alias("text"))
+    return t.spread("part", "p_partkey", "p_name", "p_size").withColumn("text", F.expr(PROSE))
 
 
 def read(t) -> DataFrame:
@@ -147,7 +147,7 @@ sentences as (select conv_id, turn, cast(n - 1 as int) as sentence, cast(coalesc
 
 
 def _sentences(t) -> DataFrame:
-    df = t.conversations.select("conv_id", "turn", "text", F.posexplode(text.sentences(F.col("text"))).alias("sentence", "s"))
+    df = t.spread("conversations", "conv_id", "turn", "text").select("conv_id", "turn", "text", F.posexplode(text.sentences(F.col("text"))).alias("sentence", "s"))
     return df.select("conv_id", "turn", "text", "sentence", "s.start", "s.end")
 
 
@@ -160,7 +160,7 @@ def sentence_split(t):
 unnest(regexp_extract_all(substr(c.text, s.start + 1, s."end" - s.start), '\S+')) as w group by all""")
 def range_containment(t):
     """Words within sentences: an equi-join on the text, with the spans as a residual condition."""
-    words = t.conversations.select("conv_id", "turn", F.explode(text.spans(F.col("text"), r"\S+")).alias("w")).select("conv_id", "turn", F.col("w.start").alias("a"), F.col("w.end").alias("b"))
+    words = t.spread("conversations", "conv_id", "turn", "text").select("conv_id", "turn", F.explode(text.spans(F.col("text"), r"\S+")).alias("w")).select("conv_id", "turn", F.col("w.start").alias("a"), F.col("w.end").alias("b"))
     inside = _sentences(t).drop("text").join(words, ["conv_id", "turn"]).where("a >= start and b <= end")
     return inside.groupBy("conv_id", "turn", "sentence").agg(F.count(F.lit(1)).alias("words"))
 

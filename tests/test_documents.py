@@ -9,7 +9,7 @@ from quire import schemas
 from quire.operators import claims, sections
 from quire.plans import parse
 from quire.sources import readers, writers
-from tests.test_tables import TWO_LEVELS
+from tests.test_tables import LEVELS
 
 ITEMS = [
     {"type": "text", "page_idx": 0, "text": "(10) WO 2026/1\n(54) Device title\nmore title\n(71) A Corp; B Inc", "bbox": [0, 0, 500, 999]},
@@ -17,7 +17,7 @@ ITEMS = [
     {"type": "text", "page_idx": 1, "text": "Claims"}, {"type": "text", "page_idx": 1, "text": "1. A device comprising an anode."}, {"type": "text", "page_idx": 1, "text": "2. The device, wherein HTL is thick; EQE of 21%."},
     {"type": "text", "page_idx": 2, "text": "具体实施方式"}, {"type": "text", "page_idx": 2, "text": "a substrate (10) and an anode layer (20), a base (10)"},
     {"type": "text", "page_idx": 2, "text": "实施例 1 制备方法"}, {"type": "text", "page_idx": 2, "text": "Bis carbazol biphenyl (BCB) was used as host, EQE of 20%."},
-    {"type": "table", "page_idx": 3, "table_body": TWO_LEVELS, "table_caption": ["Table 1 OLED device performance"]},
+    {"type": "table", "page_idx": 3, "table_body": LEVELS, "table_caption": ["Table 1 OLED device performance"]},
     {"type": "image", "page_idx": 3, "image_caption": ["Fig. 2a stack", "figure 3"], "img_path": "images/a.jpg"}, {"type": "equation", "page_idx": None, "text": "x"},
 ]
 

@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import sliced, small_batches, written
+from quire.llm.common import release, sliced, small_batches, written
 
 VOCAB, CLASSES, RARE = 32_768, 64, 32
 SIDE, HIDDEN, ROUNDS, MINIBATCH, RATE, TABLE_RATE = 2, 32, 3, 4_096, 0.004, 0.05
@@ -374,6 +374,8 @@ def train(docs: DataFrame, vocab, n_words: int) -> Network:
         weights.unpersist()
         if len(means):
             net.w = [x.astype(np.float32) for x in pickle.loads(_mean((0,), means)["w"][0])]
+        del mine, means
+        release(spark)  # the round's weights of all shards
     return net
 
 

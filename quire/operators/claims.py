@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from quire.sources.scratch import written
 
 
+#: Levels after which the closure is written as one table.
+FLAT = 16
+
+
 def nodes(claims: DataFrame, doc: str = "doc_id", order: str = "idx") -> DataFrame:
     """One row per claim number: the last block that has it; depends_on is never null."""
     last = Window.partitionBy(doc, "claim_no").orderBy(F.desc(order))
@@ -29,17 +33,19 @@ def roots(node: DataFrame, doc: str = "doc_id") -> DataFrame:
     return node.join(edges(node, doc).select(doc, F.col("child").alias("claim_no")).distinct(), [doc, "claim_no"], "left_anti")
 
 
-def closure(edge: DataFrame, doc: str = "doc_id", rounds: int = 100) -> DataFrame:
-    """(doc, ancestor, descendant, depth): the shortest way down; cycles end, because a pair is found once."""
+def closure(edge: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """(doc, ancestor, descendant, depth): the shortest way down, however deep; cycles end, because a pair is found once."""
     found = edge.select(doc, F.col("parent").alias("ancestor"), F.col("child").alias("descendant"), F.lit(1).alias("depth")).distinct()
-    step = found
-    for depth in range(2, rounds + 1):
+    found = written(found, "closure")
+    step, depth = found, 1
+    while not step.isEmpty():
+        depth += 1
         more = step.join(edge.select(doc, F.col("parent").alias("descendant"), "child"), [doc, "descendant"])
         more = more.select(doc, "ancestor", F.col("child").alias("descendant"), F.lit(depth).alias("depth")).distinct()
         step = written(more.join(found, [doc, "ancestor", "descendant"], "left_anti"), "closure")
-        if step.isEmpty():
-            break
         found = found.unionByName(step)
+        if depth % FLAT == 0:  # one table again, so that plans don't grow with the depth
+            found = written(found, "closure")
     return found
 
 

@@ -7,6 +7,28 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.sources.scratch import written
+
+
+def connected(links: DataFrame) -> DataFrame:
+    """(u, root) of (u, v) links: the smallest vertex that each vertex reaches; vertices without a link are left out.
+
+    Every vertex takes the smallest root among its neighbours, and then its root's root,
+    until nothing changes; each round is a written table.
+    """
+    both = links.where("u <> v").select("u", "v")
+    both = written(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links")
+    labels = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("root")), "roots")
+    while not labels.isEmpty():
+        near = both.join(labels.withColumnsRenamed({"u": "v", "root": "m"}), "v").groupBy("u").agg(F.min("m").alias("m"))
+        step = labels.join(near, "u").select("u", F.col("root").alias("old"), F.least("root", "m").alias("root"))
+        above = labels.select(F.col("u").alias("root"), F.col("root").alias("top"))
+        step = written(step.join(above, "root", "left").select("u", "old", F.least("root", F.coalesce("top", "root")).alias("root")), "roots")
+        labels = step.select("u", "root")
+        if step.where("old <> root").isEmpty():
+            break
+    return labels
+
 
 def vertices(documents: DataFrame, blocks: DataFrame, entities: DataFrame) -> DataFrame:
     """(id, label, props)"""

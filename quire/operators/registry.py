@@ -8,10 +8,12 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import alias_key, fallback_id
+from quire.operators.graph import connected
+from quire.sources.scratch import written
 
 PENDING = "PENDING_MAPPING"
 CANONICAL = "canonical_id string, canonical_key string, preferred_name string, first_seen_doc_id string, last_seen_doc_id string"
@@ -72,16 +74,19 @@ def usage_rows(found: DataFrame) -> DataFrame:
 def align(entities: DataFrame, existing: DataFrame) -> DataFrame:
     """Mentions of many documents, read in the order of seq, with ids as if one followed the other.
 
-    ``entities`` has seq besides the columns of ``mentions``.  Where every mention has one
-    key, the first id given to an alias holds; mentions with several keys hand ids on from
-    alias to alias, so the distinct tuples of aliases, with their first places, are read
-    in order by one task.  Their number grows with the vocabulary, not with the mentions.
+    ``entities`` has seq (of any type with an order) besides the columns of ``mentions``.
+    Where every mention has one key, the first id given to an alias holds; mentions with
+    several keys hand ids on from alias to alias.  So aliases that meet in a mention, directly
+    or by others, are one component, and the distinct tuples of aliases of each component, with
+    their first places, are read in order; components are read side by side.
     """
     df = mentions(entities)
     keys = F.transform("pairs", lambda p: p["key"])
     tuples = df.withColumn("keys", F.array_distinct(keys)).groupBy("keys", F.col("canonical_id").alias("own")).agg(F.min(F.struct("seq", "pos")).alias("first"))
-    tuples = tuples.select("keys", "own", F.col("first.seq").alias("seq"), F.col("first.pos").alias("pos"), F.lit(1).alias("kind"))
-    start = existing.where("canonical_id <> ''").select(F.array("alias_key").alias("keys"), F.col("canonical_id").alias("own"), F.lit(-1).cast("long").alias("seq"), F.lit(0).alias("pos"), F.lit(0).alias("kind"))
+    tuples = written(tuples.select("keys", "own", F.col("first.seq").alias("seq"), F.col("first.pos").cast("long").alias("pos"), F.lit(1).alias("kind")), "alias-tuples")
+    start = existing.where("canonical_id <> ''").select(F.array("alias_key").alias("keys"), F.col("canonical_id").alias("own"), F.lit(None).cast(tuples.schema["seq"].dataType).alias("seq"), F.lit(0).cast("long").alias("pos"), F.lit(0).alias("kind"))
+
+    plain = (lambda x: x) if tuples.schema["seq"].dataType.simpleString() == "string" else int
 
     def fold(t: pd.DataFrame) -> pd.DataFrame:
         known: dict[str, str] = {}  # before the document that is read
@@ -96,15 +101,19 @@ def align(entities: DataFrame, existing: DataFrame) -> DataFrame:
             for k in r.keys:
                 new.setdefault(k, got)
             if r.kind:
-                out.append((list(r.keys), r.own, r.seq, got))
+                out.append((list(r.keys), r.own, plain(r.seq), got))
         for k, v in new.items():
             known.setdefault(k, v)
         # In later documents all aliases of a tuple are known, and what they stand for never changes.
         rows = [(keys, own, seq, got, known[keys[0]] if keys else own) for keys, own, seq, got in out]
         return pd.DataFrame(rows, columns=["keys", "own", "seq", "first", "later"])
 
-    # One group on purpose: the fold is sequential, over distinct tuples only.
-    read = tuples.unionByName(start, allowMissingColumns=True).groupBy(F.lit(0).alias("one")).applyInPandas(fold, "keys array<string>, own string, seq long, first string, later string")
+    links = tuples.where("size(keys) > 1").select(F.col("keys")[0].alias("u"), F.explode(F.expr("slice(keys, 2, size(keys))")).alias("v"))
+    roots = connected(links)
+    first = F.coalesce(F.get("keys", F.lit(0)), F.concat(F.lit("own:"), "own"))  # mentions without a key concern no other
+    rows = tuples.unionByName(start).withColumn("u", first).join(roots, "u", "left").withColumn("component", F.coalesce("root", "u")).drop("u", "root")
+    kind = tuples.schema["seq"].dataType.simpleString()
+    read = rows.groupBy("component").applyInPandas(fold, f"keys array<string>, own string, seq {kind}, first string, later string")
     read = read.select(F.col("keys").alias("__k"), F.col("own").alias("__o"), F.col("seq").alias("__s"), "first", "later")
     both = df.withColumn("__keys", F.array_distinct(keys)).join(read, [F.col("__keys") == F.col("__k"), F.col("canonical_id") == F.col("__o")])
     aligned = F.when(F.col("seq") == F.col("__s"), F.col("first")).otherwise(F.col("later"))
@@ -155,8 +164,7 @@ def orphans(canonical: DataFrame, alias: DataFrame, usage: DataFrame) -> DataFra
 
 def rebuild(entities: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Registry tables from all entities, documents in the order of their ids."""
-    seq = F.dense_rank().over(Window.orderBy("doc_id"))
-    order = entities.select("doc_id").distinct().withColumn("seq", seq.cast("long"))
+    order = entities.select("doc_id").distinct().withColumn("seq", F.col("doc_id"))
     spark = entities.sparkSession
     found = align(entities.join(order, "doc_id"), spark.createDataFrame([], ALIAS))
     with_seq = lambda df: df.join(order, "doc_id")

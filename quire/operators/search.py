@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -132,12 +132,54 @@ def hash_vector(text: str | None, dim: int = 384) -> list[float]:
     return (out / norm if norm else out).tolist()
 
 
-def embed(df: DataFrame, text: str, dim: int = 384, out: str = "embedding") -> DataFrame:
-    """Adds hash vectors, in Arrow batches (the JVM has no BLAKE2b)."""
+class Embedder:
+    """Texts to vectors of one length.  Instances travel to executors, so they must pickle."""
+
+    dimension: int
+
+    def embed(self, texts: list[str | None]) -> list[list[float]]:
+        raise NotImplementedError
+
+
+class HashEmbedder(Embedder):
+    def __init__(self, dimension: int = 384):
+        if dimension <= 0:
+            raise ValueError("the dimension must be positive")
+        self.dimension = dimension
+
+    def embed(self, texts: list[str | None]) -> list[list[float]]:
+        return [hash_vector(t, self.dimension) for t in texts]
+
+
+#: Makers of embedders by kind: (dimension) to an embedder.  ``auto`` takes a remote one if one was registered.
+EMBEDDERS: dict[str, Callable[[int], Embedder]] = dict.fromkeys(("hash", "local", "none"), HashEmbedder)
+REMOTE = ("openai", "oa")
+
+
+def register_embedder(kind: str, make: Callable[[int], Embedder]) -> None:
+    EMBEDDERS[kind.strip().lower()] = make
+
+
+def embedder(kind: str = "auto", dimension: int = 384) -> Embedder:
+    """By kind; services outside the cluster have no client here and must be registered first."""
+    name = kind.strip().lower()
+    if name in ("auto", ""):
+        name = next((r for r in REMOTE if r in EMBEDDERS), "hash")
+    if name in EMBEDDERS:
+        return EMBEDDERS[name](dimension)
+    if name in REMOTE:
+        raise RuntimeError(f"register a maker for embedder {kind!r} first")
+    raise ValueError(f"unknown embedder {kind!r}")
+
+
+def embed(df: DataFrame, text: str, by: Embedder | int = 384, out: str = "embedding") -> DataFrame:
+    """Adds vectors, in Arrow batches (the JVM has no BLAKE2b); a number is the dimension of hash vectors."""
+    made = HashEmbedder(by) if isinstance(by, int) else by
+
     @F.pandas_udf("array<double>")
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            yield s.map(lambda t: hash_vector(t, dim))
+            yield pd.Series(made.embed([None if t is None else str(t) for t in s]), index=s.index, dtype=object)
 
     return df.withColumn(out, vectors(F.col(text)))
 

@@ -47,4 +47,4 @@ def query(sql: str | None = None):
     return add
 
 
-from quire.plans.catalogue import graph, registry, relational, search, stores, tables, text  # noqa: E402, F401
+from quire.plans.catalogue import graph, registry, relational, rules, search, stores, tables, text  # noqa: E402, F401

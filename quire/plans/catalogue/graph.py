@@ -71,26 +71,26 @@ def graph_orphans(t):
 
 
 def tree(t) -> DataFrame:
-    """Documents as claims: claim n depends on claim n div 3, and every seventh on a missing one as well."""
-    n = t.documents.select("doc_id", F.col("text")).where("doc_id > 0")
-    depends = F.expr("if(doc_id % 7 = 0, array(doc_id div 3, -1), array(doc_id div 3))")
-    return n.select(F.lit("d").alias("doc_id"), F.col("doc_id").cast("int").alias("claim_no"), F.col("doc_id").alias("idx"), "text", F.transform(depends, lambda x: x.cast("int")).alias("depends_on"))
+    """Documents as claims, numbered from 1: claim n depends on claim n div 3, and every seventh on a missing one as well."""
+    n = t.documents.select((F.col("doc_id") + 1).alias("n"), "text")
+    depends = F.expr("if(n % 7 = 0, array(n div 3, -1), array(n div 3))")
+    return n.select(F.lit("d").alias("doc_id"), F.col("n").cast("int").alias("claim_no"), F.col("n").alias("idx"), "text", F.transform(depends, lambda x: x.cast("int")).alias("depends_on"))
 
 
-@query("select cast(doc_id as int) as claim_no from documents where doc_id > 0 and doc_id // 3 = 0")
+@query("select cast(doc_id + 1 as int) as claim_no from documents where (doc_id + 1) // 3 = 0")
 def claim_roots(t):
     return claims.roots(claims.nodes(tree(t))).select("claim_no")
 
 
 @query("""
-with recursive e as (select cast(doc_id // 3 as int) as parent, cast(doc_id as int) as child from documents where doc_id >= 3),
+with recursive e as (select cast((doc_id + 1) // 3 as int) as parent, cast(doc_id + 1 as int) as child from documents where doc_id >= 2),
 r(ancestor, descendant, depth) as (select parent, child, 1 from e union all select r.ancestor, e.child, r.depth + 1 from r join e on e.parent = r.descendant)
 select ancestor, descendant, depth from r""")
 def claim_tree_closure(t):
     return claims.closure(claims.edges(claims.nodes(tree(t)))).select("ancestor", "descendant", "depth")
 
 
-@query("select cast(doc_id // 3 as int) as parent, count(*) as children from documents where doc_id >= 3 group by 1")
+@query("select cast((doc_id + 1) // 3 as int) as parent, count(*) as children from documents where doc_id >= 2 group by 1")
 def claim_children(t):
     return claims.edges(claims.nodes(tree(t))).groupBy("parent").agg(F.count(F.lit(1)).alias("children"))
 

@@ -77,14 +77,6 @@ def scanned_documents(t):
     return ledger.is_scanned(pages)
 
 
-@query("""
-select l_orderkey, o_orderpriority, count(*) as lines, string_agg(cast(l_partkey as varchar), ',' order by l_partkey) as parts from lineitem join orders on o_orderkey = l_orderkey where l_returnflag = 'R' group by 1, 2""")
-def experiment_rollup(t):
-    """Ordered lists of ids per group, as experiments collect their materials."""
-    df = t.lineitem.where("l_returnflag = 'R'").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return df.groupBy("l_orderkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("lines"), F.array_join(F.array_sort(F.collect_list("l_partkey")).cast("array<string>"), ",").alias("parts"))
-
-
 @query("""
 select count(distinct conv_id) as documents, count(*) as blocks, cast(count(*) as bigint) as entities, cast(0 as bigint) as relations, count(*) filter (turn % 3 <> 2) as smiles_candidates from conversations""")
 def corpus_summary(t):

@@ -27,10 +27,10 @@ def bm25_search(t):
 
 
 def fields(t) -> DataFrame:
-    return t.documents.select("doc_id", F.substring_index("text", "\n", 1).alias("title"), F.substring("text", 1, 200).alias("abstract"), F.col("text").alias("full_text"))
+    return t.documents.select("doc_id", F.substring_index("text", "\n", 1).alias("title"), F.substring_index("text", "\n", -1).alias("abstract"), F.col("text").alias("full_text"))
 
 
-_FIELDS = "with d as (select doc_id, split_part(text, chr(10), 1) as title, substr(text, 1, 200) as abstract, text as full_text from documents)"
+_FIELDS = "with d as (select doc_id, split_part(text, chr(10), 1) as title, list_extract(string_split(text, chr(10)), -1) as abstract, text as full_text from documents)"
 
 
 @query(_FIELDS + "," + ",".join(bm25_sql(f"s{i}", "d", "doc_id", c) for i, c in enumerate(("title", "abstract", "full_text"))) + """

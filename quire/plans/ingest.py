@@ -1,7 +1,8 @@
 """From structured documents to tables: relational, graph, search, registry.
 
-One job for all documents.  A table is a versioned Parquet folder (``writers.Table``); rows
-of the documents that are read replace their old rows, whatever else is there stays.
+One job for all documents.  A table is a versioned, bucketed Parquet folder (``writers.Table``);
+rows of the documents that are read replace their old rows, and only the buckets of those
+documents are written again.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import smiles
-from quire.operators import graph, registry, search
+from quire.operators import chemistry, graph, registry, search
 from quire.sources.scratch import written
 from quire.sources.writers import Table
 
@@ -25,7 +26,7 @@ TABLES = {
         ["block_id"],
     ),
     "entity": (
-        "doc_id string, block_id string, pos int, entity_id string, entity_type string, value_text string, value_num double, unit string, value_pair array<double>, "
+        "doc_id string, block_id string, pos long, entity_id string, entity_type string, value_text string, value_num double, unit string, value_pair array<double>, "
         "span array<int>, normalized string, canonical_id string",
         ["entity_id"],
     ),
@@ -43,6 +44,7 @@ TABLES = {
     "edge": ("src string, dst string, type string, props string, doc_id string", ["src", "dst", "type"]),
     "search_document": ("doc_id string, title string, abstract string, full_text string, entity_types array<string>, relation_types array<string>, embedding array<double>", ["doc_id"]),
     "search_block": ("doc_id string, block_id string, block_type string, text string, embedding array<double>", ["block_id"]),
+    "rejected_row": ("doc_id string, table_name string, row_key string, failed_checks array<string>", ["doc_id", "table_name", "row_key"]),
 }
 
 
@@ -59,7 +61,7 @@ def flatten(documents: DataFrame) -> dict[str, DataFrame]:
     )
     e = b.select("doc_id", "b.block_id", F.col("pos").alias("block_pos"), F.posexplode("b.entities").alias("i", "e"))
     entity = e.select(
-        "doc_id", "block_id", (F.col("block_pos") * 100_000 + F.col("i")).alias("pos"), "e.entity_id", F.col("e.type").alias("entity_type"), F.col("e.value").alias("value_text"), "e.value_num",
+        "doc_id", "block_id", (F.shiftleft(F.col("block_pos").cast("long"), 32) + F.col("i")).alias("pos"), "e.entity_id", F.col("e.type").alias("entity_type"), F.col("e.value").alias("value_text"), "e.value_num",
         "e.unit", "e.value_pair", "e.span", "e.normalized", "e.canonical_id",
     )
     r = b.select("doc_id", "b.block_id", F.explode("b.relations").alias("r"))
@@ -80,7 +82,25 @@ def valid_rows(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, Dat
     return marked.where(F.size("failed_checks") == 0).drop("failed_checks"), marked.where(F.size("failed_checks") > 0)
 
 
-def search_rows(flat: dict[str, DataFrame], dim: int = 384) -> dict[str, DataFrame]:
+def checked(flat: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The rows that can be written, and (doc_id, table, key, failed_checks) of the others.
+
+    Ids must not be blank, and a structure must be readable.
+    """
+    out, bad = {}, []
+    for name, df in flat.items():
+        keys = TABLES[name][1]
+        checks = {f"{k} is blank": F.trim(F.coalesce(F.col(k), F.lit(""))) != "" for k in keys}
+        if name == "molecule":
+            df = chemistry.with_fingerprint(df)
+            checks["structure cannot be read"] = F.col("fp").isNotNull()
+        good, failed = valid_rows(df, checks)
+        out[name] = good.drop("fp") if name == "molecule" else good
+        bad.append(failed.select("doc_id", F.lit(name).alias("table_name"), F.concat_ws("|", *keys).alias("row_key"), "failed_checks"))
+    return out, reduce(lambda a, b: a.unionByName(b), bad)
+
+
+def search_rows(flat: dict[str, DataFrame], embedder: search.Embedder | int = 384) -> dict[str, DataFrame]:
     types = lambda df, c, n: df.groupBy("doc_id").agg(F.sort_array(F.collect_set(c)).alias(n))
     text = search.embedding_text(flat["document"].select("doc_id", "title", "abstract"), flat["block"]).withColumnRenamed("text", "full_text")
     docs = flat["document"].select("doc_id", "title", "abstract").join(text, "doc_id", "left")
@@ -88,7 +108,7 @@ def search_rows(flat: dict[str, DataFrame], dim: int = 384) -> dict[str, DataFra
     none = F.array().cast("array<string>")
     docs = docs.withColumns({c: F.coalesce(c, none) for c in ("entity_types", "relation_types")})
     blocks = flat["block"].where(F.trim(F.coalesce("text", F.lit(""))) != "").select("doc_id", "block_id", "block_type", "text")
-    return {"search_document": search.embed(docs, "full_text", dim), "search_block": search.embed(blocks, "text", dim)}
+    return {"search_document": search.embed(docs, "full_text", embedder), "search_block": search.embed(blocks, "text", embedder)}
 
 
 def graph_rows(flat: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -104,48 +124,61 @@ def graph_rows(flat: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 class Store:
-    """The tables under one folder."""
+    """The tables under one folder, each dealt into buckets by the document, or by the key of the registry."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
         self.spark = spark
-        self.tables = {n: Table(spark, f"{path.rstrip('/')}/{n}", s) for n, (s, _) in TABLES.items()}
+        by = {n: "doc_id" if "doc_id" in [c.split()[0] for c in s.split(", ")] else keys[0] for n, (s, keys) in TABLES.items()}
+        self.tables = {n: Table(spark, f"{path.rstrip('/')}/{n}", s, by[n], buckets) for n, (s, _) in TABLES.items()}
 
     def read(self, name: str) -> DataFrame:
         return self.tables[name].read()
 
     def _replace(self, name: str, new: DataFrame, touched: DataFrame) -> None:
-        schema = TABLES[name][0]
-        cols = [c.split()[0] for c in schema.split(", ")]
-        self.tables[name].write(registry.replace_by_key(self.read(name), new.select(*cols), ["doc_id"], touched))
-
-    def ingest(self, documents: DataFrame, dim: int = 384) -> None:
-        """Writes documents; of several with one id the last by source file counts."""
+        cols = [c.split()[0] for c in TABLES[name][0].split(", ")]
+        self.tables[name].replace(new.select(*cols), touched)
+
+    def _merge(self, name: str, new: DataFrame, merge) -> None:
+        """The registry's rows of the keys in ``new``, merged; other buckets stay."""
+        table = self.tables[name]
+        buckets = table.buckets_of(new)
+        old = table.read(buckets)
+        table.write(merge(old, new).select(*old.columns), buckets)
+
+    def ingest(self, documents: DataFrame, embedder: search.Embedder | int = 384) -> None:
+        """Writes documents; of several with one id the last by source file counts.  A row that is no good is left out and noted."""
         latest = Window.partitionBy("doc_id").orderBy(F.desc("source_file"))
         documents = written(documents.withColumn("__n", F.row_number().over(latest)).where("__n = 1").drop("__n"), "ingest-documents")
-        flat = flatten(documents)
-        touched = flat["document"].select("doc_id")
-        order = touched.withColumn("seq", F.dense_rank().over(Window.orderBy("doc_id")).cast("long"))  # one row per document that is read
-        found = registry.align(flat["entity"].join(order, "doc_id"), self.read("material_alias").select("alias_key", "canonical_id"))
+        flat, rejected = checked(flatten(documents))
+        touched = written(flat["document"].select("doc_id"), "ingest-touched")
+        order = touched.withColumn("seq", F.col("doc_id"))  # documents follow one another in the order of their ids
+        keys = registry.mentions(flat["entity"]).select(F.explode("pairs.key").alias("alias_key")).distinct()
+        known = self.tables["material_alias"]
+        found = registry.align(flat["entity"].join(order, "doc_id"), known.read(known.buckets_of(keys)).select("alias_key", "canonical_id"))
         found = written(found, "ingest-mentions")
         with_seq = lambda df: df.join(order, "doc_id")
-        canonical = registry.merge_canonical(self.read("material_canonical"), with_seq(registry.canonical_rows(found)))
-        alias = registry.merge_alias(self.read("material_alias"), with_seq(registry.alias_rows(found)))
+        canonical = written(with_seq(registry.canonical_rows(found)), "ingest-canonical")
+        alias = written(with_seq(registry.alias_rows(found)), "ingest-alias")
         usage = registry.usage_rows(found)
         aligned = flat["entity"].join(found.select("entity_id", F.col("canonical_id").alias("__c")), "entity_id", "left")
         flat["entity"] = written(aligned.withColumn("canonical_id", F.coalesce("__c", "canonical_id")).drop("__c"), "ingest-entities")
-        rows = flat | graph_rows(flat) | search_rows(flat, dim)
+        rows = flat | graph_rows(flat) | search_rows(flat, embedder)
         for name, df in rows.items():
             self._replace(name, df, touched)
         self._replace("material_doc_usage", usage, touched)
-        self.tables["material_canonical"].write(canonical)
-        self.tables["material_alias"].write(alias)
+        self._replace("rejected_row", rejected, touched)
+        self._merge("material_canonical", canonical, registry.merge_canonical)
+        self._merge("material_alias", alias, registry.merge_alias)
 
     def delete(self, documents: DataFrame) -> None:
         """Takes documents out of every table that has their rows."""
-        for name in TABLES:
-            rows = self.read(name)
-            if "doc_id" in rows.columns:
-                self.tables[name].write(rows.join(documents.select("doc_id").distinct(), "doc_id", "left_anti").select(*rows.columns))
+        for table in self.tables.values():
+            if table.by == "doc_id":
+                table.replace(table.read([]), documents.select("doc_id"))
+
+    def vacuum(self) -> dict[str, list[int]]:
+        """Deletes what no current version of a table uses."""
+        return {name: table.vacuum() for name, table in self.tables.items()}
 
     def rebuild_registry(self) -> DataFrame:
         """Registry tables again from all entities, in the order of document ids."""

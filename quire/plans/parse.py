@@ -26,7 +26,8 @@ def blocks(items: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     ``items``: doc_id, source_file, idx and the fields of a layout item.  ``pages``:
     doc_id, page_idx, width, height, each page once.
     """
-    df = items.withColumn("is_text", F.col("type") == "text").withColumn("text", F.trim(F.coalesce("text", F.lit(""))))
+    raw = F.to_json(F.struct(*(c for c in items.columns if c not in ("doc_id", "source_file", "idx"))))
+    df = items.withColumn("raw", raw).withColumn("is_text", F.col("type") == "text").withColumn("text", F.trim(F.coalesce("text", F.lit(""))))
     df = sections.char_offsets(sections.classify(df))
     page = F.coalesce((F.col("page_idx") + 1).cast("string"), F.lit("None"))
     df = df.withColumn("block_id", F.concat(safe_stem(F.col("doc_id")), F.lit("_p"), page, F.lit("_b"), F.col("idx")))
@@ -49,7 +50,7 @@ def blocks(items: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     below = below.withColumn("block_type", F.when(table, F.lit("table_caption")).otherwise(F.lit("figure_caption")))
     below = below.withColumn("block_id", F.concat(F.coalesce("table_id", "figure_id"), F.lit("_cap"), F.lpad(F.col("cap").cast("string"), 2, "0")))
     below = below.withColumn("table_no", F.when(table, table_no(F.col("text")))).withColumn("figure_no", F.when(image, figure_no(F.col("text"))))
-    empty = {"table_id": "string", "figure_id": "string", "html": "string", "char_start": "long", "char_end": "long"}
+    empty = {"raw": "string", "table_id": "string", "figure_id": "string", "html": "string", "char_start": "long", "char_end": "long"}
     below = below.drop("__p", "__c").withColumns({c: F.lit(None).cast(t) for c, t in empty.items()})
     out = main.unionByName(below)
     order = Window.partitionBy("doc_id").orderBy("idx", "cap")
@@ -136,8 +137,11 @@ def experiments(block: DataFrame) -> DataFrame:
     return found.withColumn("performance", F.col("performance_relations"))
 
 
-def documents(block: DataFrame, biblio: DataFrame | None = None) -> DataFrame:
-    """Structured documents from named blocks; ``biblio`` is (doc_id, metadata) of cached records, which win."""
+def documents(block: DataFrame, biblio: DataFrame | None = None, keep_raw: bool = False) -> DataFrame:
+    """Structured documents from named blocks; ``biblio`` is (doc_id, metadata) of cached records, which win.
+
+    With ``keep_raw`` a block also has the layout item that it was made from, as JSON.
+    """
     described = (F.col("block_type") == "description") | F.col("subsection").isin(*V.SUBSECTIONS)
     numerals = block.where(F.col("is_text") & described).select("doc_id", "idx", F.posexplode(mentions.reference_numerals(F.col("text"))).alias("pos", "n"))
     numerals = sections.numeral_labels(numerals.select("doc_id", "idx", "pos", "n.number", "n.label"))
@@ -151,7 +155,7 @@ def documents(block: DataFrame, biblio: DataFrame | None = None) -> DataFrame:
     ).alias("__inid"))
     as_struct = F.struct(
         "block_id", F.col("block_type").alias("type"), "text", F.when(F.col("char_start").isNotNull(), F.array(F.col("char_start").cast("int"), F.col("char_end").cast("int"))).alias("char_offset"),
-        "section", "subsection", "example_id", "depends_on", "claim_no", "table_id", "table_no", "figure_id", "figure_no", "entities", "relations",
+        "section", "subsection", "example_id", "depends_on", "claim_no", "table_id", "table_no", "figure_id", "figure_no", "entities", "relations", *(["raw"] if keep_raw else []),
     )
     listed = F.transform(F.array_sort(F.collect_list(F.struct(F.col("paragraph_index").alias("o"), as_struct.alias("b"))), lambda a, b: a["o"] - b["o"]), lambda x: x["b"])
     doc = block.groupBy("doc_id").agg(F.first("source_file").alias("source_file"), listed.alias("blocks"))
@@ -169,5 +173,5 @@ def documents(block: DataFrame, biblio: DataFrame | None = None) -> DataFrame:
     )
 
 
-def parse(items: DataFrame, pages: DataFrame | None = None, biblio: DataFrame | None = None) -> DataFrame:
-    return documents(named_blocks(blocks(items, pages)), biblio)
+def parse(items: DataFrame, pages: DataFrame | None = None, biblio: DataFrame | None = None, keep_raw: bool = False) -> DataFrame:
+    return documents(named_blocks(blocks(items, pages)), biblio, keep_raw)

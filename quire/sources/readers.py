@@ -22,21 +22,31 @@ def stem(path: Column, suffix: str) -> Column:
     return F.regexp_replace(F.url_decode(F.regexp_replace(F.regexp_extract(path, "([^/]+)$", 1), r"\+", "%2B")), suffix.replace(".", r"\.") + "$", "")
 
 
-def layout_items(spark: SparkSession, paths: list[str]) -> DataFrame:
+def _preferred(method: str | None) -> Column:
+    """Order of files of one stem: those under the folder of the stem and the parse method first, then by path."""
+    if not method:
+        return F.struct(F.lit(False).alias("other"), F.col("path"))
+    inside = F.contains(F.url_decode(F.regexp_replace("path", r"\+", "%2B")), F.concat(F.lit("/"), "doc_id", F.lit(f"/{method}/")))
+    return F.struct((~F.coalesce(inside, F.lit(False))).alias("other"), F.col("path"))
+
+
+def layout_items(spark: SparkSession, paths: list[str], method: str | None = None) -> DataFrame:
     """(doc_id, source_file, idx, item fields); a file that is no array of objects has no items.
 
-    Of several files with one stem, the first by path counts.
+    Of several files with one stem, the first by path counts; with a parse ``method`` one in
+    the folder of that name below the document's, if there is any.
     """
     df = _files(spark, paths, "*_content_list.json").withColumn("doc_id", stem(F.col("path"), "_content_list.json"))
-    df = df.groupBy("doc_id").agg(F.min_by("text", "path").alias("text"), F.min("path").alias("source_file"))
+    first = _preferred(method)
+    df = df.groupBy("doc_id").agg(F.min_by("text", first).alias("text"), F.min_by("path", first).alias("source_file"))
     items = F.from_json("text", f"array<{schemas.ITEM}>", {"mode": "PERMISSIVE"})
     return df.select("doc_id", "source_file", F.posexplode(items).alias("idx", "item")).where("item is not null").select("doc_id", "source_file", "idx", "item.*")
 
 
-def page_sizes(spark: SparkSession, paths: list[str]) -> DataFrame:
+def page_sizes(spark: SparkSession, paths: list[str], method: str | None = None) -> DataFrame:
     """(doc_id, page_idx, width, height); pages without two sizes are left out, the last of equal ones counts."""
     df = _files(spark, paths, "*_middle.json").withColumn("doc_id", stem(F.col("path"), "_middle.json"))
-    df = df.groupBy("doc_id").agg(F.min_by("text", "path").alias("text"))
+    df = df.groupBy("doc_id").agg(F.min_by("text", _preferred(method)).alias("text"))
     pages = df.select("doc_id", F.posexplode(F.from_json("text", schemas.PAGES)["pdf_info"]).alias("n", "p"))
     pages = pages.select("doc_id", "n", F.coalesce("p.page_idx", F.lit(0)).alias("page_idx"), F.col("p.page_size").alias("s")).where("size(s) = 2")
     size = F.struct(F.col("s")[0].cast("int").alias("width"), F.col("s")[1].cast("int").alias("height"))

@@ -20,7 +20,7 @@ def layout(tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def store(spark, layout, tmp_path_factory):
-    s = ingest.Store(spark, str(tmp_path_factory.mktemp("store")))
+    s = ingest.Store(spark, str(tmp_path_factory.mktemp("store")), buckets=3)
     s.ingest(parse.parse(readers.layout_items(spark, [str(layout)])), 16)
     return s
 

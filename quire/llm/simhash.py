@@ -1,7 +1,7 @@
 """SimHash near-duplicates: fingerprints, a binary-trie self-join and its components.
 
 Fingerprint: ASCII letters in lower case, words between ASCII white space, shingles of
-three words with repeats (fewer words: the whole sequence), XXH64 with seed 42; a bit
+three words (or another number) with repeats (fewer words: the whole sequence), XXH64 with seed 42; a bit
 is set if it is set in over half of the hashes.  A text without words, or null, has
 fingerprint zero, which is linked like any other.
 
@@ -19,7 +19,7 @@ entries are split into chunks and every pair of chunks is joined, which finds ev
 link.  Components of the forests are computed by alternating stars.
 
 Defined results: a null id is kept with its row and never names a component unless no
-other id is in it; repeated rows are documents of their own; an empty table gives an
+other id is in it; very long texts are read whole, in parts; a bit that is set in exactly half of the hashes is 0; repeated rows are documents of their own; an empty table gives an
 empty result; other columns are ignored.
 """
 
@@ -41,14 +41,14 @@ HASHES, FRONTIER = 1 << 16, 1 << 16
 SMALL = 16
 
 
-def fingerprint(text: str | None) -> int:
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return 0
     joined = b" ".join(words)
     size = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(size) + np.arange(len(words))
-    k = min(SHINGLE, len(words))
+    k = min(shingle, len(words))
     starts, ends = (ends - size)[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist()
     xx, counts = xxhash.xxh64_intdigest, np.zeros(BITS, np.int64)
     for i in range(0, len(starts), HASHES):
@@ -57,14 +57,14 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * counts > len(starts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(id, fp): the fingerprint of every whole text, as a signed bigint."""
     small_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
         for b in sliced(batches):
-            fps = np.fromiter(map(fingerprint, b.column(1).to_pylist()), np.uint64, b.num_rows)
+            fps = np.fromiter((fingerprint(t, shingle) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
 
     return picked.mapInArrow(run, f"id {picked.schema['id'].dataType.simpleString()}, fp bigint")
@@ -201,9 +201,9 @@ def near_links(distinct: DataFrame) -> DataFrame:
     return dealt.repartition(n_parts, "block", "head", "task").select("fp", "block", "task").mapInArrow(_forest_of_partition, "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row per document: id, fp and component (smallest id reachable over links of three bits or fewer)."""
-    fps = written(fingerprints(docs, id_col, text_col), "simhash")
+    fps = written(fingerprints(docs, id_col, text_col, shingle), "simhash")
     nodes = written(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes", fps.count())
     # A forest has fewer links than entries, of which each fingerprint has one for each block.
     roots = connected_components(near_links(nodes.select("fp")), BLOCKS * nodes.count()).withColumnRenamed("u", "fp")

@@ -1,13 +1,14 @@
 import sys
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from quire.llm import langid, mixing  # noqa: E402
+from quire.llm import langid, mixing, packing  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -85,7 +86,12 @@ def test_mixing_stage_takes_the_words(spark, docs):
 def test_whole_run_packs_what_is_left(spark, docs, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    fill = defaultdict(int)
+    fill, ends = defaultdict(int), defaultdict(list)
     for r in rows:
         fill[r.sequence_id] += r.length
-    assert max(fill.values()) <= 2048 and len(fill) == -(-sum(fill.values()) // 2048)
+        ends[r.sequence_id].append((r.offset, r.offset + r.length))
+    assert max(fill.values()) <= 2048
+    for parts in ends.values():  # gapless from 0
+        assert [a for a, _ in sorted(parts)] == [0, *(b for _, b in sorted(parts)[:-1])]
+    lengths = np.array(sorted((r.length for r in rows), reverse=True))
+    assert packing.least_bins(lengths, 2048) <= len(fill) <= len(packing.best_fit_decreasing(lengths, 2048)[2])

@@ -3,38 +3,22 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.sources.scratch import folder
+
 #: Words as the contracts define them: runs of anything but the six ASCII white-space bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_own_folder: list[str] = []
-
-
-def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir.
-
-    Only where the setting is absent (a local session, as in tests) a temporary
-    folder of this machine is made.
-    """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if not _own_folder:
-        _own_folder.append(f"file://{tempfile.mkdtemp(prefix='quire-')}")
-    return _own_folder[0]
-
-
 #: Rows of a file of a table whose size is known to be small.
 FILE_ROWS = 200_000
 
 
 def written(df: DataFrame, name: str, most_rows: int | None = None) -> DataFrame:
-    """Writes df as Parquet into the scratch folder and reads it again.
+    """Writes df as Parquet into the session's scratch folder (``quire.sources.scratch``) and reads it again.
 
     This cuts the lineage: later stages, and retries after a lost executor, read
     the files instead of computing the plan again.  With a bound on its rows a table is
@@ -42,7 +26,7 @@ def written(df: DataFrame, name: str, most_rows: int | None = None) -> DataFrame
     """
     if most_rows is not None:
         df = df.coalesce(-(-max(1, most_rows) // FILE_ROWS))
-    path = f"{scratch_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

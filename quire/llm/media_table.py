@@ -1,4 +1,10 @@
-"""The media column on DataFrames: stored streams, and what is read back from them."""
+"""The media column on DataFrames: stored streams, and what is read back from them.
+
+Defined results: a null text is an empty one, whose payload is 64 zero bytes; very long texts are
+stored whole, a few documents of a batch at a time; repeated rows are stored one by one, and equal
+texts give equal streams and features; null ids pass through; an empty table gives an empty result;
+other columns are ignored, whatever their names.  There is nothing to tie.
+"""
 
 from __future__ import annotations
 

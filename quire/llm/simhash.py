@@ -7,8 +7,8 @@ fingerprint zero, which is linked like any other.
 
 Join: documents of one fingerprint are one entry.  If two fingerprints differ in at
 most three bits, one of their four 16-bit blocks is equal, so each fingerprint is sent
-to four buckets, rotated so that the equal block is on top.  A task holds the buckets
-of its partition as one sorted array, which is a binary trie whose nodes are ranges.
+to four buckets, rotated so that the equal block is on top.  A task holds some buckets
+of its partition at a time as one sorted array, which is a binary trie whose nodes are ranges.
 Node pairs are traversed together: a pair's children differ by one more bit or none,
 and a pair is pruned when its differing bits exceed the budget, or when both subtrees
 already lie in one component.  The task returns a spanning forest of the links found,
@@ -39,6 +39,8 @@ BITS, BLOCKS, SHINGLE, SEED = 64, 4, 3, 42
 HASHES, FRONTIER = 1 << 16, 1 << 16
 #: A pair of nodes is compared entry by entry when it has at most so many pairs of entries.
 SMALL = 16
+#: Entries of buckets that a task holds at once.
+HELD = 500_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -160,28 +162,37 @@ def trie_join(group: np.ndarray, keys: np.ndarray, budget: int = 3, top: int = B
     return forest.root
 
 
-def _forest_of_partition(batches):
-    fps, blocks, tasks = [], [], []
-    for b in batches:
-        fps.append(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
-        blocks.append(b.column(1).to_numpy(zero_copy_only=False))
-        tasks.append(b.column(2).to_numpy(zero_copy_only=False))
-    if not fps:
-        return
-    fp, block, task = map(np.concatenate, (fps, blocks, tasks))
+def _links(fp: np.ndarray, block: np.ndarray, head: np.ndarray, task: np.ndarray):
+    """Spanning forests of some whole buckets, as batches of (u, v)."""
     keys = rotate(fp, block * (BITS // BLOCKS))
-    order = np.lexsort((keys, task, block))
-    fp, block, task, keys = fp[order], block[order], task[order], keys[order]
-    head = keys >> np.uint64(BITS - BITS // BLOCKS)
+    order = np.lexsort((keys, task, head, block))
+    fp, block, head, task, keys = fp[order], block[order], head[order], task[order], keys[order]
     new = (head[1:] != head[:-1]) | (task[1:] != task[:-1]) | (block[1:] != block[:-1])
-    group = np.concatenate([[0], np.cumsum(new)])
-    root = trie_join(group, keys, top=BITS - BITS // BLOCKS)
+    root = trie_join(np.concatenate([[0], np.cumsum(new)]), keys, top=BITS - BITS // BLOCKS)
     child = np.flatnonzero(root != np.arange(len(root)))
     for i in range(0, len(child), 100_000):
         some = child[i : i + 100_000]
         yield pa.RecordBatch.from_arrays([pa.array(fp[some].view(np.int64)), pa.array(fp[root[some]].view(np.int64))], ["u", "v"])
 
 
+def _forests(batches):
+    """Rows (fp, block, head, task) that are sorted by bucket; about ``HELD`` entries, and one bucket, are held at once."""
+    held, size = [], 0
+    for b in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+        held.append([columns[0].view(np.uint64), *columns[1:]])
+        size += b.num_rows
+        if size >= HELD:
+            rows = [np.concatenate(c) for c in zip(*held)]
+            new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in rows[1:]], axis=0))
+            cut = int(new[-1]) + 1 if len(new) else 0  # the last bucket may go on
+            if cut:
+                yield from _links(*(c[:cut] for c in rows))
+            held, size = [[c[cut:] for c in rows]], size - cut
+    if size:
+        yield from _links(*(np.concatenate(c) for c in zip(*held)))
+
+
 def near_links(distinct: DataFrame) -> DataFrame:
     """Spanning forests (u, v) of all links between the fingerprints in column fp (no repeats)."""
     spark = distinct.sparkSession
@@ -198,7 +209,8 @@ def near_links(distinct: DataFrame) -> DataFrame:
     tasks = F.expr("""if(chunks is null, array(0),
         transform(filter(sequence(0, chunks - 1), x -> x <> c), x -> 1 + least(x, c) * chunks + greatest(x, c)))""")
     dealt = dealt.select("fp", "block", F.explode(tasks).alias("task"), "head")
-    return dealt.repartition(n_parts, "block", "head", "task").select("fp", "block", "task").mapInArrow(_forest_of_partition, "u bigint, v bigint")
+    sorted_ = dealt.select("fp", "block", "head", "task").repartition(n_parts, "block", "head", "task").sortWithinPartitions("block", "head", "task")
+    return sorted_.mapInArrow(_forests, "u bigint, v bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:

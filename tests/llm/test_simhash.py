@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from quire.llm import simhash
@@ -94,3 +95,26 @@ def test_components_of_a_path_and_a_star(spark):
     got = {r.u: r.root for r in connected_components(spark.createDataFrame(path, "u long, v long")).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 200)}
     assert connected_components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_buckets_are_read_some_at_a_time(monkeypatch):
+    """Links of sorted rows that come in small batches, with little held at once, join what brute force joins."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**64, 6, np.uint64)
+    fps = np.unique(np.concatenate([base, *(base ^ (np.uint64(1) << rng.integers(0, 64, 6, np.uint64)) for _ in range(12))]))
+    width = simhash.BITS // simhash.BLOCKS
+    rows = []
+    for block in range(simhash.BLOCKS):
+        head = simhash.rotate(fps, np.full(len(fps), block * width)) >> np.uint64(simhash.BITS - width)
+        rows += [(f, block, int(h), 0) for f, h in zip(fps.view(np.int64).tolist(), head)]
+    rows.sort(key=lambda r: r[1:])
+    monkeypatch.setattr(simhash, "HELD", 10)
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + 7])], ["fp", "block", "head", "task"]) for i in range(0, len(rows), 7)]
+    links = [pair for b in simhash._forests(batches) for pair in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+    label = {f: i for i, f in enumerate(fps.view(np.int64).tolist())}
+    want = dict(label)
+    for names, pairs in ((label, links), (want, [(a, b) for a in want for b in want if bin((a ^ b) & (2**64 - 1)).count("1") <= 3])):
+        for a, b in pairs:
+            low, high = sorted((names[a], names[b]))
+            names.update({k: low for k, v in names.items() if v == high})
+    assert label == want

@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from quire.sources.scratch import written
 
 
-#: Levels after which the closure is written as one table.
-FLAT = 16
-
-
 def nodes(claims: DataFrame, doc: str = "doc_id", order: str = "idx") -> DataFrame:
     """One row per claim number: the last block that has it; depends_on is never null."""
     last = Window.partitionBy(doc, "claim_no").orderBy(F.desc(order))
@@ -34,18 +30,18 @@ def roots(node: DataFrame, doc: str = "doc_id") -> DataFrame:
 
 
 def closure(edge: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """(doc, ancestor, descendant, depth): the shortest way down, however deep; cycles end, because a pair is found once."""
+    """(doc, ancestor, descendant, depth): the shortest way down, however deep.
+
+    Ways are put together two by two until no pair is new and none gets shorter, which takes
+    a number of rounds logarithmic in the depth; cycles end, as a pair keeps its shortest way.
+    """
     found = edge.select(doc, F.col("parent").alias("ancestor"), F.col("child").alias("descendant"), F.lit(1).alias("depth")).distinct()
-    found = written(found, "closure")
-    step, depth = found, 1
-    while not step.isEmpty():
-        depth += 1
-        more = step.join(edge.select(doc, F.col("parent").alias("descendant"), "child"), [doc, "descendant"])
-        more = more.select(doc, "ancestor", F.col("child").alias("descendant"), F.lit(depth).alias("depth")).distinct()
-        step = written(more.join(found, [doc, "ancestor", "descendant"], "left_anti"), "closure")
-        found = found.unionByName(step)
-        if depth % FLAT == 0:  # one table again, so that plans don't grow with the depth
-            found = written(found, "closure")
+    found, before = written(found, "closure"), None
+    while before != (now := found.agg(F.count(F.lit(1)), F.sum("depth")).first()):
+        before = now
+        below = found.select(doc, F.col("ancestor").alias("descendant"), F.col("descendant").alias("below"), F.col("depth").alias("more"))
+        ways = found.join(below, [doc, "descendant"]).select(doc, "ancestor", F.col("below").alias("descendant"), (F.col("depth") + F.col("more")).alias("depth"))
+        found = written(found.unionByName(ways).groupBy(doc, "ancestor", "descendant").agg(F.min("depth").alias("depth")), "closure")
     return found
 
 

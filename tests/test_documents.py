@@ -95,6 +95,39 @@ def test_claim_trees(spark):
     assert [t["claim_no"] for t in tree] == [1, 4] and [c["claim_no"] for c in tree[0]["children"]] == [2, 3] and tree[0]["children"][0]["children"][0]["claim_no"] == 3
 
 
+def test_deep_claims(spark):
+    """A chain beyond a hundred levels, and a cycle beside it."""
+    edge = spark.createDataFrame([("d", i, i + 1) for i in range(1, 130)] + [("e", 1, 2), ("e", 2, 3), ("e", 3, 1)], "doc_id string, parent int, child int")
+    got = {(r.doc_id, r.ancestor, r.descendant): r.depth for r in claims.closure(edge).collect()}
+    want = {("d", i, j): j - i for i in range(1, 131) for j in range(i + 1, 131)}
+    want |= {("e", i, j): (j - i - 1) % 3 + 1 for i in range(1, 4) for j in range(1, 4)}
+    assert got == want
+
+
+def test_folder_of_the_parse_method_comes_first(spark, tmp_path):
+    for folder, text in (("x/doc 1/auto", "by auto"), ("x/doc 1/ocr", "by ocr"), ("x/doc 2", "at the root")):
+        (tmp_path / folder).mkdir(parents=True)
+        stem = folder.split("/")[1]
+        (tmp_path / folder / f"{stem}_content_list.json").write_text(json.dumps([{"type": "text", "page_idx": 0, "text": text}]))
+        (tmp_path / folder / f"{stem}_middle.json").write_text(json.dumps({"pdf_info": [{"page_idx": 0, "page_size": [len(text), 1]}]}))
+    read = lambda method: {r.doc_id: r.text for r in readers.layout_items(spark, [str(tmp_path)], method).collect()}
+    assert read("ocr") == {"doc 1": "by ocr", "doc 2": "at the root"}
+    assert read("auto") == read(None) == read("absent") == {"doc 1": "by auto", "doc 2": "at the root"}
+    assert {r.doc_id: r.width for r in readers.page_sizes(spark, [str(tmp_path)], "ocr").collect()} == {"doc 1": 6, "doc 2": 11}
+
+
+def test_raw_items_are_kept_on_demand(spark, folder, tmp_path):
+    items = readers.layout_items(spark, [folder]).where("doc_id = 'WO2026000001A1' and idx < 3")
+    (kept,) = parse.parse(items, keep_raw=True).collect()
+    assert [json.loads(b.raw)["text"] for b in kept.blocks] == [i["text"] for i in ITEMS[:3]]
+    (plain,) = parse.parse(items).collect()
+    assert "raw" not in plain.blocks[0].asDict()
+    writers.structured_json(parse.parse(items), f"{tmp_path}/pretty", pretty=True)
+    (file,) = (tmp_path / "pretty" / "doc_id=WO2026000001A1").glob("*.txt")
+    text = file.read_text()
+    assert json.loads(text)["abstract"] == "An OLED using CBP host (12)." and text.count("\n") > 20
+
+
 def test_structured_files(spark, tmp_path, document):
     good = {"doc_id": "", "metadata": {"title": "T"}, "blocks": [{"block_id": "b", "entities": [{"value": "v"}, None], "relations": None}, None], "experiments": [{"example_id": "e", "performance": ["x"]}]}
     (tmp_path / "one two_structured.json").write_text(json.dumps(good))
@@ -140,6 +173,22 @@ def test_versioned_table(spark, tmp_path):
     assert t.version() == 2 and t.read().count() == 2
 
 
+def test_buckets_that_are_not_touched_stay(spark, tmp_path):
+    t = writers.Table(spark, str(tmp_path / "t"), "k string, v int", "k", 5)
+    rows = lambda pairs: spark.createDataFrame(pairs, "k string, v int")
+    t.write(rows([(f"k{i}", i) for i in range(40)]))
+    before = t._state()[1]
+    t.replace(rows([("k3", 300), ("k3", 301), ("new", 7)]), rows([("k3", 0), ("k4", 0), ("new", 0)]))
+    touched = t.buckets_of(rows([("k3", 0), ("k4", 0), ("new", 0)]))
+    assert {b: v for b, v in t._state()[1].items() if b not in touched} == {b: v for b, v in before.items() if b not in touched}
+    want = sorted([(f"k{i}", i) for i in range(40) if i not in (3, 4)] + [("k3", 300), ("k3", 301), ("new", 7)])
+    assert sorted(map(tuple, t.read().collect())) == want
+    again = writers.Table(spark, str(tmp_path / "t"), "k string, v int", "k", 99)  # the number it was made with holds
+    again.replace(rows([]), rows([(f"k{i}", 0) for i in range(40)]))
+    assert sorted(map(tuple, again.read().collect())) == [("new", 7)]
+    assert again.vacuum() and sorted(map(tuple, again.read().collect())) == [("new", 7)]
+
+
 def test_small_sinks(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, " ")], "id int, seq int, text string")
     assert sorted((r.id, r.text) for r in writers.last_by_id(df, "id", "seq").collect()) == [(1, "b"), (2, " ")]

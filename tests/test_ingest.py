@@ -50,6 +50,15 @@ def test_maintenance(spark, store):
     assert store.read("document").count() == 1 and store.read("edge").where("doc_id = 'docB'").count() == 0
 
 
+def test_rows_that_are_no_good_are_noted(spark, tmp_path, layout):
+    docs = parse.parse(readers.layout_items(spark, [f"{layout}/docA_content_list.json"]))
+    broken = F.transform("blocks", lambda b: b.withField("block_id", F.when(b["type"] == "abstract", F.lit(" ")).otherwise(b["block_id"])))
+    store = ingest.Store(spark, str(tmp_path / "s"), buckets=2)
+    store.ingest(docs.withColumn("blocks", broken), 8)
+    assert [(r.doc_id, r.table_name, r.failed_checks) for r in store.read("rejected_row").collect()] == [("docA", "block", ["block_id is blank"])]
+    assert store.read("block").count() == 15 and store.read("document").count() == 1
+
+
 def test_valid_rows(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "k int, v string")
     good, bad = ingest.valid_rows(df, {"key": F.col("k").isNotNull(), "value": F.col("v") != ""})
@@ -67,6 +76,8 @@ def test_command_line(spark, layout, tmp_path, capsys):
     assert {r.doc_id: r.metadata.title for r in docs.collect()} == {"docA": "From the cache", "docB": "Device title more title"}
     for i, r in enumerate(docs.toJSON().collect()):
         (tmp_path / f"x{i}_structured.json").write_text(r)
+    cli.main(["check-data", str(tmp_path), "--print-doc-limit", "1"])
+    assert [x for x in capsys.readouterr().out.splitlines() if x.startswith("[")] == ["[1] doc_id=docA title=From the cache blocks=16"]
     (summary,) = call("check-data", tmp_path)
     assert summary["documents"] == 2 and summary["blocks"] == 32
     call("ingest", tmp_path, "--store", tmp_path / "store", "--dimension", 16)

@@ -206,3 +206,71 @@ def test_stream_windows_drop_late_events(spark, tmp_path):
     q.awaitTermination()
     assert [(r.events,) for r in spark.table("s").collect()] == [(2,)]
     assert incremental.tumbling(spark.read.parquet(f"{tmp_path}/e"), "10 minutes").orderBy("window_start").first().total == 3.0
+
+
+def test_components_of_aliases(spark):
+    links = [("b", "a"), ("c", "b"), ("d", "c"), ("x", "y"), ("y", "z"), ("z", "x"), ("q", "q"), ("n", "m")]
+    got = dict(map(tuple, graph.connected(spark.createDataFrame(links, "u string, v string")).collect()))
+    assert got == {**dict.fromkeys("abcd", "a"), **dict.fromkeys("xyz", "x"), "n": "m", "m": "m"}
+    assert graph.connected(spark.createDataFrame([], "u string, v string")).collect() == []
+
+
+class Constant(search.Embedder):
+    def __init__(self, dimension):
+        self.dimension = dimension
+
+    def embed(self, texts):
+        return [[float(len(t or ""))] * self.dimension for t in texts]
+
+
+def test_embedders(spark, monkeypatch):
+    monkeypatch.setattr(search, "EMBEDDERS", dict(search.EMBEDDERS))
+    assert search.embedder("auto", 8).embed(["a b", None]) == [search.hash_vector("a b", 8), [0.0] * 8]
+    assert isinstance(search.embedder(" Local "), search.HashEmbedder)
+    with pytest.raises(RuntimeError):
+        search.embedder("openai")
+    with pytest.raises(ValueError):
+        search.embedder("other")
+    with pytest.raises(ValueError):
+        search.HashEmbedder(0)
+    search.register_embedder("openai", Constant)
+    assert search.embedder("auto", 2).embed(["abc"]) == [[3.0, 3.0]]
+    df = spark.createDataFrame([("abc",), (None,)], "t string")
+    assert [r.embedding for r in search.embed(df, "t", search.HashEmbedder(4)).collect()] == [search.hash_vector("abc", 4), [0.0] * 4]
+
+
+def test_logs_are_cut_by_bytes(spark):
+    df = spark.createDataFrame([(1, "é" * 400), (2, None), (3, "x" * 499)], "i int, log string")
+    kept, tail = ledger.failure_log(F.col("log"))
+    got = {r.i: (r.kept, r.tail) for r in df.select("i", kept.alias("kept"), tail.alias("tail")).collect()}
+    assert got == {1: ("é" * 400, "é" * 250), 2: ("", ""), 3: ("x" * 499, "x" * 499)}
+    big = df.limit(1).select(F.repeat(F.lit("aé"), 1 << 20).alias("log"))
+    kept, _ = ledger.failure_log(F.col("log"))
+    (r,) = big.select(F.octet_length(kept).alias("n"), F.right(kept, F.lit(2)).alias("end")).collect()
+    assert (2 << 20) - 2 <= r.n <= 2 << 20 and r.end in ("aé", "éa")
+
+
+def test_terms_are_counted_once(spark):
+    docs = spark.createDataFrame([(1, "a b a"), (2, "b c"), (3, None), (4, "d")], "k int, t string")
+    got = {r.k: r.score for r in search.bm25(docs, "a c a", "k", "t").collect()}
+    n, mean = 4, (3 + 2 + 0 + 1) / 4
+    idf = np.log(1 + (n - 1 + 0.5) / 1.5)
+    want = {k: idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean)) for k, tf, size in ((1, 2, 3), (2, 1, 2))}
+    assert got == pytest.approx(want)
+    assert search.bm25(docs, "  ", "k", "t").collect() == []
+
+
+def test_scratch_folder_must_be_shared_off_local_mode(spark):
+    from types import SimpleNamespace
+
+    from quire.sources import scratch
+
+    def session(master, named):
+        conf = SimpleNamespace(get=lambda key: named)
+        return SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, master=master, applicationId="app"))
+
+    assert scratch.folder(session("local-cluster[2,1,512]", "s3://x/tmp/")) == "s3://x/tmp/quire-app"
+    assert scratch.folder(session("local[4]", None)).startswith("file:")
+    for master in ("yarn", "local-cluster[2,1,512]", "spark://h:7077"):
+        with pytest.raises(RuntimeError):
+            scratch.folder(session(master, None))

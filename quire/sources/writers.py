@@ -51,11 +51,16 @@ class Table:
     def buckets_of(self, df: DataFrame) -> list[int]:
         """Buckets that rows with these values of ``by`` are in: at most as many numbers as there are buckets."""
         self._state()
+        return self._buckets_of(df)
+
+    def _buckets_of(self, df: DataFrame) -> list[int]:
         return sorted(r[0] for r in df.select(self.bucket().alias("b")).distinct().collect())
 
     def read(self, buckets: list[int] | None = None) -> DataFrame:
         """All rows, or those of some buckets."""
-        state = self._state()[1]
+        return self._read(self._state()[1], buckets)
+
+    def _read(self, state: dict[int, int], buckets: list[int] | None) -> DataFrame:
         paths = [f"{self.path}/v{v}/bucket={b}" for b, v in sorted(state.items()) if buckets is None or b in buckets]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
@@ -63,22 +68,25 @@ class Table:
 
     def write(self, df: DataFrame, buckets: list[int] | None = None) -> int:
         """A new version with ``df`` in place of some buckets' rows, or of all rows."""
-        n, state = self._state()
-        n += 1
-        df.withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/v{n}")
-        there = self.spark.read.schema(f"{self.schema}, bucket int").parquet(f"{self.path}/v{n}").select("bucket").distinct()
+        return self._write(*self._state(), df, buckets)
+
+    def _write(self, n: int, state: dict[int, int], df: DataFrame, buckets: list[int] | None) -> int:
+        n, path = n + 1, self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{n + 1}")
+        df.withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path.toString())
+        names = [f.getPath().getName() for f in path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)]
         kept = {} if buckets is None else {b: v for b, v in state.items() if b not in buckets}
-        kept |= {r[0]: n for r in there.collect()}
+        kept |= {int(x.removeprefix("bucket=")): n for x in names if x.startswith("bucket=")}
         one = self.spark.createDataFrame([(n, {str(b): v for b, v in kept.items()}, self.n)], "n long, buckets map<string,long>, dealt int").coalesce(1)
         one.write.mode("append").json(f"{self.path}/versions")
         return n
 
     def replace(self, new: DataFrame, touched: DataFrame) -> int:
         """Rows with the values of ``by`` in ``touched`` go, ``new`` comes; only their buckets are read and written."""
-        buckets = self.buckets_of(touched)
-        old = self.read(buckets)
+        n, state = self._state()
+        buckets = self._buckets_of(touched)
+        old = self._read(state, buckets)
         kept = old.join(touched.select(self.by).distinct(), self.by, "left_anti").select(*old.columns)
-        return self.write(kept.unionByName(new.select(*old.columns)), buckets)
+        return self._write(n, state, kept.unionByName(new.select(*old.columns)), buckets)
 
     def vacuum(self) -> list[int]:
         """Deletes folders of versions that the last one doesn't use; returns their numbers."""

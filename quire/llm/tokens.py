@@ -17,6 +17,10 @@ from functools import lru_cache
 import numpy as np
 
 WORD_BPE = "word_bpe_49k.json"
+#: What the last token of a word ends with.
+WORD_END = "</w>"
+#: Words that are encoded as one text.
+TEXT_WORDS = 400
 #: Chunks kept in a cache; a full cache is emptied, which costs time only.
 CACHED = 500_000
 #: A run of precomposed Latin letters, then ASCII punctuation (no apostrophe, which may join letters).
@@ -42,16 +46,20 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path or tokenizer_path())
         self.cache: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
     def _words(self, words: list[bytes]) -> None:
-        """Encodes plain words, many in one text."""
-        for i in range(0, len(words), 2_000):
-            some = words[i : i + 2_000]
-            e = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
-            ids, of = np.array(e.ids, dtype="<u4").tobytes(), np.array(e.word_ids)
-            assert of[-1] == len(some) - 1
-            edge = (4 * np.searchsorted(of, np.arange(len(some) + 1))).tolist()
-            self.cache.update(zip(some, (ids[a:b] for a, b in zip(edge[:-1], edge[1:]))))
+        """Encodes plain words, many in one text; the last token of each is one that ends a word."""
+        for i in range(0, len(words), 20 * TEXT_WORDS):
+            some = words[i : i + 20 * TEXT_WORDS]
+            texts = [b" ".join(some[k : k + TEXT_WORDS]).decode() for k in range(0, len(some), TEXT_WORDS)]
+            ids = np.concatenate([np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            edge = [0, *(4 * np.flatnonzero(self.ends[ids]) + 4).tolist()]
+            assert len(edge) == len(some) + 1 and edge[-1] == 4 * len(ids)
+            data = ids.tobytes()
+            self.cache.update(zip(some, map(data.__getitem__, map(slice, edge[:-1], edge[1:]))))
 
     def _learn(self, chunks: set[bytes]) -> None:
         cache, parts, other = self.cache, [], set()

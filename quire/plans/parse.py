@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +18,7 @@ from quire.functions import mentions, rowwise
 from quire.functions import vocabulary as V
 from quire.functions.text import absolute_box, figure_no, safe_stem, table_no
 from quire.operators import relations, sections, tables
+from quire.sources.scratch import written
 
 
 def blocks(items: DataFrame, pages: DataFrame | None = None) -> DataFrame:
@@ -60,21 +61,45 @@ def blocks(items: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     return relations.bind(out, "text", "mentions").withColumnRenamed("relations", "bindings")
 
 
-_NAMED = "doc_id string, block_id string, ids array<string>, entities string, relations string, structure string, units array<string>"
+#: What reading adds to a block; a part of a table is a row of its own.
+_ADDED = {"part": pa.int32(), "ids": pa.list_(pa.string()), "table_entities": pa.string(), "table_relations": pa.string(), "structure": pa.string(), "units": pa.list_(pa.string())}
+_DDL = {"part": "int", "ids": "array<string>", "table_entities": "string", "table_relations": "string", "structure": "string", "units": "array<string>"}
 
 
-def _follow_names(t: pd.DataFrame) -> pd.DataFrame:
-    """Ids of the materials of one document, block after block, and its tables."""
-    names, out = rowwise.Aliases(), []
-    for r in t.sort_values("paragraph_index").itertuples():
-        if isinstance(r.html, str) or r.block_type == "table":
-            rows = tables.parse_rows(r.html if isinstance(r.html, str) else "")
-            table = tables.Table(rows, r.table_id, names)
-            out.append((r.doc_id, r.block_id, [], json.dumps(table.entities), json.dumps(table.relations), json.dumps(rows, ensure_ascii=False), tables.units(rows)))
-        elif isinstance(r.text, str):
-            names.read(r.text)
-            out.append((r.doc_id, r.block_id, [names.id_of(v) for v in r.materials], None, None, None, None))
-    return pd.DataFrame(out, columns=[f.split()[0] for f in _NAMED.split(", ")])
+def _follow_names(structure: bool):
+    """Rows sorted by document and ``paragraph_index`` with the ids of each block's materials, and after a table its mentions and relations in parts.
+
+    A task holds the names of a document and one of its tables.
+    """
+
+    def extended(b: pa.RecordBatch, **added) -> pa.RecordBatch:
+        more = [pa.array(added[c], t) if c in added else pa.nulls(b.num_rows, t) for c, t in _ADDED.items()]
+        kept = [i for i, c in enumerate(b.schema.names) if c not in ("html", "materials")]
+        return pa.RecordBatch.from_arrays([*(b.column(i) for i in kept), *more], [*(b.schema.names[i] for i in kept), *_ADDED])
+
+    def run(batches):
+        doc, names = None, rowwise.Aliases()
+        for b in batches:
+            ids, structures, units = [], [None] * b.num_rows, [None] * b.num_rows
+            for i, (doc_id, kind, table_id, html, text, materials) in enumerate(zip(*(b.column(c).to_pylist() for c in ("doc_id", "block_type", "table_id", "html", "text", "materials")))):
+                if doc_id != doc:
+                    doc, names = doc_id, rowwise.Aliases()
+                ids.append([])
+                if html is not None or kind == "table":
+                    rows, own = tables.parse_rows(html or ""), b.slice(i, 1)
+                    own = own.set_column(own.schema.get_field_index("html"), "html", pa.nulls(1, pa.string()))
+                    for raw in {"raw"}.intersection(own.schema.names):
+                        own = own.set_column(own.schema.get_field_index(raw), raw, pa.nulls(1, pa.string()))
+                    for n, entities, relations in tables.Reader(rows, table_id, names).parts():
+                        yield extended(own, part=[n], table_entities=[json.dumps(entities)], table_relations=[json.dumps(relations)])
+                    if structure:
+                        structures[i], units[i] = json.dumps(rows, ensure_ascii=False), tables.units(rows)
+                elif text is not None:
+                    names.read(text)
+                    ids[-1] = [names.id_of(v) for v in materials]
+            yield extended(b, ids=ids, structure=structures, units=units)
+
+    return run
 
 
 _CELL_ENTITY = (
@@ -83,15 +108,26 @@ _CELL_ENTITY = (
 )
 
 
-def named_blocks(block: DataFrame) -> DataFrame:
-    """Adds entities (with ids, spans and canonical ids), relations and, for tables, structure and units."""
+def named_blocks(block: DataFrame, structure: bool = True) -> DataFrame:
+    """Adds entities (with ids, spans and canonical ids), relations and, for tables and if asked for, structure and units.
+
+    Besides its own row, whose ``part`` is null, a table has rows with a number in ``part``, whose entities and relations in the order of the numbers are the table's.
+    """
     of_materials = F.transform(F.filter("mentions", lambda e: e["type"] == "material"), lambda e: e["value"])
-    picked = block.select("doc_id", "block_id", "paragraph_index", "block_type", "table_id", "html", "text", of_materials.alias("materials"))
-    named = picked.groupBy("doc_id").applyInPandas(_follow_names, _NAMED)
-    df = block.join(named.withColumnRenamed("relations", "table_relations").withColumnRenamed("entities", "table_entities"), ["doc_id", "block_id"], "left")
+    picked = block.withColumn("materials", of_materials)
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in block.schema if f.name != "html")
+    added = ", ".join(f"{c} {t}" for c, t in _DDL.items())
+    df = picked.repartition("doc_id").sortWithinPartitions("doc_id", "paragraph_index").mapInArrow(_follow_names(structure), f"{kept}, {added}")
     entity_id = lambda i: F.concat(F.col("block_id"), F.lit("_e"), F.lpad((i + 1).cast("string"), 3, "0"))
     # The k-th material of a block has the k-th id.
     nth = lambda e: F.size(F.filter(F.col("mentions"), lambda x: (x["type"] == "material") & (x["i"] < e["i"])))
+    in_table = F.transform(
+        F.from_json("table_entities", _CELL_ENTITY),
+        lambda e: F.struct(
+            e["entity_id"].alias("entity_id"), e["type"].alias("type"), e["value"].alias("value"), e["value_num"].alias("value_num"), e["unit"].alias("unit"),
+            e["value_pair"].alias("value_pair"), F.array(e["start"], e["end"]).alias("span"), e["normalized"].alias("normalized"), e["canonical_id"].alias("canonical_id"),
+        ),
+    )
     own = F.transform(
         "mentions",
         lambda e: F.struct(
@@ -100,13 +136,6 @@ def named_blocks(block: DataFrame) -> DataFrame:
             F.when(e["type"] == "material", F.get(F.col("ids"), nth(e))).alias("canonical_id"),
         ),
     )
-    in_table = F.transform(
-        F.from_json("table_entities", _CELL_ENTITY),
-        lambda e: F.struct(
-            e["entity_id"].alias("entity_id"), e["type"].alias("type"), e["value"].alias("value"), e["value_num"].alias("value_num"), e["unit"].alias("unit"),
-            e["value_pair"].alias("value_pair"), F.array(e["start"], e["end"]).alias("span"), e["normalized"].alias("normalized"), e["canonical_id"].alias("canonical_id"),
-        ),
-    )
     bound = F.transform(
         "bindings",
         lambda r, i: F.struct(
@@ -117,21 +146,23 @@ def named_blocks(block: DataFrame) -> DataFrame:
         ),
     )
     from_table = F.from_json("table_relations", f"array<{schemas.RELATION}>")
-    df = df.withColumn("entities", F.coalesce(in_table, own).cast(f"array<{schemas.ENTITY}>"))
-    return df.withColumn("relations", F.coalesce(from_table, bound).cast(f"array<{schemas.RELATION}>")).drop("mentions", "bindings", "ids", "table_entities", "table_relations")
+    whole = F.col("part").isNull()
+    df = df.withColumn("entities", F.when(whole, own.cast(f"array<{schemas.ENTITY}>")).otherwise(in_table.cast(f"array<{schemas.ENTITY}>")))
+    df = df.withColumn("relations", F.when(whole, bound.cast(f"array<{schemas.RELATION}>")).otherwise(from_table))
+    return df.drop("mentions", "bindings", "ids", "table_entities", "table_relations", *([] if structure else ["structure", "units"]))
 
 
 def experiments(block: DataFrame) -> DataFrame:
     """Per (doc, example): materials and blocks in order, relations by type."""
     df = block.where("example_id is not null")
-    order = F.struct("paragraph_index")
+    order = F.struct("paragraph_index", "part")
     ids = lambda items, keep, name: F.transform(F.filter(items, keep), lambda x: x[name])
-    ordered = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(F.col("paragraph_index").alias("o"), c.alias("v")))), lambda x: x["v"]))
+    ordered = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), c.alias("v")))), lambda x: x["v"]))
     found = df.groupBy("doc_id", "example_id").agg(
         ordered(ids("entities", lambda e: e["type"] == "material", "entity_id")).alias("materials_used"),
         ordered(ids("relations", lambda r: r["type"] == "has_value", "relation_id")).alias("performance_relations"),
         ordered(ids("relations", lambda r: r["type"] == "has_role", "relation_id")).alias("role_relations"),
-        F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), F.col("block_id").alias("v")))), lambda x: x["v"]).alias("source_block_ids"),
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("part").isNull(), F.struct(order.alias("o"), F.col("block_id").alias("v"))))), lambda x: x["v"]).alias("source_block_ids"),
         F.min("paragraph_index").alias("first"),
     )
     return found.withColumn("performance", F.col("performance_relations"))
@@ -142,10 +173,11 @@ def documents(block: DataFrame, biblio: DataFrame | None = None, keep_raw: bool
 
     With ``keep_raw`` a block also has the layout item that it was made from, as JSON.
     """
+    whole = block.where("part is null")
     described = (F.col("block_type") == "description") | F.col("subsection").isin(*V.SUBSECTIONS)
-    numerals = block.where(F.col("is_text") & described).select("doc_id", "idx", F.posexplode(mentions.reference_numerals(F.col("text"))).alias("pos", "n"))
+    numerals = whole.where(F.col("is_text") & described).select("doc_id", "idx", F.posexplode(mentions.reference_numerals(F.col("text"))).alias("pos", "n"))
     numerals = sections.numeral_labels(numerals.select("doc_id", "idx", "pos", "n.number", "n.label"))
-    front = block.where((F.col("block_type") == "text") & (F.col("page_idx") == 0)).select("doc_id", "idx", F.posexplode(F.split("text", r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85  ]")).alias("pos", "line"))
+    front = whole.where((F.col("block_type") == "text") & (F.col("page_idx") == 0)).select("doc_id", "idx", F.posexplode(F.split("text", r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85  ]")).alias("pos", "line"))
     front = front.select("doc_id", F.struct("idx", "pos").alias("line_no"), "line")
     inid = sections.inid_metadata(front)
     null = lambda t: F.lit(None).cast(t)
@@ -155,16 +187,32 @@ def documents(block: DataFrame, biblio: DataFrame | None = None, keep_raw: bool
     ).alias("__inid"))
     as_struct = F.struct(
         "block_id", F.col("block_type").alias("type"), "text", F.when(F.col("char_start").isNotNull(), F.array(F.col("char_start").cast("int"), F.col("char_end").cast("int"))).alias("char_offset"),
-        "section", "subsection", "example_id", "depends_on", "claim_no", "table_id", "table_no", "figure_id", "figure_no", "entities", "relations", *(["raw"] if keep_raw else []),
+        "section", "subsection", "example_id", "depends_on", "claim_no", "table_id", "table_no", "figure_id", "figure_no", *(["raw"] if keep_raw else []),
     )
-    listed = F.transform(F.array_sort(F.collect_list(F.struct(F.col("paragraph_index").alias("o"), as_struct.alias("b"))), lambda a, b: a["o"] - b["o"]), lambda x: x["b"])
-    doc = block.groupBy("doc_id").agg(F.first("source_file").alias("source_file"), listed.alias("blocks"))
-    abstract = F.filter("blocks", lambda b: (b["type"] == "abstract") & (F.coalesce(b["text"], F.lit("")) != ""))
-    doc = doc.withColumn("abstract", F.nullif(F.array_join(F.transform(abstract, lambda b: b["text"]), "\n"), F.lit("")))
     run = experiments(block)
     run = run.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("first", F.struct("example_id", "materials_used", "performance", "performance_relations", "role_relations", "source_block_ids").alias("e")))).alias("r"))
     run = run.select("doc_id", F.transform("r", lambda x: x["e"]).alias("experiments"))
-    doc = doc.join(numerals, "doc_id", "left").join(inid, "doc_id", "left").join(run, "doc_id", "left")
+    # What there is besides the blocks comes to a document's row in the same step: a join would sort and move the whole documents.
+    of_block = F.struct(F.col("paragraph_index").alias("o"), as_struct.alias("b"), "entities", "relations")
+    of_table = F.struct(F.col("paragraph_index").alias("o"), "part", "entities", "relations")
+    parts = block.select("doc_id", "source_file", F.when(F.col("part").isNull(), of_block).alias("x"), F.when(F.col("part").isNotNull(), of_table).alias("t"))
+    for side in (numerals, inid, run):
+        parts = parts.unionByName(side, allowMissingColumns=True)
+    # Sorted for each table anew: an array has no name to be shared by within an aggregate, and a document has few tables.
+    of_tables = F.array_sort(F.collect_list("t"), lambda a, b: a["part"] - b["part"])
+    read = lambda x, c: F.when(x["b"]["type"] == "table", F.flatten(F.transform(F.filter(of_tables, lambda t: t["o"] == x["o"]), lambda t: t[c]))).otherwise(x[c])
+    names = [f.name for f in block.select(as_struct.alias("b")).schema["b"].dataType]
+    order = [n for n in names if n != "raw"] + ["entities", "relations"] + ["raw"] * keep_raw
+    listed = F.transform(
+        F.array_sort(F.collect_list("x"), lambda a, b: a["o"] - b["o"]),
+        lambda x: F.struct(*((read(x, n) if n in ("entities", "relations") else x["b"][n]).alias(n) for n in order)),
+    )
+    doc = parts.groupBy("doc_id").agg(
+        F.first("source_file", ignorenulls=True).alias("source_file"), listed.alias("blocks"),
+        *(F.first(c, ignorenulls=True).alias(c) for c in ("reference_numerals", "__inid", "experiments")),
+    )
+    abstract = F.filter("blocks", lambda b: (b["type"] == "abstract") & (F.coalesce(b["text"], F.lit("")) != ""))
+    doc = doc.withColumn("abstract", F.nullif(F.array_join(F.transform(abstract, lambda b: b["text"]), "\n"), F.lit("")))
     cached = null(schemas.METADATA)
     if biblio is not None:
         doc, cached = doc.join(biblio.withColumnRenamed("metadata", "__biblio"), "doc_id", "left"), F.col("__biblio")
@@ -173,5 +221,14 @@ def documents(block: DataFrame, biblio: DataFrame | None = None, keep_raw: bool
     )
 
 
+#: Pages are closed by their size after every row, as a row may hold a part of a table, and are compressed on the heap.
+_SMALL_PAGES = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 100, "compression": "zstd"}
+
+
 def parse(items: DataFrame, pages: DataFrame | None = None, biblio: DataFrame | None = None, keep_raw: bool = False) -> DataFrame:
-    return documents(named_blocks(blocks(items, pages)), biblio, keep_raw)
+    # Batches of whole blocks fill memory outside the heap; a session's own bound is kept.
+    key, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", items.sparkSession
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, "512")
+    # Written once, because a document's row is made from four readings of its blocks.
+    return documents(written(named_blocks(blocks(items, pages), structure=False), "named-blocks", **_SMALL_PAGES), biblio, keep_raw)

@@ -77,3 +77,15 @@ def test_on_a_column(spark):
     assert tables.cells(df).count() == 13
     assert tables.table_relations(df).count() == 10
     assert tables.column_kinds(df).where("kind = 'metric'").count() == 2
+
+
+def test_a_long_table_comes_in_parts_that_make_the_whole(monkeypatch):
+    """No part holds many records, and the unit of a column reaches the mentions of cells, which come last."""
+    monkeypatch.setattr(tables, "PART", 20)
+    html = "<table><tr><th>Material</th><th>EQE (%)</th><th>CIE</th></tr>" + "".join(f"<tr><td>Compound {i}</td><td>{i}</td><td>CIE (0.1, 0.{i})</td></tr>" for i in range(1, 100)) + "</table>"
+    whole = tables.Table(tables.parse_rows(html), "T", rowwise.Aliases())
+    parts = list(tables.Reader(tables.parse_rows(html), "T", rowwise.Aliases()).parts())
+    assert len(parts) > 10 and max(len(e) + len(r) for _, e, r in parts) < 40
+    parts.sort(key=lambda x: x[0])
+    assert [e for _, x, _ in parts for e in x] == whole.entities and [r for _, _, x in parts for r in x] == whole.relations
+    assert len({e["entity_id"] for e in whole.entities}) == len(whole.entities)

@@ -28,6 +28,7 @@ stays null; an empty table gives no pieces; other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
@@ -45,13 +46,13 @@ SEQUENCE, MERGE, GROUP = 2048, 8, 8192
 END = b"\x00\x00\x00\x00"
 
 
-def token_pieces(docs: DataFrame, length: int = SEQUENCE, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, piece, start, length, crc): the pieces of every document's ids."""
-    small_batches(docs.sparkSession)
-    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+def _pieces(length: int, path: str | None):
+    """Batches of (id, text) to those of (id, piece, start, length, crc); the tasks of one call share the words that a process has met."""
+    call = uuid.uuid4().hex
 
     def run(batches):
         tokens = word_tokens(path)
+        tokens.serve(call)
         for b in sliced(batches):
             row, piece, size, crc = [], [], [], []
             for i, ids in enumerate(tokens.batch(b.column(1).to_pylist())):
@@ -67,9 +68,15 @@ def token_pieces(docs: DataFrame, length: int = SEQUENCE, path: str | None = Non
                 [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece.astype(np.int32)), pa.array(piece * length), pa.array(size, pa.int64()), pa.array(crc, pa.int64())],
                 ["id", "piece", "start", "length", "crc"],
             )
-        tokens.cache.clear()
 
-    return picked.mapInArrow(run, f"id {picked.schema['id'].dataType.simpleString()}, piece int, start long, length long, crc long")
+    return run
+
+
+def token_pieces(docs: DataFrame, length: int = SEQUENCE, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, piece, start, length, crc): the pieces of every document's ids."""
+    small_batches(docs.sparkSession)
+    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return picked.mapInArrow(_pieces(length, path), f"id {picked.schema['id'].dataType.simpleString()}, piece int, start long, length long, crc long")
 
 
 def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -35,7 +35,7 @@ def tokenizer_path(name: str = WORD_BPE) -> str:
 
 @lru_cache(1)
 def word_tokens(path: str | None = None) -> "WordTokens":
-    """The tokenizer of this process; a task empties its cache when it ends."""
+    """The tokenizer of this process; its cache serves all tasks of a call (``serve``)."""
     return WordTokens(path)
 
 
@@ -46,10 +46,17 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path or tokenizer_path())
         self.cache: dict[bytes, bytes] = {}
+        self.call = ""
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
+    def serve(self, call: str) -> None:
+        """Empties the cache unless the last task was of the same call."""
+        if call != self.call:
+            self.cache.clear()
+            self.call = call
+
     def _words(self, words: list[bytes]) -> None:
         """Encodes plain words, many in one text; the last token of each is one that ends a word."""
         for i in range(0, len(words), 20 * TEXT_WORDS):

@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -133,3 +134,13 @@ def test_equal_rows_are_dealt_to_many_groups(spark):
     packed = packing.pack(rows, 2048, group=100)
     assert packed.count() == 3_000 and packing.certificate(packed)[0] <= 1_504
     assert packing.certificate(packing.pack(rows.limit(0), 2048)) == (0, 0)
+
+
+def test_words_of_a_task_are_not_encoded_again_by_the_next(monkeypatch):
+    tokens, learned = packing.word_tokens(None), []
+    monkeypatch.setattr(tokens, "_learn", lambda chunks, learn=tokens._learn: (learned.extend(chunks), learn(chunks)))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["zwölfmal quorvix flumm"])], ["id", "text"])
+    run = packing._pieces(2048, None)
+    first, second = (list(run(iter([batch]))) for _ in range(2))
+    assert first == second and len(learned) == len(set(learned)) == 3
+    assert list(packing._pieces(2048, None)(iter([batch]))) == first and len(learned) == 6  # another call starts anew

@@ -20,7 +20,8 @@ Training reads every word of every document once: documents are dealt by a hash
 rows into ``ROUNDS`` parts and each part into shards, whose number follows from the number of words alone (``shards``).
 In a round every shard trains from the same weights on its documents, in the order of
 their hashes, and the weights are averaged by the number of windows, ``FAN`` at a time in the
-order of the shards, so that the driver receives one set of them.  So the trained network
+order of the shards, so that the driver receives one set of them.  What a shard sends are its changes, of tables
+the rows that it met.  So the trained network
 doesn't depend on how the input is partitioned.
 
 Defined results: a null text, or one without words, has no tokens, sum 0 and a null mean;
@@ -53,6 +54,8 @@ HELD, WINDOWS, CACHED, FAN, AVERAGES = 250_000, 2_048, 100_000, 16, 1
 #: Shards of a round unless they are many or few words: words of a shard, at most and about at least.
 SHARDS, SHARD_MOST, SHARD_LEAST = 32, 16_000_000, 65_536
 OUT = CLASSES + RARE
+#: Weights of which a minibatch meets some rows only.
+TABLES = (0, 5, 6)
 PAD = OUT  # the class beyond either end of a text
 
 
@@ -257,7 +260,7 @@ class Adam:
     def __init__(self, net: Network):
         self.net, self.t = net, 0
         self.m, self.v = [np.zeros_like(x) for x in net.w[1:5]], [np.zeros_like(x) for x in net.w[1:5]]
-        self.sums = {i: np.zeros(len(net.w[i]), np.float32) for i in (0, 5, 6) if i < len(net.w)}
+        self.sums = {i: np.zeros(len(net.w[i]), np.float32) for i in TABLES if i < len(net.w)}
 
     def step(self, sides: np.ndarray, target: np.ndarray, words: np.ndarray, v: Vocabulary) -> None:
         self.t += 1
@@ -328,6 +331,7 @@ def _trainer(vocab, weights):
         rows = (row for b in sliced(batches) for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
         for shard, own in groupby(rows, key=lambda row: row[0]):
             net: Network = pickle.loads(weights.value)
+            base = [x.copy() for x in net.w]
             adam, seen = Adam(net), 0
             for held in _indices((text for _, text in own), v, 16 * MINIBATCH):
                 sides, _ = windows(held, v.inputs)
@@ -339,17 +343,46 @@ def _trainer(vocab, weights):
                     adam.step(sides[:, some], target[some], flat[some], v)
                 seen += len(target)
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([seen], pa.int64()), pa.array([pickle.dumps(net.w)], pa.binary())], ["shard", "n", "w"])
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([seen], pa.int64()), pa.array([pickle.dumps(changes(base, net.w))], pa.binary())], ["shard", "n", "w"])
 
     return run
 
 
+def changes(base: list[np.ndarray], w: list[np.ndarray]) -> list:
+    """What training added to the weights: of tables the rows that it met, as (rows, what was added to them)."""
+    out = [new - old for old, new in zip(base, w)]
+    for i in TABLES:
+        if i < len(out):
+            rows = np.flatnonzero(out[i].reshape(len(out[i]), -1).any(1))
+            out[i] = rows.astype(np.int32), out[i][rows]
+    return out
+
+
+def changed(base: list[np.ndarray], found: list) -> list[np.ndarray]:
+    """Weights with changes added."""
+    out = []
+    for x, d in zip(base, found):
+        x = x.copy()
+        if isinstance(d, tuple):
+            x[d[0]] += d[1]
+        else:
+            x += d
+        out.append(x.astype(np.float32))
+    return out
+
+
 def _mean(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
+    """The mean of changes, weighted by the number of windows; a row that a shard didn't meet has no change there."""
     t = t.sort_values("shard")
     total, n = None, int(t["n"].sum())
     for w, k in zip(t["w"], t["n"]):
-        part = [x * np.float32(k / n) for x in pickle.loads(w)]
-        total = part if total is None else [a + b for a, b in zip(total, part)]
+        k = np.float32(k / n)
+        part = [(x[0], x[1] * k) if isinstance(x, tuple) else x * k for x in pickle.loads(w)]
+        if total is None:
+            total = part
+        else:
+            both = zip(total, part)
+            total = [summed(*(np.concatenate(x) for x in zip(a, b))) if isinstance(a, tuple) else a + b for a, b in both]
     return pd.DataFrame({"shard": [int(key[0])], "n": [n], "w": [pickle.dumps(total)]})
 
 
@@ -373,9 +406,9 @@ def train(docs: DataFrame, vocab, n_words: int) -> Network:
         means = means.toPandas()
         weights.unpersist()
         if len(means):
-            net.w = [x.astype(np.float32) for x in pickle.loads(_mean((0,), means)["w"][0])]
+            net.w = changed(net.w, pickle.loads(_mean((0,), means)["w"][0]))
         del mine, means
-        release(spark)  # the round's weights of all shards
+        release(spark)  # what all shards sent
     return net
 
 

@@ -1,7 +1,9 @@
+import pickle
 import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 
 from quire.llm import pseudo_likelihood as P
 
@@ -169,3 +171,22 @@ def test_scores_against_brute_force(spark, monkeypatch):
                 total -= np.log1p(np.exp(-x if right else x))
                 members = [m for m in members if (m >= mid) == right]
         assert got[i].n_tokens == len(w) and np.isclose(got[i].log_prob, total, rtol=1e-4, atol=1e-3)
+
+
+def test_a_shard_sends_the_rows_that_it_met():
+    """And the weighted mean of the changes gives the mean of the weights."""
+    rng = np.random.default_rng(3)
+    base = P.Network(inputs=5000, odds=np.zeros(4000)).w
+    trained = [[x.copy() for x in base] for _ in range(3)]
+    for w in trained:
+        for i in P.TABLES:
+            met = rng.choice(len(w[i]), 50, replace=False)
+            w[i][met] += 1 + rng.random(w[i][met].shape).astype(np.float32)
+        w[1] += 1
+    sent = [pickle.dumps(P.changes(base, w)) for w in trained]
+    assert max(map(len, sent)) < len(pickle.dumps(base)) / 10
+    t = pd.DataFrame({"shard": [2, 0, 1], "n": [10, 20, 70], "w": sent})
+    mean = P.changed(base, pickle.loads(P._mean((0,), t)["w"][0]))
+    for i, x in enumerate(mean):
+        want = sum(w[i].astype(float) * n for w, n in zip(trained, (0.1, 0.2, 0.7)))
+        assert x.dtype == np.float32 and np.allclose(x, want, atol=1e-5)

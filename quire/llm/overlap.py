@@ -9,7 +9,8 @@ similarity two fingerprints of 64 bits differ by ten bits on average, which no s
 equal blocks selects.  So each set also gets ``BANDS`` keys of
 ``ROWS`` smallest hashes; linked sets share a key but for one pair in 2 * 10**7
 ((1 - 0.8**4)**32, at the very threshold).  Every pair of sets that share a key is
-compared exactly, unless links already found join the two.
+compared exactly, unless links already found join the two: the caller's pairs are compared
+first, and buckets whose entries their links join are left out.
 
 Scale: equal sets are one entry, and keys with the same entries are one bucket.  Large
 buckets are dealt to several tasks as chunks, each pair of chunks one task, which returns
@@ -142,34 +143,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id_type = picked.schema["id"].dataType.simpleString()
     sketches = written(picked.mapInArrow(_sketches, f"id {id_type}, node bigint, keys array<bigint>"), "near-sketches")
     nodes = written(sketches.groupBy("node").agg(F.min("id").alias("least"), F.any_value("keys").alias("keys")), "near-nodes")
-    spread = nodes.select("node", F.explode("keys").alias("key"))
-    same = [F.count(F.lit(1)).alias("n"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y")]
-    buckets = written(spread.groupBy("key").agg(*same).where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"), "near-buckets")
+    # One text for each entry; equal rows have equal texts.
+    least = nodes.select("node", F.col("least").alias("id"))
+
+    def sets_of(asked: DataFrame, name: str) -> DataFrame:
+        texts = picked.join(least.join(asked, "node", "left_semi"), "id").dropDuplicates(["node"]).select("node", "text")
+        return written(texts.mapInArrow(_sets, "node bigint, hashes binary"), name)
+
+    first = sets = joined = None
+    if pairs is not None:
+        at = sketches.select("id", "node").distinct()
+        both = pairs.join(at, "id").select(F.col("node").alias("u"), "other").distinct()
+        both = both.join(at.select(F.col("id").alias("other"), F.col("node").alias("v")), "other").where("u <> v").select("u", "v").distinct()
+        pairs = written(both, "near-pairs")
+        sets = sets_of(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "near-pair-sets")
+        side = lambda n, c: sets.select(F.col("node").alias(n), F.col("hashes").alias(c))
+        first = written(pairs.join(side("u", "a"), "u").join(side("v", "b"), "v").mapInArrow(_compared, "u bigint, v bigint"), "near-first")
+        joined = connected_components(first, pairs.count()).select(F.col("u").alias("node"), "root")
+        release(spark)
+    # A bucket whose entries the pairs' links join already has nothing more to say.
+    rooted = nodes.withColumn("root", F.col("node")) if joined is None else nodes.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    spread = rooted.select("node", "root", F.explode("keys").alias("key"))
+    same = [F.count(F.lit(1)).alias("n"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"), F.min("root").alias("lo"), F.max("root").alias("hi")]
+    buckets = spread.groupBy("key").agg(*same).where("n > 1 and lo <> hi").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n")
+    buckets = written(buckets, "near-buckets")
     total = buckets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     most = max(CHUNK, -(-total // partitions(spark)))
     release(spark)
     members = written(spread.join(buckets, "key").select("key", "node", F.ceil(F.col("n") / most).cast("int").alias("chunks")), "near-members")
-    # One text for each entry of a bucket; equal rows have equal texts.
-    asked_nodes = members.select("node")
-    if pairs is not None:
-        at = sketches.select("id", "node").distinct()
-        first = pairs.join(at, "id").select(F.col("node").alias("u"), "other").distinct()
-        first = first.join(at.select(F.col("id").alias("other"), F.col("node").alias("v")), "other").where("u <> v").select("u", "v").distinct()
-        pairs = written(first, "near-pairs")
-        asked_nodes = asked_nodes.unionByName(pairs.select(F.explode(F.array("u", "v")).alias("node")))
-    asked = nodes.join(asked_nodes.distinct(), "node", "left_semi").select("node", F.col("least").alias("id"))
-    texts = picked.join(asked, "id").dropDuplicates(["node"]).select("node", "text")
-    sets = written(texts.mapInArrow(_sets, "node bigint, hashes binary"), "near-sets")
-    del texts, asked, asked_nodes
+    asked = members.select("node").distinct()
+    more = sets_of(asked if sets is None else asked.join(sets, "node", "left_anti"), "near-sets")
+    sets = more if sets is None else sets.unionByName(more)
     release(spark)  # the texts that were shuffled for this
     tasks = F.expr("transform(filter(sequence(0, chunks - 1), x -> x <> c or chunks = 1), x -> least(x, c) * chunks + greatest(x, c))")
     dealt = members.withColumn("c", F.pmod(F.hash("node"), F.col("chunks"))).select("key", "node", F.explode(tasks).alias("task"))
     dealt = dealt.join(sets, "node").repartition(partitions(spark), "key", "task").sortWithinPartitions("key", "task", "node")
     links = dealt.select("key", "task", "node", "hashes").mapInArrow(_forests, "u bigint, v bigint")
-    if pairs is not None:
-        side = lambda n, c: sets.select(F.col("node").alias(n), F.col("hashes").alias(c))
-        found = pairs.join(side("u", "a"), "u").join(side("v", "b"), "v").mapInArrow(_compared, "u bigint, v bigint")
-        links = links.unionByName(found)
+    if first is not None:
+        links = links.unionByName(first)
         total += pairs.count()
     roots = connected_components(links, total).withColumnRenamed("u", "node")
     nodes = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

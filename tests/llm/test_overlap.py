@@ -61,3 +61,22 @@ def test_large_buckets_are_split(spark, texts, monkeypatch):
     monkeypatch.setattr(overlap, "CHUNK", 2)
     monkeypatch.setattr(overlap, "partitions", lambda spark: 400)
     assert kept(spark, texts) == sorted(set(slow_components(texts)))
+
+
+def test_what_given_pairs_join_is_not_compared_again(spark, monkeypatch):
+    """The same components, from fewer buckets."""
+    rows = [(i, " ".join(f"w{k}" for k in range(200)) + f" end{i}") for i in range(8)] + [(i, f"other {i} text of its own kind") for i in range(8, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = {}
+
+    def spy(df, name, *more, write=overlap.written):
+        out = write(df, name, *more)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(overlap, "written", spy)
+    plain = sorted(map(tuple, overlap.near_duplicates(docs).collect()))
+    assert sizes["near-buckets"] > 0
+    pairs = spark.createDataFrame([(i, 0) for i in range(1, 8)], "id long, other long")
+    assert sorted(map(tuple, overlap.near_duplicates(docs, pairs=pairs).collect())) == plain
+    assert sizes["near-buckets"] == 0 and sizes["near-first"] == 7

@@ -46,14 +46,16 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of texts that share 0.8 or more of their five-word shingles."""
-    keyed = docs.select(*COLUMNS).withColumn("row", F.struct(F.col("doc_id").isNull(), F.col("doc_id"), _row_key()))
+    # The type that a written table gives the row: by another one the last join and the last grouping would each shuffle all texts.
+    kind = f"struct<missing:boolean,doc_id:{docs.schema['doc_id'].dataType.simpleString()},key:bigint>"
+    keyed = docs.select(*COLUMNS).withColumn("row", F.struct(F.col("doc_id").isNull(), F.col("doc_id"), _row_key()).cast(kind))
     # Fingerprints of five-word shingles link what differs by few bits; what they can't see at this similarity is found
     # by the shingles themselves, and every link is checked by the exact similarity.
     linked = simhash.near_duplicates(keyed, id_col="row", shingle=overlap.SHINGLE)
     pairs = linked.where("id <> component").select("id", F.col("component").alias("other"))
     found = overlap.near_duplicates(keyed, id_col="row", pairs=pairs)
     # The component is named by the smallest row of it; equal rows are the same to this rule.
-    kept = found.where("id = component").select(F.col("id").alias("row")).distinct()
+    kept = found.where("id = component").select(F.col("id").alias("row"))
     return keyed.join(kept, "row", "left_semi").dropDuplicates(["row"]).select(*COLUMNS)
 
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import partitions, release, sliced, small_batches, written
+from quire.llm.common import discard, partitions, release, sliced, small_batches, written
 from quire.llm.components import connected_components
 
 SHINGLE, SIMILAR, BANDS, ROWS = 5, 0.8, 32, 4
@@ -173,6 +173,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = written(spread.join(buckets, "key").select("key", "node", F.ceil(F.col("n") / most).cast("int").alias("chunks")), "near-members")
     asked = members.select("node").distinct()
     more = sets_of(asked if sets is None else asked.join(sets, "node", "left_anti"), "near-sets")
+    used = [members, buckets, more] if sets is None else [members, buckets, more, sets, pairs, first]
     sets = more if sets is None else sets.unionByName(more)
     release(spark)  # the texts that were shuffled for this
     tasks = F.expr("transform(filter(sequence(0, chunks - 1), x -> x <> c or chunks = 1), x -> least(x, c) * chunks + greatest(x, c))")
@@ -183,6 +184,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = links.unionByName(first)
         total += pairs.count()
     roots = connected_components(links, total).withColumnRenamed("u", "node")
+    entries = nodes
     nodes = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     component = nodes.join(nodes.groupBy("root").agg(F.min("least").alias("component")), "root").select("node", "component")
-    return sketches.select("id", "node").join(component, "node").select("id", "component")
+    found = written(sketches.select("id", "node").join(component, "node").select("id", "component"), "near-components")
+    # What the caller does next, such as a shuffle of all texts, need not share the disk with the way to it.
+    discard(*used, sketches, entries)
+    release(spark)
+    return found

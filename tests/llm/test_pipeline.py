@@ -66,6 +66,21 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark, docs, odd_rows):
     assert sorted(r.doc_id for r in got) == [rows[i][0] for i in sorted(set(root))]
 
 
+def test_near_duplicate_stage_shuffles_the_texts_once_and_leaves_little(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr("quire.llm.common.folder", lambda spark: f"file://{tmp_path}")
+    key, was = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        out = stage("simhash_near_dedup")(spark, docs, "")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, was)
+    assert plan.count("Exchange hashpartitioning") == 2  # the texts, and the rows that stay
+    left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+    assert "near-components" in left and not left & {"near-sketches", "near-nodes", "near-sets", "near-pair-sets", "near-members"}
+    assert out.count() > 0
+
+
 def test_repeated_rows_of_the_mix_are_taken_one_by_one(spark):
     rows = [(1, "a b c d e f g", "en", "x", 13)] * 5 + [(2, "h i j", "en", "y", 5), (3, "k " * 40, "en", "z", 80)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")

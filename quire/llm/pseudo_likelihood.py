@@ -174,9 +174,12 @@ class Network:
 
     def hidden(self, sides: np.ndarray) -> np.ndarray:
         e, g = self.w[:2]
-        h = e[sides[0]] * g[0]
+        h = e.take(sides[0], 0)
+        h *= g[0]
         for k in range(1, 2 * SIDE):
-            h += e[sides[k]] * g[k]
+            x = e.take(sides[k], 0)
+            x *= g[k]
+            h += x
         h += self.w[2]
         return np.tanh(h, out=h)
 
@@ -186,18 +189,21 @@ class Network:
         ``sides`` has a row for each place of the window.
         """
         out = np.empty(len(target), np.float32)
+        by = ordered(target if words is None else words)  # decisions are met by neighbours then
         for i in range(0, len(target), WINDOWS):
-            t = target[i : i + WINDOWS]
-            h = self.hidden(sides[:, i : i + WINDOWS])
+            some = by[i : i + WINDOWS]
+            t = target[some]
+            h = self.hidden(sides[:, some])
             z = self._logits(h)
             own = z[np.arange(len(t)), t]
             np.exp(z, out=z)
             own = own - np.log(z @ np.ones(OUT, np.float32))
             if words is not None:
-                for at, mid, right, _, _ in decisions(words[i : i + WINDOWS], v.lo, v.hi):
-                    x = np.einsum("ij,ij->i", self.w[5][mid], h[at]) + self.w[6][mid]
-                    own[at] -= np.logaddexp(0, np.where(right, -x, x))
-            out[i : i + WINDOWS] = own
+                for at, mid, right, _, _ in decisions(words[some], v.lo, v.hi):
+                    x = np.einsum("ij,ij->i", self.w[5].take(mid, 0), h if len(at) == len(h) else h.take(at, 0)) + self.w[6].take(mid)
+                    x[right] *= -1
+                    own[at] -= np.maximum(x, 0) + np.log(1 + np.exp(-np.abs(x)))
+            out[some] = own
         return out
 
     def _logits(self, h: np.ndarray) -> np.ndarray:
@@ -209,9 +215,21 @@ class Network:
         return z
 
     def sparse_gradients(self, sides: np.ndarray, target: np.ndarray, words: np.ndarray | None = None, v: Vocabulary | None = None) -> list:
-        """Gradients of the mean loss; those of tables as (rows, gradients of the rows)."""
+        """Gradients of the mean loss; those of tables as (rows, gradients of the rows).
+
+        Windows are taken in the order of their words: those of a decision follow each other then, on every level.
+        """
+        if words is not None:
+            by = ordered(words)
+            sides, target, words = sides[:, by], target[by], words[by]
         n = np.float32(len(target))
-        h = self.hidden(sides)
+        e, g = self.w[:2]
+        around = [e.take(some, 0) for some in sides]
+        h = around[0] * g[0]
+        for x, gate in zip(around[1:], g[1:]):
+            h += x * gate
+        h += self.w[2]
+        np.tanh(h, out=h)
         z = self._logits(h)
         np.exp(z, out=z)
         z /= (z @ np.ones(OUT, np.float32))[:, None]
@@ -219,20 +237,24 @@ class Network:
         z /= n
         d, tree = z @ self.w[3].T, []
         if words is not None:
-            mids, errors, rows = [np.empty(0, np.int64)], [np.empty(0, np.float32)], [np.empty(0, np.int64)]
+            rows, sums, errors = [np.empty(0, np.int64)], [np.empty((0, HIDDEN), np.float32)], [np.empty(0, np.float32)]
             for at, mid, right, _, _ in decisions(words, v.lo, v.hi):
-                t = self.w[5][mid]
-                x = np.einsum("ij,ij->i", t, h[at]) + self.w[6][mid]
+                first = np.flatnonzero(np.concatenate([[True], mid[1:] != mid[:-1]]))
+                t, own = self.w[5].take(mid, 0), h if len(at) == len(h) else h.take(at, 0)
+                x = np.einsum("ij,ij->i", t, own) + self.w[6].take(mid)
                 error = ((0.5 + 0.5 * np.tanh(0.5 * x) - right) / n).astype(np.float32)
-                d[at] += error[:, None] * t
-                mids, errors, rows = [*mids, mid], [*errors, error], [*rows, at]
-            mid, error, at = map(np.concatenate, (mids, errors, rows))
-            by, total = summed(mid, np.concatenate([h[at], np.ones((len(at), 1), np.float32)], axis=1) * error[:, None])
-            tree = [(by, total[:, :-1]), (by, total[:, -1])]
+                t *= error[:, None]
+                d[at] += t
+                rows.append(mid[first])
+                sums.append(np.add.reduceat(np.multiply(own, error[:, None], out=t), first, axis=0))
+                errors.append(np.add.reduceat(error, first))
+            rows = np.concatenate(rows)  # a decision is met on one level only
+            tree = [(rows, np.concatenate(sums)), (rows, np.concatenate(errors))]
         d *= 1 - h * h
-        e, g = self.w[:2]
-        gates = np.stack([(d * e[sides[k]]).sum(0) for k in range(2 * SIDE)])
-        return [summed(sides.ravel(), np.concatenate([d * g[k] for k in range(2 * SIDE)])), gates, d.sum(0), h.T @ z, z.sum(0), *tree]
+        gates = np.stack([np.einsum("ij,ij->j", d, x) for x in around])
+        for x, gate in zip(around, g):
+            np.multiply(d, gate, out=x)
+        return [summed(sides.ravel(), np.concatenate(around)), gates, d.sum(0), h.T @ z, z.sum(0), *tree]
 
     def gradients(self, sides: np.ndarray, target: np.ndarray, words: np.ndarray | None = None, v: Vocabulary | None = None) -> list[np.ndarray]:
         out = []
@@ -244,14 +266,19 @@ class Network:
         return out
 
 
+def ordered(rows: np.ndarray) -> np.ndarray:
+    """The stable order of numbers from 0; of short ones by radix."""
+    return np.argsort(rows.astype(np.uint16) if len(rows) and rows.max() < 1 << 16 else rows, kind="stable")
+
+
 def summed(rows: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different rows, and the sum of ``x`` for each."""
     if not len(rows):
         return rows, x
-    order = np.argsort(rows, kind="stable")
+    order = ordered(rows)
     rows = rows[order]
     first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    return rows[first], np.add.reduceat(x[order], first, axis=0)
+    return rows[first], np.add.reduceat(x.take(order, 0), first, axis=0)
 
 
 class Adam:

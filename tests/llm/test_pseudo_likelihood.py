@@ -190,3 +190,27 @@ def test_a_shard_sends_the_rows_that_it_met():
     for i, x in enumerate(mean):
         want = sum(w[i].astype(float) * n for w, n in zip(trained, (0.1, 0.2, 0.7)))
         assert x.dtype == np.float32 and np.allclose(x, want, atol=1e-5)
+
+
+def test_decisions_are_summed_without_sorting_them(monkeypatch):
+    """Only the rows around the words are sorted; gradients of the decisions equal a plain sum, whatever the order of the windows."""
+    rng = np.random.default_rng(5)
+    vocab = P.Vocabulary([(b"w%d" % i, 900 - 2 * i) for i in range(400)], {})
+    net = P.Network(inputs=P.OUT + 1 + vocab.size, odds=vocab.odds)
+    net.w[5] += rng.standard_normal(net.w[5].shape).astype(np.float32)
+    flat = rng.integers(0, 410, 600)
+    sides, _ = P.windows([flat], vocab.inputs)
+    asked = []
+    monkeypatch.setattr(P, "summed", lambda rows, x, f=P.summed: asked.append(len(rows)) or f(rows, x))
+    found = net.sparse_gradients(sides, vocab.classes[flat], flat, vocab)
+    assert asked == [2 * P.SIDE * len(flat)]
+    h, want, bias = net.hidden(sides), np.zeros(net.w[5].shape), np.zeros(len(net.w[6]))
+    for i, word in enumerate(flat):
+        for _, mid, right, _, _ in P.decisions(np.array([word]), vocab.lo, vocab.hi):
+            error = (1 / (1 + np.exp(-(net.w[5][mid[0]] @ h[i] + net.w[6][mid[0]]))) - right[0]) / len(flat)
+            want[mid[0]] += error * h[i]
+            bias[mid[0]] += error
+    for (rows, some), whole in zip(found[5:], (want, bias)):
+        got = np.zeros_like(whole)
+        got[rows] = some
+        assert len(np.unique(rows)) == len(rows) and np.allclose(got, whole, atol=1e-6)

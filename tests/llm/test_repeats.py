@@ -73,3 +73,10 @@ def test_strings_that_collide_are_told_apart_by_their_bytes(spark, monkeypatch):
             got = {r.id: (r.starts, r.ends, bytes(r.kept)) for r in rows}
             assert [got[i] for i in range(len(some))] == slow(some, 400)
     assert [r for _, r, _ in slow(texts[:4], 400)] == [[]] * 4
+
+
+def test_tables_that_are_read_once_are_not_written(odd, monkeypatch):
+    names = []
+    monkeypatch.setattr(repeats, "written", lambda df, name, *more, write=repeats.written: names.append(name) or write(df, name, *more))
+    assert repeats.remove_repeats(odd).count() == odd.count()
+    assert Counter(names) == Counter(["repeats-sample", "repeats-near", "repeats-text", *["repeats-windows"] * repeats.BLOCKS, "repeats-runs", "repeats-ends", "repeats-unequal", "repeats-colliding", "repeats-spans"])

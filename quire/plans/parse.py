@@ -153,8 +153,9 @@ def named_blocks(block: DataFrame, structure: bool = True) -> DataFrame:
 
 
 def experiments(block: DataFrame) -> DataFrame:
-    """Per (doc, example): materials and blocks in order, relations by type."""
-    df = block.where("example_id is not null")
+    """Per (doc, example): materials and blocks in order, relations by type; blocks without a column ``part`` are whole."""
+    df = block if "part" in block.columns else block.withColumn("part", F.lit(None).cast("int"))
+    df = df.where("example_id is not null")
     order = F.struct("paragraph_index", "part")
     ids = lambda items, keep, name: F.transform(F.filter(items, keep), lambda x: x[name])
     ordered = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), c.alias("v")))), lambda x: x["v"]))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quire import schemas
@@ -63,6 +63,8 @@ def blocks(items: DataFrame, pages: DataFrame | None = None) -> DataFrame:
 
 #: What reading adds to a block; a part of a table is a row of its own.
 _ADDED = {"part": pa.int32(), "ids": pa.list_(pa.string()), "table_entities": pa.string(), "table_relations": pa.string(), "structure": pa.string(), "units": pa.list_(pa.string())}
+#: What a part of a table shares with its table; its other columns are null, as a table may be long and have many parts.
+_SHARED = ("doc_id", "block_id", "paragraph_index", "example_id")
 _DDL = {"part": "int", "ids": "array<string>", "table_entities": "string", "table_relations": "string", "structure": "string", "units": "array<string>"}
 
 
@@ -86,10 +88,8 @@ def _follow_names(structure: bool):
                     doc, names = doc_id, rowwise.Aliases()
                 ids.append([])
                 if html is not None or kind == "table":
-                    rows, own = tables.parse_rows(html or ""), b.slice(i, 1)
-                    own = own.set_column(own.schema.get_field_index("html"), "html", pa.nulls(1, pa.string()))
-                    for raw in {"raw"}.intersection(own.schema.names):
-                        own = own.set_column(own.schema.get_field_index(raw), raw, pa.nulls(1, pa.string()))
+                    rows = tables.parse_rows(html or "")
+                    own = pa.RecordBatch.from_arrays([b.column(k).slice(i, 1) if f.name in _SHARED else pa.nulls(1, f.type) for k, f in enumerate(b.schema)], schema=b.schema)
                     for n, entities, relations in tables.Reader(rows, table_id, names).parts():
                         yield extended(own, part=[n], table_entities=[json.dumps(entities)], table_relations=[json.dumps(relations)])
                     if structure:
@@ -169,10 +169,12 @@ def experiments(block: DataFrame) -> DataFrame:
     return found.withColumn("performance", F.col("performance_relations"))
 
 
-def documents(block: DataFrame, biblio: DataFrame | None = None, keep_raw: bool = False) -> DataFrame:
+def documents(block: DataFrame, biblio: DataFrame | None = None, keep_raw: bool = False, tasks: int | None = None) -> DataFrame:
     """Structured documents from named blocks; ``biblio`` is (doc_id, metadata) of cached records, which win.
 
-    With ``keep_raw`` a block also has the layout item that it was made from, as JSON.
+    With ``keep_raw`` a block also has the layout item that it was made from, as JSON.  With ``tasks`` the
+    blocks are dealt out over so many tasks before a document's are put together, since a task
+    collects all that it reads and a few files may hold many long documents.
     """
     whole = block.where("part is null")
     described = (F.col("block_type") == "description") | F.col("subsection").isin(*V.SUBSECTIONS)
@@ -196,7 +198,8 @@ def documents(block: DataFrame, biblio: DataFrame | None = None, keep_raw: bool
     # What there is besides the blocks comes to a document's row in the same step: a join would sort and move the whole documents.
     of_block = F.struct(F.col("paragraph_index").alias("o"), as_struct.alias("b"), "entities", "relations")
     of_table = F.struct(F.col("paragraph_index").alias("o"), "part", "entities", "relations")
-    parts = block.select("doc_id", "source_file", F.when(F.col("part").isNull(), of_block).alias("x"), F.when(F.col("part").isNotNull(), of_table).alias("t"))
+    dealt = block.repartition(tasks, "doc_id", "paragraph_index", "part") if tasks else block
+    parts = dealt.select("doc_id", "source_file", F.when(F.col("part").isNull(), of_block).alias("x"), F.when(F.col("part").isNotNull(), of_table).alias("t"))
     for side in (numerals, inid, run):
         parts = parts.unionByName(side, allowMissingColumns=True)
     # Sorted for each table anew: an array has no name to be shared by within an aggregate, and a document has few tables.
@@ -208,12 +211,13 @@ def documents(block: DataFrame, biblio: DataFrame | None = None, keep_raw: bool
         F.array_sort(F.collect_list("x"), lambda a, b: a["o"] - b["o"]),
         lambda x: F.struct(*((read(x, n) if n in ("entities", "relations") else x["b"][n]).alias(n) for n in order)),
     )
+    # From rows of its own and without nullif: then whoever names the blocks once, to count or to cut them, does so in this step, without a row of the whole document.
+    abstract = F.array_sort(F.collect_list(F.when((F.col("x.b.type") == "abstract") & (F.col("x.b.text") != ""), F.struct("x.o", "x.b.text"))))
     doc = parts.groupBy("doc_id").agg(
         F.first("source_file", ignorenulls=True).alias("source_file"), listed.alias("blocks"),
+        F.when(F.size(abstract) > 0, F.array_join(F.transform(abstract, lambda b: b["text"]), "\n")).alias("abstract"),
         *(F.first(c, ignorenulls=True).alias(c) for c in ("reference_numerals", "__inid", "experiments")),
     )
-    abstract = F.filter("blocks", lambda b: (b["type"] == "abstract") & (F.coalesce(b["text"], F.lit("")) != ""))
-    doc = doc.withColumn("abstract", F.nullif(F.array_join(F.transform(abstract, lambda b: b["text"]), "\n"), F.lit("")))
     cached = null(schemas.METADATA)
     if biblio is not None:
         doc, cached = doc.join(biblio.withColumnRenamed("metadata", "__biblio"), "doc_id", "left"), F.col("__biblio")
@@ -226,10 +230,21 @@ def documents(block: DataFrame, biblio: DataFrame | None = None, keep_raw: bool
 _SMALL_PAGES = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 100, "compression": "zstd"}
 
 
+#: Blocks, mentions and relations that a task puts together at most, some 300 bytes each; a block or a part of a table is not divided.
+TOGETHER = 200_000
+
+#: What the blocks of a document don't have: fields of their layout items.
+_LAYOUT = ("type", "bbox", "bbox_abs", "width", "height", "table_body", "table_caption", "image_caption", "caption", "img_path")
+
+
 def parse(items: DataFrame, pages: DataFrame | None = None, biblio: DataFrame | None = None, keep_raw: bool = False) -> DataFrame:
     # Batches of whole blocks fill memory outside the heap; a session's own bound is kept.
     key, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", items.sparkSession
     if spark.conf.get(key, "10000") == "10000":
         spark.conf.set(key, "512")
     # Written once, because a document's row is made from four readings of its blocks.
-    return documents(written(named_blocks(blocks(items, pages), structure=False), "named-blocks", **_SMALL_PAGES), biblio, keep_raw)
+    named = named_blocks(blocks(items, pages).drop(*_LAYOUT, *([] if keep_raw else ["raw"])), structure=False)
+    seen = Observation()
+    named = named.observe(seen, F.sum(1 + F.coalesce(F.size("entities"), F.lit(0)) + F.coalesce(F.size("relations"), F.lit(0))).alias("records"))
+    named = written(named, "named-blocks", **_SMALL_PAGES)
+    return documents(named, biblio, keep_raw, -(-(seen.get["records"] or 0) // TOGETHER) or 1)

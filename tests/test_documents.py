@@ -1,6 +1,7 @@
 """Sections, claims, whole documents, sources and sinks."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,6 +129,37 @@ def test_raw_items_are_kept_on_demand(spark, folder, tmp_path):
     assert json.loads(text)["abstract"] == "An OLED using CBP host (12)." and text.count("\n") > 20
 
 
+def test_parts_of_a_table_carry_no_layout(spark, folder):
+    """A long table comes in hundreds of parts: none has a copy of its markup."""
+    items = readers.layout_items(spark, [folder]).where("doc_id = 'WO2026000001A1'")
+    rows = parse.named_blocks(parse.blocks(items)).where("block_type = 'table' or part is not null").collect()
+    whole, parts = [r for r in rows if r.part is None], [r for r in rows if r.part is not None]
+    assert whole[0].table_body == LEVELS and sum(len(r.relations) for r in parts) == 10
+    assert {k for r in parts for k, v in r.asDict().items() if v is not None} == {"doc_id", "block_id", "paragraph_index", "example_id", "part", "entities", "relations"}
+
+
+def test_blocks_are_dealt_out_by_what_they_hold(spark, folder, document, monkeypatch):
+    """A task puts together a bounded number of records, and the documents are the same."""
+    monkeypatch.setattr(parse, "TOGETHER", 20)
+    df = parse.parse(readers.layout_items(spark, [folder]), readers.page_sizes(spark, [folder]))
+    dealt = [int(n) for n in re.findall(r"RepartitionByExpression \[[^\]]*\], (\d+)", df._jdf.queryExecution().optimizedPlan().toString())]
+    held = sum(1 + len(b.entities) + len(b.relations) for d in document.values() for b in d.blocks)
+    assert dealt and held / 20 <= dealt[0] <= held / 20 + 3
+    assert {r.doc_id: r for r in df.collect()} == document
+
+
+def test_blocks_that_are_counted_make_no_row_of_the_document(spark, folder):
+    """The count is a result of the aggregate that collects the blocks; no step hands on the whole list."""
+    df = parse.parse(readers.layout_items(spark, [folder])).select("doc_id", "abstract", F.size("blocks").alias("n"))
+    assert df._jdf.queryExecution().optimizedPlan().nodeName() == "Aggregate"
+    assert {r.n for r in df.collect()} == {16}
+
+
+def test_no_items_make_no_documents(spark, folder):
+    schema = readers.layout_items(spark, [folder]).schema
+    assert parse.parse(spark.createDataFrame([], schema)).collect() == []
+
+
 def test_structured_files(spark, tmp_path, document):
     good = {"doc_id": "", "metadata": {"title": "T"}, "blocks": [{"block_id": "b", "entities": [{"value": "v"}, None], "relations": None}, None], "experiments": [{"example_id": "e", "performance": ["x"]}]}
     (tmp_path / "one two_structured.json").write_text(json.dumps(good))

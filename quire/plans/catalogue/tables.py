@@ -67,8 +67,9 @@ def items(t) -> DataFrame:
 select p_brand as doc_id, 'A few words.' as abstract, cast(count(*) + 9 as int) as blocks, cast(2 * count(*) + 6 * count(*) as int) as relations, 1 as experiments, cast(2 * count(*) + count(*) as int) as materials_used from part group by 1""")
 def parse_documents(t):
     """Layout items to documents, end to end."""
-    # The blocks are named once, so that they are counted where they are put together: a row of a long document takes several times its size to write.
+    # Blocks and experiments are named once, so that they are counted where they are put together: a row of a long document takes several times its size to write.
     none = F.struct(F.lit(0).alias("blocks"), F.lit(0).alias("relations"))
     count = F.aggregate("blocks", none, lambda a, b: F.struct((a["blocks"] + 1).alias("blocks"), (a["relations"] + F.size(b["relations"])).alias("relations")))
-    d = parse.parse(items(t)).select("doc_id", "abstract", count.alias("n"), "experiments")
-    return d.select("doc_id", "abstract", "n.blocks", "n.relations", F.size("experiments").alias("experiments"), F.size(F.get("experiments", F.lit(0))["materials_used"]).alias("materials_used"))
+    used = F.transform("experiments", lambda e: F.size(e["materials_used"]))
+    d = parse.parse(items(t)).select("doc_id", "abstract", count.alias("n"), used.alias("used"))
+    return d.select("doc_id", "abstract", "n.blocks", "n.relations", F.size("used").alias("experiments"), F.get("used", F.lit(0)).alias("materials_used"))
